@@ -42,19 +42,29 @@ def _table(df: DataFrame, names: list[str], found: dict[tuple[str, str], float |
     return df.sparkSession.createDataFrame(rows, "column_a string, column_b string, r double")
 
 
-def pearson_matrix(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    """(column_a, column_b, r) for every ordered pair of numeric columns."""
+def _survey(values: DataFrame) -> tuple[set[str], set[str]]:
+    """Columns with missing values, and columns that hold more than one value."""
+    row = values.agg(
+        *[F.count_if(col(c).isNull()).alias(f"{c}_gaps") for c in values.columns],
+        *[(F.min(col(c)) < F.max(col(c))).alias(f"{c}_varies") for c in values.columns],
+    ).first()
+    return {c for c in values.columns if row[f"{c}_gaps"]}, {c for c in values.columns if row[f"{c}_varies"]}
+
+
+def _prepared(df: DataFrame, cols: Sequence[str] | None) -> tuple[list[str], DataFrame, set[str], list[tuple[int, int]]]:
+    """Column names, their values as v0, v1, …, those with gaps, and the pairs worth computing."""
     names = chosen_numeric(df, cols)
     values = df.select(*[present(df, c).cast("double").alias(f"v{i}") for i, c in enumerate(names)])
-    shared = not _with_nulls(values)
-    pairs = list(combinations_with_replacement(range(len(names)), 2))
-    found = _moments(values, [(F.col(f"v{i}"), F.col(f"v{j}")) for i, j in pairs], shared)
-    return _table(df, names, {(names[i], names[j]): r for (i, j), r in zip(pairs, found)})
+    gaps, varying = _survey(values)
+    pairs = combinations_with_replacement(range(len(names)), 2)
+    return names, values, gaps, [(i, j) for i, j in pairs if {f"v{i}", f"v{j}"} <= varying]
 
 
-def _with_nulls(values: DataFrame) -> set[str]:
-    row = values.agg(*[F.count_if(col(c).isNull()).alias(c) for c in values.columns]).first()
-    return {c for c in values.columns if row[c]}
+def pearson_matrix(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
+    """(column_a, column_b, r) for every ordered pair of numeric columns."""
+    names, values, gaps, pairs = _prepared(df, cols)
+    found = _moments(values, [(F.col(f"v{i}"), F.col(f"v{j}")) for i, j in pairs], not gaps)
+    return _table(df, names, {(names[i], names[j]): r for (i, j), r in zip(pairs, found)})
 
 
 def spearman_matrix(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
@@ -63,9 +73,7 @@ def spearman_matrix(df: DataFrame, cols: Sequence[str] | None = None) -> DataFra
     A column is ranked once for all partners that have no missing values, and once more for each one that has.
     Ranks come from value counts, so equal values are one row however often they occur.
     """
-    names = chosen_numeric(df, cols)
-    values = df.select(*[present(df, c).cast("double").alias(f"v{i}") for i, c in enumerate(names)])
-    gaps = _with_nulls(values)
+    names, values, gaps, pairs = _prepared(df, cols)
     ranked: dict[str, Column] = {}
 
     def ranked_column(i: int, partner: int) -> str:
@@ -76,8 +84,9 @@ def spearman_matrix(df: DataFrame, cols: Sequence[str] | None = None) -> DataFra
         ranked.setdefault(f"{own}_{other}", F.when(F.col(other).isNotNull(), F.col(own)))
         return f"{own}_{other}"
 
-    pairs = list(combinations_with_replacement(range(len(names)), 2))
     sides = [(ranked_column(i, j), ranked_column(j, i)) for i, j in pairs]
+    if not sides:
+        return _table(df, names, {})
     wide = values.select(*[e.alias(n) for n, e in ranked.items()])
     counted = (
         wide.unpivot([], list(ranked), "column", "key")

@@ -11,8 +11,6 @@ from prepframe.functions.columns import col
 from prepframe.guards import as_list, require
 from prepframe.operators.rowid import ROW_ID, Numbered, number_rows
 
-PAGE_SIZES = (50, 100, 200, 500)
-
 
 def keep_columns(df: DataFrame, cols: str | Sequence[str]) -> DataFrame:
     return df.select(*[col(c) for c in require(df, cols)])

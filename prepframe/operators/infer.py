@@ -88,9 +88,11 @@ def detect(df: DataFrame, cols: Sequence[str] | None = None, head_rows: int | No
 
 
 def decisions(found: DataFrame, min_share: float = MIN_SHARE, date_min_share: float = MIN_SHARE) -> DataFrame:
-    """What the counts say, as columns: is_numeric, decimal_mark, date_format, is_date."""
+    """What the counts say, as columns: is_numeric, decimal_mark, date_format, date_hits, is_date (if not numeric)."""
     enough = F.col("n") >= MIN_VALUES
-    numeric = (enough & (_share("plain") > min_share)) | ((F.col("n") > 0) & (F.col("readable") == F.col("n")))
+    numeric = F.coalesce(
+        (enough & (_share("plain") > min_share)) | ((F.col("n") > 0) & (F.col("readable") == F.col("n"))), F.lit(False)
+    )
     hits = F.greatest(*[F.col(f"d{i}") for i in range(len(DATE_FORMATS))])
     best = F.coalesce(
         *[F.when((F.col(f"d{i}") == hits) & (hits > 0), F.lit(f)) for i, f in enumerate(DATE_FORMATS)]
@@ -98,11 +100,11 @@ def decisions(found: DataFrame, min_share: float = MIN_SHARE, date_min_share: fl
     known = F.try_divide(hits, F.col("n")) > date_min_share
     return found.select(
         "*",
-        F.coalesce(numeric, F.lit(False)).alias("is_numeric"),
+        numeric.alias("is_numeric"),
         F.when(F.col("dots") >= F.col("commas"), ".").otherwise(",").alias("decimal_mark"),
         best.alias("date_format"),
         hits.alias("date_hits"),
-        F.coalesce(enough & (known | (_share("any_date") > MIN_SHARE)), F.lit(False)).alias("is_date"),
+        F.coalesce(~numeric & enough & (known | (_share("any_date") > MIN_SHARE)), F.lit(False)).alias("is_date"),
     )
 
 

@@ -2,7 +2,8 @@
 
 A mapping of up to BROADCAST_ROWS rows is held by the driver and broadcast. A larger one is written once and
 joined by shuffle, except for its hot values: those with more than 1/HOT_SHARE of all rows, of which there can
-be at most HOT_SHARE, are broadcast and their rows never move.
+be at most HOT_SHARE. They are broadcast, and their rows (like those without a value) pass through the shuffle
+under a salt, so that no task receives them all.
 """
 
 from __future__ import annotations
@@ -20,7 +21,8 @@ from prepframe.operators.rowid import ROW_ID, number_rows, with_weight_before
 from prepframe.scratch import stored
 
 BROADCAST_ROWS = 10_000
-HOT_SHARE = 1_000
+HOT_SHARE = 10_000
+SALTS = 4_096
 CODE = "code"
 RANK = "rank"
 
@@ -36,18 +38,22 @@ class Lookups:
     def attach(self, df: DataFrame, column: str, key: Column, names: dict[str, str]) -> DataFrame:
         """Left-join values onto `df`: `names` is {value column: new column}."""
         renamed = [col("key").alias("_key"), *[col(v).alias(n) for v, n in names.items()]]
-        table = self.tables[column].select(*renamed)
         keyed = df.withColumn("_match", key)
         on = F.col("_match") == F.col("_key")
         if column not in self.hot:
-            return keyed.join(F.broadcast(table), on, "left").drop("_match", "_key")
-        if df.isStreaming:
-            return keyed.join(table, on, "left").drop("_match", "_key")
-        hot = F.broadcast(self.hot[column].select(*renamed))
-        null_key = F.col("_match").isNull()
-        near = keyed.join(hot, on, "left").where(null_key | F.col("_key").isNotNull())
-        far = keyed.where(~null_key).join(hot, on, "left_anti").join(table, on, "left")
-        return near.unionByName(far).drop("_match", "_key")
+            joined = keyed.join(F.broadcast(self.tables[column].select(*renamed)), on, "left")
+            return joined.drop("_match", "_key")
+        hot = self.hot[column].select(col("key").alias("_hot"), *[col(v).alias(f"_hot_{n}") for v, n in names.items()])
+        placed = keyed.join(F.broadcast(hot), F.col("_match") == F.col("_hot"), "left")
+        apart = F.col("_hot").isNotNull() | F.col("_match").isNull()
+        salt = F.when(apart, F.pmod(F.spark_partition_id(), F.lit(SALTS)) + 1).otherwise(0)
+        # n * 0 instead of a literal, which would be folded out of the join keys
+        salted_table = self.tables[column].select(*renamed, (F.col("n") * 0).alias("_no_salt"))
+        joined = placed.withColumn("_salt", salt.cast("long")).join(
+            salted_table, on & (F.col("_salt") == F.col("_no_salt")), "left"
+        )
+        settled = {n: F.coalesce(col(f"_hot_{n}"), col(n)).alias(n) for n in names.values()}
+        return joined.select(*[col(c) for c in df.columns], *settled.values())
 
 
 def _in_order(value):
@@ -59,7 +65,7 @@ def fit_lookups(
     counted: DataFrame,
     cols: Sequence[str],
     order_by: str | None = None,
-    broadcast_rows: int = BROADCAST_ROWS,
+    broadcast_rows: int | None = None,
 ) -> Lookups:
     """Build lookups from one table (column, key, n, values…) that covers all columns.
 
@@ -67,6 +73,7 @@ def fit_lookups(
     average rank its n rows share.
     """
     spark = counted.sparkSession
+    broadcast_rows = BROADCAST_ROWS if broadcast_rows is None else broadcast_rows
     counted = counted.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         head = counted.limit(broadcast_rows + 1).collect()
@@ -96,8 +103,7 @@ def _small(spark, schema: T.StructType, rows: list, cols: Sequence[str], order_b
 
 def _large(counted: DataFrame, cols: Sequence[str], order_by: str | None, broadcast_rows: int) -> Lookups:
     if order_by:
-        numbered = number_rows(counted, ["column", order_by]).rows()
-        table = with_weight_before(numbered, ROW_ID, "n", "_rows_before")
+        table = with_weight_before(number_rows(counted, ["column", order_by]), "n", "_rows_before")
         table = table.withColumn(RANK, F.col("_rows_before") + (F.col("n") + 1) / 2.0)
         table = stored(table.withColumnRenamed(ROW_ID, CODE).drop("_rows_before"), "lookup")
     else:

@@ -6,12 +6,14 @@ import math
 from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from prepframe.functions.columns import col, is_numeric, present
 from prepframe.guards import CATEGORIES, categories_of, require
+from prepframe.operators.lookup import fit_lookups
+from prepframe.scratch import stored
 
 MAX_RULES = 100_000
 CASE_RULES = 50
@@ -161,20 +163,105 @@ def replace_values(df: DataFrame, rules: Mapping[str, Mapping]) -> DataFrame:
     return apply_rules(df, make_rules(df, rules))
 
 
-def rules_from_table(df: DataFrame, table: DataFrame) -> list[Rule]:
-    """Rules (column, old, new, seq), all text, for the columns of `df`; at most MAX_RULES."""
+def replace_from_table(df: DataFrame, table: DataFrame, max_rules: int = MAX_RULES) -> DataFrame:
+    """Apply rules given as rows (column, old, new, seq), all text, in the order of seq.
+
+    Up to max_rules are resolved by the driver; more are resolved and joined as tables.
+    """
     require(table, ["column", "old", "new", "seq"])
-    rows = table.select("column", "old", "new", "seq").limit(MAX_RULES + 1).collect()
-    if len(rows) > MAX_RULES:
-        raise ValueError(f"more than {MAX_RULES} rules: join the table directly instead")
+    rows = table.select("column", "old", "new", "seq").limit(max_rules + 1).collect()
+    if len(rows) > max_rules:
+        return _replace_large(df, table)
     made: list[Rule] = []
     for r in sorted(rows, key=lambda r: r["seq"]):
         made += make_rules(df, {r["column"]: {r["old"]: r["new"]}})
-    return made
+    return apply_rules(df, made)
+
+
+_MISSING = "nan"
+
+
+def _cell_key(df: DataFrame, c: str) -> Column:
+    """A cell as the text rules are looked up by; a text that reads "nan" is no missing cell and matches nothing."""
+    value = present(df, c)
+    text = (value.cast("double") if is_numeric(df.schema[c].dataType) else value).cast("string")
+    return F.when(value.isNull(), F.lit(_MISSING)).when(F.lower(text) != _MISSING, text)
+
 
+def _resolved(df: DataFrame, table: DataFrame) -> DataFrame:
+    """(column, old, new) after all rules have run in turn: each round takes every value one rule further."""
+    numeric = F.col("column").isin([c for c in df.columns if is_numeric(df.schema[c].dataType)] or [""])
+
+    def as_key(c: str) -> Column:
+        number = F.col(c).try_cast("double").cast("string")
+        return F.when(numeric, F.coalesce(number, F.col(c))).otherwise(F.col(c))
+
+    missing = F.col("old").isNull() | (F.lower("old") == _MISSING)
+    rules = table.where(F.col("column").isin(df.columns)).select(
+        "column", F.when(missing, _MISSING).otherwise(as_key("old")).alias("old"), as_key("new").alias("new"), "seq"
+    )
+    rules = rules.where(~numeric | (F.col("old") == _MISSING) | F.col("old").try_cast("double").isNotNull())
+    rules = stored(rules, "rules")
+    state = rules.groupBy("column", "old").agg(F.min_by(F.struct("new", "seq"), "seq").alias("to"))
+    state = stored(state.select("column", "old", "to.new", "to.seq"), "rules")
+    later = rules.select("column", F.col("old").alias("new"), F.struct(F.col("seq"), F.col("new")).alias("later"))
+    while True:
+        onward = (
+            state.join(later, ["column", "new"])
+            .where(F.col("later.seq") > F.col("seq"))
+            .groupBy("column", "old")
+            .agg(F.min("later").alias("later"))
+        )
+        if onward.isEmpty():
+            return state.select("column", "old", "new")
+        moved = state.join(onward, ["column", "old"], "left")
+        state = stored(
+            moved.select(
+                "column",
+                "old",
+                F.when(F.col("later").isNull(), F.col("new")).otherwise(F.col("later.new")).alias("new"),
+                F.coalesce("later.seq", "seq").alias("seq"),
+            ),
+            "rules",
+        )
+
+
+def _replace_large(df: DataFrame, table: DataFrame) -> DataFrame:
+    ends = _resolved(df, table)
+    number = F.col("new").try_cast("double")
+    facts = ends.groupBy("column").agg(
+        F.bool_or(F.col("new").isNotNull() & number.isNull()).alias("text"),
+        F.bool_or(number != F.floor(number)).alias("fraction"),
+        F.min(number).alias("low"),
+        F.max(number).alias("high"),
+    )
+    types = {}
+    for r in facts.collect():
+        news = ["text"] if r["text"] else [0.5] if r["fraction"] else [int(v) for v in (r["low"], r["high"]) if v is not None]
+        types[r["column"]] = _widened(df.schema[r["column"]].dataType, news)
+    cols = [c for c in df.columns if c in types]
+    counted = (
+        df.select(*[_cell_key(df, c).alias(c) for c in cols])
+        .unpivot([], [col(c) for c in cols], "column", "key")
+        .where("key IS NOT NULL")
+        .groupBy("column", "key")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    hits = counted.join(ends.withColumnRenamed("old", "key"), ["column", "key"]).withColumn("hit", F.lit(True))
+    lookups, out = fit_lookups(hits, cols), df
+    for i, c in enumerate(cols):
+        out = lookups.attach(out, c, _cell_key(df, c), {"new": f"_new{i}", "hit": f"_hit{i}"})
+
+    def replaced(c: str) -> Column:
+        if c not in types:
+            return col(c)
+        i, kept = cols.index(c), present(df, c).cast(types[c])
+        new = F.col(f"_new{i}")
+        if isinstance(types[c], T.IntegralType):
+            new = new.cast("double")
+        return F.when(F.col(f"_hit{i}"), new.cast(types[c])).otherwise(kept).alias(c)
 
-def replace_from_table(df: DataFrame, table: DataFrame) -> DataFrame:
-    return apply_rules(df, rules_from_table(df, table))
+    return out.select(*[replaced(c) for c in df.columns])
 
 
 def replace_report(df: DataFrame, rules: Mapping[str, Mapping]) -> DataFrame:

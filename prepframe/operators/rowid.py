@@ -83,20 +83,20 @@ def with_row_id(df: DataFrame, order_by: Sequence[str | Column] = (), name: str
     return number_rows(df, order_by).rows(name=name)
 
 
-def with_weight_before(df: DataFrame, order_by: str, weight: str, name: str) -> DataFrame:
-    """Add the total weight of all rows earlier in the order, which must be unique (aggregate first)."""
-    numbered = number_rows(df, [order_by])
+def with_weight_before(numbered: Numbered, weight: str, name: str) -> DataFrame:
+    """The numbered rows with, as `name`, the total weight of all rows earlier in the order."""
     table = numbered.table
-    per_part = sorted(table.groupBy(_PART).agg(F.sum(col(weight)).alias("w")).collect(), key=lambda r: r[_PART])
+    totals = {r[_PART]: r["w"] for r in table.groupBy(_PART).agg(F.sum(col(weight)).alias("w")).collect()}
     shifts, total = [], 0
-    for row in per_part:
-        shifts.append((row[_PART], total))
-        total += row["w"] or 0
-    shift_table = df.sparkSession.createDataFrame(shifts, f"{_PART} int, _before long")
+    for part in sorted(totals):
+        shifts.append((part, numbered.before[part], total))
+        total += totals[part] or 0
+    shift_table = table.sparkSession.createDataFrame(shifts, f"{_PART} int, _before long, _weight long")
     within = Window.partitionBy(_PART).orderBy(_PLACE).rowsBetween(Window.unboundedPreceding, -1)
     return (
         table.withColumn("_within", F.coalesce(F.sum(col(weight)).over(within), F.lit(0)))
         .join(F.broadcast(shift_table), _PART)
-        .withColumn(name, F.col("_before") + F.col("_within"))
-        .drop(_PART, _PLACE, "_before", "_within")
+        .withColumn(ROW_ID, F.col("_before") + col(_PLACE))
+        .withColumn(name, F.col("_weight") + F.col("_within"))
+        .drop(_PART, _PLACE, "_before", "_weight", "_within")
     )

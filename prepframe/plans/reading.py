@@ -223,7 +223,7 @@ def detect_date_format(spark, sf):
 
 @query("detect_date", _per_column(f"count({{c}}) >= 3 AND {_BEST} / count({{c}}) > 0.7 AS is_date"))
 def detect_date(spark, sf):
-    return _decided(spark, sf).where("NOT is_numeric OR NOT is_date").select("column", "is_date")
+    return _decided(spark, sf).select("column", "is_date")
 
 
 @query(
