@@ -90,10 +90,9 @@ def mean_by_category(
     groups = [col(c) for c in require(df, [x, *([hue] if hue else [])])]
     v = present(df, y).cast("double")
     edge = F.max(v) if descending else F.min(v)
-    means = df.groupBy(*groups).agg(F.avg(v).alias("mean_y"), edge.alias("_edge")).where("mean_y IS NOT NULL")
-    means = means.where(col(x).isNotNull())
+    means = df.where(col(x).isNotNull() & v.isNotNull()).groupBy(*groups).agg(F.avg(v).alias("_mean"), edge.alias("_edge"))
     first = F.col("_edge").desc() if descending else F.col("_edge").asc()
-    return means.orderBy(first, *groups).drop("_edge")
+    return means.orderBy(first, *groups).select(*groups, F.col("_mean").alias("mean_y"))
 
 
 def line_series(df: DataFrame, x: str, y: str, hue: str | None = None) -> DataFrame:
@@ -104,12 +103,14 @@ def line_series(df: DataFrame, x: str, y: str, hue: str | None = None) -> DataFr
     points = (
         df.where(col(x).isNotNull() & v.isNotNull())
         .groupBy(*groups)
-        .agg(F.avg(v).alias("mean_y"), F.count(v).alias("n"), F.stddev_samp(v).alias("_s"))
+        .agg(F.avg(v).alias("_mean"), F.count(v).alias("_n"), F.stddev_samp(v).alias("_s"))
+        .orderBy(*groups)
     )
-    half = F.lit(1.96) * F.col("_s") / F.sqrt(F.col("n").cast("double"))
+    mean, n = F.col("_mean"), F.col("_n")
+    half = F.lit(1.96) * F.col("_s") / F.sqrt(n.cast("double"))
     return points.select(
-        *groups, "mean_y", "n", (F.col("mean_y") - half).alias("low"), (F.col("mean_y") + half).alias("high")
-    ).orderBy(*groups)
+        *groups, mean.alias("mean_y"), n.alias("n"), (mean - half).alias("low"), (mean + half).alias("high")
+    )
 
 
 def scatter_points(df: DataFrame, x: str, y: str, hue: str | None = None, size: str | None = None) -> DataFrame:

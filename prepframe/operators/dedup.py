@@ -51,7 +51,8 @@ def _only_single(df: DataFrame, names: list[str]) -> DataFrame:
 def duplicate_report(df: DataFrame, keys: str | Sequence[str] | None = None) -> DataFrame:
     """`members`: rows whose key is repeated. `surplus`: rows that keep-first or keep-last would remove."""
     names = require(df, as_list(keys)) or df.columns
-    repeated = df.groupBy(*[col(k) for k in names]).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    keyed = df.select(*[col(k).alias(f"k{i}") for i, k in enumerate(names)])
+    repeated = keyed.groupBy(*keyed.columns).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     return repeated.agg(
         F.count(F.lit(1)).alias("repeated_keys"),
         F.coalesce(F.sum("n"), F.lit(0)).alias("members"),

@@ -246,7 +246,7 @@ def categorical_profile_text(spark, sf):
 # ---- correlations ----
 
 
-def _corr_sql(cols: list[str], source: str, rank: bool = False) -> str:
+def _corr_sql(cols: list[str], source: str, rank: bool = False, digits: int = 6) -> str:
     """Pairwise correlations over rows where both are present; NULL for constant columns."""
     parts = []
     for a in cols:
@@ -257,7 +257,7 @@ def _corr_sql(cols: list[str], source: str, rank: bool = False) -> str:
                   rank() OVER (ORDER BY b) + (count(*) OVER (PARTITION BY b) - 1) / 2.0 AS b FROM ({both})"""
             parts.append(
                 f"""SELECT '{a}' AS column_a, '{b}' AS column_b, round(CASE WHEN min(a) <> max(a) AND min(b) <> max(b)
-                THEN covar_pop(a, b) / (stddev_pop(a) * stddev_pop(b)) END, 6) AS r FROM ({both})"""
+                THEN covar_pop(a, b) / (stddev_pop(a) * stddev_pop(b)) END, {digits}) AS r FROM ({both})"""
             )
     return " UNION ALL ".join(parts)
 
@@ -285,8 +285,8 @@ def spearman_gaps(spark, sf):
 
 @query(
     "corr_matrix_wide",
-    f"""WITH long AS ({_corr_sql(_CORR, 'lineitem')}) SELECT column_a AS "Variable", """
-    + ", ".join(f"round(max(r) FILTER (column_b = '{c}'), 4) AS {c}" for c in _CORR)
+    f"""WITH long AS ({_corr_sql(_CORR, 'lineitem', digits=4)}) SELECT column_a AS "Variable", """
+    + ", ".join(f"max(r) FILTER (column_b = '{c}') AS {c}" for c in _CORR)
     + " FROM long GROUP BY column_a",
 )
 def corr_matrix_wide(spark, sf):

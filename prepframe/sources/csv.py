@@ -84,6 +84,8 @@ def read_raw(
     `row_order` adds the columns ROW_ORDER, by which the lines can be put back in file order.
     """
     options = {"header": True, "sep": separator, "encoding": encoding, "escape": '"', "multiLine": multiline}
+    # lines must be judged alike whatever columns a query asks for, so the parser sees all of them
+    options["columnPruning"] = False
     header = spark.read.options(**options, inferSchema=False, enforceSchema=True).csv(path).columns
     schema = T.StructType([T.StructField(c, T.StringType()) for c in [*header, _CORRUPT]])
     raw = spark.read.options(**options, mode="PERMISSIVE", columnNameOfCorruptRecord=_CORRUPT).schema(schema).csv(path)
