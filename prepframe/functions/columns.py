@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -49,7 +51,7 @@ def present(df: DataFrame, name: str) -> Column:
 
 def strip(c: Column) -> Column:
     """Drop white space (blanks, tabs, newlines) at both ends."""
-    return F.regexp_replace(c, r"^\s+|\s+$", "")
+    return F.btrim(c, F.lit(" \t\n\r\x0b\x0c"))
 
 
 def na_to_null(c: Column) -> Column:
@@ -76,6 +78,29 @@ def short_label(c: Column, limit: int = 15, keep: int = 12) -> Column:
     return F.when(F.length(c) > limit, F.concat(F.substring(c, 1, keep), F.lit("..."))).otherwise(c)
 
 
+_DATE_PARTS = {
+    "yyyy": r"\d{4}",
+    "M": r"(0?[1-9]|1[0-2])",
+    "d": r"(0?[1-9]|[12]\d|3[01])",
+    "H": r"([01]?\d|2[0-3])",
+    "m": r"[0-5]?\d",
+    "s": r"[0-5]?\d",
+}
+
+
+def date_shape(fmt: str) -> str:
+    """A regular expression for texts of a date format, right but for the length of months.
+
+    Spark's parser builds an exception for every text it cannot read; the test in front avoids almost all.
+    """
+    parts = re.split("(yyyy|[MdHms])", fmt)
+    return "^" + "".join(_DATE_PARTS.get(p) or re.escape(p) for p in parts) + "$"
+
+
+def fits_date(c: Column, fmt: str) -> Column:
+    return c.rlike(date_shape(fmt)) & F.try_to_timestamp(c, F.lit(fmt)).isNotNull()
+
+
 def coerce_literal(value, dtype: T.DataType):
     """Give a user-typed literal the column's type; ValueError when it does not fit."""
     if value is None or isinstance(dtype, T.StringType):

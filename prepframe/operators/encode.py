@@ -148,36 +148,43 @@ class Target:
 
     lookups: Lookups
     global_mean: float
+    smoothing: float
+
+    def _encoded(self, total: Column, count: Column) -> Column:
+        """(n·mean + s·global) / (n + s), n·mean being the category's total; missing without any target."""
+        s = F.lit(self.smoothing)
+        return F.when(count > 0, (total + s * F.lit(self.global_mean)) / (count + s))
 
     def transform(self, df: DataFrame) -> DataFrame:
         sources, out = list(self.lookups.tables), df
         for i, c in enumerate(sources):
-            out = self.lookups.attach(out, c, col(c).cast("string"), {"encoded": f"_mean{i}"})
+            out = self.lookups.attach(out, c, col(c).cast("string"), {"total": f"_total{i}", "nt": f"_nt{i}"})
         means = [
-            F.coalesce(F.col(f"_mean{i}"), F.lit(self.global_mean)).alias(f"{c}_target") for i, c in enumerate(sources)
+            F.coalesce(self._encoded(F.col(f"_total{i}"), F.col(f"_nt{i}")), F.lit(self.global_mean)).alias(f"{c}_target")
+            for i, c in enumerate(sources)
         ]
         return out.select(*[col(c) for c in df.columns if c not in sources], *means)
 
     def mapping(self) -> DataFrame:
         """(column, value, encoded)."""
-        return _mapping_table(self.lookups, [F.col("encoded")])
+        encoded = self._encoded(F.col("total"), F.col("nt")).alias("encoded")
+        return _mapping_table(self.lookups, [encoded]).where("value IS NOT NULL")
 
 
 def fit_target(df: DataFrame, cols: str | Sequence[str], target: str, smoothing: float = 1.0) -> Target:
+    """One pass over the data: the global mean follows from the categories' totals (missing ones included)."""
     require_numeric(df, target)
     names = require_text(df, cols)
-    t = present(df, target).cast("double")
-    mean = df.agg(F.avg(t).alias("m")).first()["m"]
     counted = (
-        df.select(t.alias("_t"), *[col(c) for c in names])
+        df.select(present(df, target).cast("double").alias("_t"), *[col(c) for c in names])
         .unpivot(["_t"], [col(c) for c in names], "column", "key")
-        .where("key IS NOT NULL")
         .groupBy("column", "key")
-        .agg(F.count(F.lit(1)).alias("n"), F.count("_t").alias("nt"), F.avg("_t").alias("mean"))
+        .agg(F.count(F.lit(1)).alias("n"), F.sum("_t").alias("total"), F.count("_t").alias("nt"))
     )
-    smooth = F.lit(float(smoothing))
-    encoded = (F.col("nt") * F.col("mean") + smooth * F.lit(mean)) / F.nullif(F.col("nt") + smooth, F.lit(0.0))
-    return Target(fit_lookups(counted.select("column", "key", "n", encoded.alias("encoded")), names), mean)
+    lookups = fit_lookups(counted, names)
+    whole = lookups.tables[names[0]].agg(F.sum("total").alias("total"), F.sum("nt").alias("nt")).first()
+    mean = whole["total"] / whole["nt"] if whole["nt"] else None
+    return Target(lookups, mean, float(smoothing))
 
 
 def target_encode(df: DataFrame, cols: str | Sequence[str], target: str, smoothing: float = 1.0) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from prepframe.functions.columns import col
 from prepframe.guards import as_list, require
-from prepframe.operators.rowid import ROW_ID, Numbered, number_rows
+from prepframe.operators.rowid import ROW_ID, Numbered, number_rows, order_columns
 
 
 def keep_columns(df: DataFrame, cols: str | Sequence[str]) -> DataFrame:
@@ -20,6 +20,12 @@ def remove_columns(df: DataFrame, cols: str | Sequence[str]) -> DataFrame:
     return df.drop(*require(df, cols))
 
 
+def preview(df: DataFrame, n: int = 5, order_by: Sequence[str | Column] = ()) -> DataFrame:
+    """The first n rows."""
+    order = order_columns(order_by)
+    return (df.orderBy(*order) if order else df).limit(n)
+
+
 def _check_positions(positions: Sequence[int], total: int) -> None:
     outside = [p for p in positions if not 0 <= p < total]
     if outside:

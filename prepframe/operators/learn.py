@@ -9,7 +9,7 @@ from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -174,12 +174,11 @@ def classify(
 
 def class_metrics(df: DataFrame, label: str, predictions: Mapping[str, str]) -> dict[str, dict[str, float]]:
     """Accuracy and weighted F1 of several predictions, from one small confusion table."""
-    spark = df.sparkSession
     pairs = df.select(col(label).alias("y"), *[col(p).alias(m) for m, p in predictions.items()])
     confusion = (
         pairs.unpivot(["y"], list(predictions), "model", "p").groupBy("model", "y", "p").agg(F.count(F.lit(1)).alias("n"))
     )
-    table = spark.createDataFrame(confusion.collect(), confusion.schema)
+    table = stored(confusion, "confusion")
     rows = table.groupBy("model").agg(
         (F.sum(F.when(F.col("y") == F.col("p"), F.col("n")).otherwise(0)) / F.sum("n")).alias("accuracy")
     )
@@ -263,11 +262,7 @@ def seasonality(df: DataFrame, ts: str, value: str) -> DataFrame:
         .groupBy(F.date_trunc("month", col(ts)).cast("date").alias("month"))
         .agg(F.sum(present(df, value)).alias("total"))
     )
-    overall = monthly.agg(F.avg("total").alias("m"))
-    by_month = monthly.groupBy(F.month("month").alias("moy")).agg(F.avg("total").alias("moy_mean"))
-    return (
-        monthly.withColumn("moy", F.month("month"))
-        .join(F.broadcast(by_month), "moy")
-        .select("month", "total", (F.col("moy_mean") / overall.scalar()).alias("month_index"))
-        .orderBy("month")
-    )
+    # a table of months is short whatever the data holds, so its overall mean may be taken in one task
+    by_month = F.avg("total").over(Window.partitionBy(F.month("month")))
+    overall = F.avg("total").over(Window.partitionBy(F.lit(0)))
+    return monthly.select("month", "total", (by_month / overall).alias("month_index")).orderBy("month")

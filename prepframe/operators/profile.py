@@ -124,15 +124,17 @@ def categorical_profile(df: DataFrame, cols: Sequence[str] | None = None) -> Dat
         F.max(F.length("value")).cast("long").alias("length_max"),
         F.sum(F.length("value") * F.col("n")).alias("length_sum"),
     )
-    total = per_column.where("column = '_all'").select("count")
-    return per_column.where("column <> '_all'").select(
-        "column",
-        "count",
-        "distinct",
-        "mode",
-        (F.col("top") / F.col("count")).alias("top_share"),
-        (F.col("count") / total.scalar() * 100).alias("fill_pct"),
-        "length_min",
-        "length_max",
-        (F.col("length_sum") / F.col("count")).alias("length_mean"),
+    found = {r["column"]: r for r in per_column.collect()}
+    total = found["_all"]["count"] if "_all" in found else 0
+    rows = []
+    for c in names:
+        if c in found:
+            r = found[c]
+            n = r["count"]
+            lengths = (r["length_min"], r["length_max"], r["length_sum"] / n)
+            rows.append((c, n, r["distinct"], r["mode"], r["top"] / n, n / total * 100, *lengths))
+    return df.sparkSession.createDataFrame(
+        rows,
+        "column string, count long, distinct long, mode string, top_share double, fill_pct double, "
+        "length_min long, length_max long, length_mean double",
     )

@@ -66,6 +66,12 @@ def rows_range(spark, sf):
     return extract.rows_range(_orders(spark, sf), 100, 1200, ["o_orderkey"])
 
 
+@query("preview", "SELECT * EXCLUDE (o_orderdate) FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 10")
+def preview(spark, sf):
+    df = table(spark, sf, "orders").drop("o_orderdate")
+    return extract.preview(df, 10, [F.col("o_totalprice").desc(), "o_orderkey"])
+
+
 @query("cols_keep", "SELECT o_totalprice, o_orderkey FROM orders")
 def cols_keep(spark, sf):
     return extract.keep_columns(table(spark, sf, "orders"), ["o_totalprice", "o_orderkey"])

@@ -131,6 +131,11 @@ def csv_profile(spark, sf):
     return csv.csv_profile(spark, _written(_messy_orders(spark, sf), "messy", sep=";"))
 
 
+@query("csv_field_counts", "SELECT * FROM (VALUES (',', 1::BIGINT), (';', 5::BIGINT), ('\t', 1::BIGINT), ('|', 1::BIGINT)) AS v(separator, fields)")
+def csv_field_counts(spark, sf):
+    return csv.field_counts(spark, _written(_messy_orders(spark, sf), "messy", sep=";"))
+
+
 @query(
     "csv_row_order",
     "SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) - 1 AS place FROM orders",

@@ -67,6 +67,15 @@ def sniff(spark: SparkSession, path: str, fallback_encoding: str = FALLBACK_ENCO
     return separator, "UTF-8" if all(r["utf8"] for r in head) else fallback_encoding
 
 
+def field_counts(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFrame:
+    """(separator, fields): how many columns the header has under each candidate separator."""
+    rows = [
+        (s, len(spark.read.options(header=True, sep=s, encoding=encoding, escape='"', inferSchema=False).csv(path).columns))
+        for s in SEPARATORS
+    ]
+    return spark.createDataFrame(rows, "separator string, fields long")
+
+
 def _clean_header(names: Sequence[str]) -> list[str]:
     return [n.strip().replace("\ufeff", "").strip() for n in names]
 
