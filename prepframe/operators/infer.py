@@ -6,6 +6,7 @@ of columns; a second one counts the distinct values of the columns that may be c
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, replace
 
@@ -30,8 +31,22 @@ MIN_SHARE = 0.7
 MIN_VALUES = 3
 MAX_CATEGORY_VALUES = 100
 MAX_CATEGORY_SHARE = 0.5
-# No known date format matches a text that does not start like this; the test spares 17 others.
-_DATE_START = r"^\d{1,4}[-/.:]\d{1,2}[-/.:]\d"
+
+
+def _shapes(fmt: str) -> list[str]:
+    """The texts of a date format with every digit written as 0: single-digit parts may have one or two."""
+    shapes = [""]
+    for part in re.split("(yyyy|[MdHms])", fmt):
+        options = ["0000"] if part == "yyyy" else ["0", "00"] if part in ("M", "d", "H", "m", "s") else [part]
+        shapes = [s + o for s in shapes for o in options]
+    return shapes
+
+
+def _looks_like(fmt: str) -> str:
+    """SQL: the text has one of the format's shapes. Only short texts are rewritten to find out."""
+    shapes = ", ".join(f"'{s}'" for s in _shapes(fmt))
+    longest = max(len(s) for f in DATE_FORMATS for s in _shapes(f))
+    return f"CASE WHEN length(text) <= {longest} THEN translate(text, '123456789', '000000000') END IN ({shapes})"
 
 
 @dataclass(frozen=True)
@@ -62,10 +77,10 @@ def detect(df: DataFrame, cols: Sequence[str] | None = None, head_rows: int | No
     """
     names = require(df, cols) if cols else df.columns
     text, dotted = F.col("text"), F.replace(F.col("text"), F.lit(","), F.lit("."))
-    dated = text.rlike(_DATE_START)
-    formats = [
-        F.count_if(dated & fits_date(text, f)).alias(f"d{i}") for i, f in enumerate(DATE_FORMATS)
-    ]
+    dot, comma = F.contains(text, F.lit(".")), F.contains(text, F.lit(","))
+    # cheap tests stand before the dear ones: a text that does not start like a number is neither number nor date
+    starts = text.rlike(r"(?i)^[+-]?([.\d]|inf)")
+    formats = [F.count_if(starts & F.expr(_looks_like(f)) & fits_date(text, f)).alias(f"d{i}") for i, f in enumerate(DATE_FORMATS)]
     return (
         _texts(df, names, head_rows)
         .select("column", strip(F.col("value")).alias("text"))
@@ -73,14 +88,15 @@ def detect(df: DataFrame, cols: Sequence[str] | None = None, head_rows: int | No
         .agg(
             F.count(F.lit(1)).alias("n_rows"),
             F.count(text).alias("n"),
-            F.count_if(dotted.rlike(PLAIN_NUMBER)).alias("plain"),
-            F.count_if(text.rlike(READABLE_NUMBER)).alias("readable"),
-            F.count_if(dotted.rlike(READABLE_NUMBER)).alias("readable_dotted"),
-            F.count_if(text.rlike(r"^[+-]?\d{1,18}$")).alias("whole"),
+            F.count_if(starts & dotted.rlike(PLAIN_NUMBER)).alias("plain"),
+            F.count_if(starts & text.rlike(READABLE_NUMBER)).alias("readable"),
+            # a number written with a comma, readable once the comma is a dot
+            F.count_if(starts & comma & dotted.rlike(READABLE_NUMBER)).alias("readable_comma"),
+            F.count_if(starts & ~dot & ~comma & text.rlike(r"^[+-]?\d{1,18}$")).alias("whole"),
             F.count_if(F.lower(text).isin("true", "false")).alias("boolean"),
-            F.count_if(text.rlike(r"\d+\.\d+")).alias("dots"),
-            F.count_if(text.rlike(r"\d+,\d+")).alias("commas"),
-            F.count_if(text.try_cast("timestamp_ntz").isNotNull()).alias("any_date"),
+            F.count_if(dot & text.rlike(r"\d+\.\d+")).alias("dots"),
+            F.count_if(comma & text.rlike(r"\d+,\d+")).alias("commas"),
+            F.count_if(starts & text.try_cast("timestamp_ntz").isNotNull()).alias("any_date"),
             F.approx_count_distinct(text, 0.02).alias("distinct_about"),
             *formats,
         )
@@ -164,7 +180,7 @@ def infer_kinds(
             elif r["boolean"] == r["n"]:
                 kinds[c] = Kind("boolean")
             elif r["is_numeric"]:
-                read = r["readable_dotted"] if r["decimal_mark"] == "," else r["readable"]
+                read = r["readable"] + (r["readable_comma"] if r["decimal_mark"] == "," else 0)
                 whole = r["whole"] == r["n"]
                 kinds[c] = Kind("numeric", decimal_mark=r["decimal_mark"], whole=whole, parse_loss=r["n"] - read)
             elif r["is_date"]:
