@@ -92,7 +92,7 @@ def csv_sniff_separator(spark, sf):
 @query("csv_sniff_encoding", "SELECT * FROM (VALUES ('ISO-8859-1', 'ISO-8859-1'), ('UTF-8', 'UTF-8')) AS v(written, found)")
 def csv_sniff_encoding(spark, sf):
     """The documents with an accented letter added, written in two encodings."""
-    docs = table(spark, sf, "documents").select("doc_id", F.concat(F.lit("é "), "lang").alias("lang"))
+    docs = table(spark, sf, "documents").select("doc_id", F.concat(F.lit("é "), "lang").alias("é"))
     out = None
     for encoding in ("UTF-8", "ISO-8859-1"):
         found = csv.dialects(spark, _written(docs, "encoded", encoding=encoding))
