@@ -72,37 +72,84 @@ def prepare_features(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return fit_features(df, cols).transform(chosen)
 
 
+MAX_LABELS = 1_000
+_BITS_PER_PASS = 10
+_GATHER_DRAWS = 50_000
+
+
 def stratified_split(
     df: DataFrame, label: str, key: str | Sequence[str], test_share: float = 0.3, seed: int = 42
 ) -> DataFrame:
     """Add `_is_test`: round(share · n) rows of every label, the same ones for the same seed and keys.
 
-    Rows are placed by (label, hash of the key) over all tasks, so a label with most of the rows is no hot spot.
+    A row is drawn by the hash of its key, and every label gets the limit below which exactly the wanted number
+    of its hashes lie. The limits are found by counting, so no row is moved. Only where equal hashes straddle a
+    limit (keys that repeat) are the rows put in order instead.
     """
     keys = [key] if isinstance(key, str) else list(key)
     require(df, [label, *keys])
     draw = F.xxhash64(*[col(k) for k in keys], F.lit(seed))
+    limits = _draw_limits(df.select(col(label).alias("label"), draw.alias("draw")), test_share)
+    if limits is None:
+        return _ranked_split(df, label, keys, draw, test_share)
+    kind = df.schema[label].dataType.simpleString()
+    table = df.sparkSession.createDataFrame(list(limits.items()), f"_label_value {kind}, _limit long")
+    joined = df.join(F.broadcast(table), col(label).eqNullSafe(F.col("_label_value")))
+    below = F.coalesce(draw < F.col("_limit"), F.lit(True))
+    return joined.withColumn(SPLIT, below).drop("_label_value", "_limit")
+
+
+def _draw_limits(draws: DataFrame, share: float) -> dict | None:
+    """Per label the hash with exactly round(share · n) smaller ones (None: all are), or None if ties forbid it.
+
+    Hashes are counted by their leading bits; of the part that holds the limit the next bits are counted, and
+    so on, until what is left is small enough to look at.
+    """
+    spark, kind = draws.sparkSession, draws.schema["label"].dataType.simpleString()
+    shift = 64 - _BITS_PER_PASS
+    counts = draws.groupBy("label", F.shiftright("draw", shift).alias("part")).agg(F.count(F.lit(1)).alias("n"))
+    rows = counts.limit((MAX_LABELS + 1) << _BITS_PER_PASS).collect()
+    totals: dict = {}
+    for r in rows:
+        totals[r["label"]] = totals.get(r["label"], 0) + r["n"]
+    if len(totals) > MAX_LABELS:
+        raise ValueError(f"not a class label: more than {MAX_LABELS} values")
+    wanted = {c: int(n * share + 0.5) for c, n in totals.items()}
+    limits = {c: None for c, n in totals.items() if wanted[c] >= n}
+    while True:
+        inside = {}
+        for c in totals.keys() - limits.keys():
+            for r in sorted((r for r in rows if r["label"] == c), key=lambda r: r["part"]):
+                if wanted[c] < r["n"]:
+                    inside[c] = (r["part"], r["n"])
+                    break
+                wanted[c] -= r["n"]
+            # wanted[c] hashes of the part are still to come; with none the limit is where the part begins
+            if wanted[c] == 0:
+                limits[c] = inside.pop(c)[0] << shift
+        if not inside:
+            return limits
+        if shift == 0:
+            return None
+        parts = spark.createDataFrame([(c, p) for c, (p, _) in inside.items()], f"at {kind}, part_at long")
+        here = draws.join(F.broadcast(parts), F.col("label").eqNullSafe(F.col("at")))
+        here = here.where(F.shiftright("draw", shift) == F.col("part_at"))
+        shift = 0 if sum(n for _, n in inside.values()) <= _GATHER_DRAWS else max(0, shift - _BITS_PER_PASS)
+        rows = here.groupBy("label", F.shiftright("draw", shift).alias("part")).agg(F.count(F.lit(1)).alias("n")).collect()
+
+
+def _ranked_split(df: DataFrame, label: str, keys: list[str], draw, share: float) -> DataFrame:
+    """The same split by places within (label, hash), equal hashes in order of arrival."""
     numbered = number_rows(df, [col(label), draw, *keys]).rows(name="_at")
     sizes = numbered.groupBy(col(label).alias("_label_value")).agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_from"))
     in_label = F.col("_at") - F.col("_from")
     return (
-        numbered.join(F.broadcast(_few(sizes)), col(label).eqNullSafe(F.col("_label_value")))
-        .withColumn(SPLIT, in_label < F.round(F.col("_n") * test_share))
+        numbered.join(F.broadcast(sizes), col(label).eqNullSafe(F.col("_label_value")))
+        .withColumn(SPLIT, in_label < F.floor(F.col("_n") * share + 0.5))
         .drop("_at", "_label_value", "_n", "_from")
     )
 
 
-MAX_LABELS = 1_000
-
-
-def _few(sizes: DataFrame) -> DataFrame:
-    """A class label has few values; the table of their sizes is checked before it is broadcast."""
-    rows = sizes.limit(MAX_LABELS + 1).collect()
-    if len(rows) > MAX_LABELS:
-        raise ValueError(f"not a class label: more than {MAX_LABELS} values")
-    return sizes.sparkSession.createDataFrame(rows, sizes.schema)
-
-
 @dataclass
 class Classified:
     """Predictions for every row, and test measures per model: {model: {accuracy, weighted_f1}}."""

@@ -45,6 +45,31 @@ def test_split_of_one_dominant_label(spark):
     }
 
 
+def _sizes(split):
+    return {(r[0], r[1]): r[2] for r in split.groupBy("label", "_is_test").count().collect()}
+
+
+def test_split_counts_deeper_and_by_order_when_keys_repeat(spark, monkeypatch):
+    df = spark.range(5000).select("id", (F.col("id") % 3).alias("label"), F.lit(7).alias("same"))
+    want = {(r["id"], r["_is_test"]) for r in learn.stratified_split(df, "label", "id").collect()}
+    monkeypatch.setattr(learn, "_GATHER_DRAWS", 0)
+    monkeypatch.setattr(learn, "_BITS_PER_PASS", 4)
+    assert {(r["id"], r["_is_test"]) for r in learn.stratified_split(df, "label", "id").collect()} == want
+    sizes = _sizes(learn.stratified_split(df, "label", "same"))
+    assert sizes == _sizes(learn.stratified_split(df, "label", "id"))
+    assert sum(n for (_, test), n in sizes.items() if test) == 500 + 500 + 500
+
+
+def test_split_moves_no_rows(spark):
+    df = spark.range(5000).select("id", (F.col("id") % 3).alias("label"))
+    split = learn.stratified_split(df, "label", "id")
+    plan = split._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan and "Exchange rangepartitioning" not in plan
+    everything = learn.stratified_split(df, "label", "id", test_share=1.0)
+    assert everything.where("_is_test").count() == 5000
+    assert learn.stratified_split(df, "label", "id", test_share=0.0).where("_is_test").count() == 0
+
+
 def test_classifiers_find_clear_groups(flowers):
     models = ("logreg", "dtree", "id3", "forest")
     found = learn.classify(flowers, ["a", "b", "c"], "label", "id", models=models)
