@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from prepframe.functions.columns import col
 from prepframe.guards import as_list, require
@@ -32,42 +33,110 @@ def _check_positions(positions: Sequence[int], total: int) -> None:
         raise ValueError(f"row positions outside 0..{total - 1}: {outside[:10]}")
 
 
-def _positions_table(df: DataFrame, positions: Sequence[int]) -> DataFrame:
-    return df.sparkSession.createDataFrame(
-        [(int(p), i) for i, p in enumerate(positions)], f"{ROW_ID} long, _seq long"
-    )
-
-
 def _as_numbered(df: DataFrame | Numbered, order_by) -> Numbered:
     return df if isinstance(df, Numbered) else number_rows(df, order_by)
 
 
+def _key_names(df: DataFrame | Numbered, order_by) -> list[str] | None:
+    """The order's columns, if rows can be looked up by their values: plain names of simple types."""
+    names = as_list(order_by) if isinstance(order_by, str) else list(order_by)
+    if isinstance(df, Numbered) or not names or not all(isinstance(o, str) for o in names):
+        return None
+    simple = (T.IntegralType, T.StringType, T.DateType)
+    return names if all(isinstance(df.schema[c].dataType, simple) for c in require(df, names)) else None
+
+
+class _Keys:
+    """The order columns alone, numbered: positions are settled on them, and only the rows wanted are then read
+    from the table by key. None is given wherever equal or missing keys leave it open which rows are meant."""
+
+    def __init__(self, df: DataFrame, names: list[str]):
+        self.df, self.names = df, names
+        self.numbered = number_rows(df.select(*[col(c) for c in names]), names)
+
+    def distinct_keys(self, positions: Sequence[int]) -> dict[int, tuple] | None:
+        """The keys at the positions, if no neighbour has the same one."""
+        near = self.numbered.at(sorted({q for p in positions for q in (p - 1, p, p + 1)}))
+        found = {p: tuple(near[p]) for p in positions}
+        for p, key in found.items():
+            if None in key or any(q in near and tuple(near[q]) == key for q in (p - 1, p + 1)):
+                return None
+        return found
+
+    def table(self, positions: Sequence[int]) -> DataFrame | None:
+        """(keys…, _seq) for a list of positions."""
+        found = self.distinct_keys(positions)
+        if found is None:
+            return None
+        fields = [self.df.schema[c] for c in self.names]
+        schema = T.StructType([*fields, T.StructField("_seq", T.LongType())])
+        return self.df.sparkSession.createDataFrame([(*found[p], i) for i, p in enumerate(positions)], schema)
+
+    def between(self, start: int, end: int) -> DataFrame | None:
+        """Rows from start to end by a condition on the keys, which reaches the scan."""
+        near = {p: tuple(r) for p, r in self.numbered.at([start - 1, start, end, end + 1]).items()}
+        low, high = near[start], near[end]
+        if None in (*low, *high) or near.get(start - 1) == low or near.get(end + 1) == high:
+            return None
+
+        def key(values: tuple) -> Column:
+            return F.struct(*[F.lit(v).cast(self.df.schema[c].dataType).alias(c) for c, v in zip(self.names, values)])
+
+        first, own = col(self.names[0]), F.struct(*[col(c).alias(c) for c in self.names])
+        rows = self.df.where((first >= F.lit(low[0])) & (first <= F.lit(high[0])))
+        return rows if len(self.names) == 1 else rows.where((own >= key(low)) & (own <= key(high)))
+
+
+def _positions_table(df: DataFrame, positions: Sequence[int]) -> DataFrame:
+    rows = [(int(p), i) for i, p in enumerate(positions)]
+    return df.sparkSession.createDataFrame(rows, f"{ROW_ID} long, _seq long")
+
+
 def keep_rows(df: DataFrame | Numbered, positions: Sequence[int], order_by: Sequence[str | Column] = ()) -> DataFrame:
     """Rows at the listed positions, in the listed order, as often as listed."""
+    names = _key_names(df, order_by)
+    if names and positions:
+        keys = _Keys(df, names)
+        _check_positions(positions, keys.numbered.count)
+        wanted = keys.table(positions)
+        if wanted is not None:
+            return df.join(F.broadcast(wanted), names).orderBy("_seq").select(*[col(c) for c in df.columns])
     numbered = _as_numbered(df, order_by)
     _check_positions(positions, numbered.count)
     if not positions:
         return numbered.rows(0, -1).drop(ROW_ID)
     near = numbered.rows(min(positions), max(positions))
-    wanted = F.broadcast(_positions_table(near, positions))
-    return near.join(wanted, ROW_ID).orderBy("_seq").drop(ROW_ID, "_seq")
+    return near.join(F.broadcast(_positions_table(near, positions)), ROW_ID).orderBy("_seq").drop(ROW_ID, "_seq")
 
 
 def remove_rows(df: DataFrame | Numbered, positions: Sequence[int], order_by: Sequence[str | Column] = ()) -> DataFrame:
+    names = _key_names(df, order_by)
+    if names and positions:
+        keys = _Keys(df, names)
+        _check_positions(positions, keys.numbered.count)
+        gone = keys.table(sorted(set(positions)))
+        if gone is not None:
+            return df.join(F.broadcast(gone.drop("_seq")), names, "left_anti").select(*[col(c) for c in df.columns])
     numbered = _as_numbered(df, order_by)
     _check_positions(positions, numbered.count)
     rows = numbered.rows()
-    gone = F.broadcast(_positions_table(rows, positions).select(ROW_ID))
-    return rows.join(gone, ROW_ID, "left_anti").drop(ROW_ID)
+    return rows.join(F.broadcast(_positions_table(rows, positions).select(ROW_ID)), ROW_ID, "left_anti").drop(ROW_ID)
+
+
+def _between(df: DataFrame | Numbered, start: int, end: int, order_by, keys: _Keys | None) -> DataFrame:
+    rows = keys.between(start, end) if keys else None
+    return _as_numbered(df, order_by).rows(start, end).orderBy(ROW_ID).drop(ROW_ID) if rows is None else rows.orderBy(*keys.names)
 
 
 def rows_range(df: DataFrame | Numbered, start: int, end: int, order_by: Sequence[str | Column] = ()) -> DataFrame:
     """Rows from position start to end, both included."""
-    numbered = _as_numbered(df, order_by)
+    names = _key_names(df, order_by)
+    keys = _Keys(df, names) if names else None
+    numbered = keys.numbered if keys else (df := _as_numbered(df, order_by))
     _check_positions([start, end], numbered.count)
     if start > end:
         raise ValueError("start lies after end")
-    return numbered.rows(start, end).drop(ROW_ID)
+    return _between(df, start, end, order_by, keys)
 
 
 def extract_subtable(
@@ -101,13 +170,15 @@ def page(
     """
     if size is not None and size < 1:
         raise ValueError("page size must be positive")
-    numbered = _as_numbered(df, order_by)
+    names = _key_names(df, order_by)
+    keys = _Keys(df, names) if names else None
+    numbered = keys.numbered if keys else (df := _as_numbered(df, order_by))
     total = numbered.count
     size = size or max(total, 1)
     pages = max(1, -(-total // size))
     number = min(max(number, 0), pages - 1)
     first, last = number * size, min((number + 1) * size, total) - 1
-    shown = numbered.rows(first, last).orderBy(ROW_ID)
+    shown = _between(df, first, last, order_by, keys if total else None)
     return shown, {"page": number, "pages": pages, "first": first + 1 if total else 0, "last": last + 1, "total": total}
 
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from prepframe.functions.columns import col
@@ -52,6 +52,22 @@ class Numbered:
         return numbered.drop(_PART, _PLACE, "_before")
 
 
+    def at(self, positions: Sequence[int]) -> dict[int, Row]:
+        """A few single rows by position, without their row numbers."""
+        wanted = [p for p in positions if 0 <= p < self.count]
+        parts = {p: b for p, b in self.before.items() if any(b <= w < b + self.sizes[p] for w in wanted)}
+        places = F.lit(False)
+        for part, before in parts.items():
+            here = [w - before for w in wanted if before <= w < before + self.sizes[part]]
+            places = places | ((col(_PART) == part) & col(_PLACE).isin(here))
+        found = {}
+        for r in self.table.where(places).collect():
+            values = r.asDict()
+            position = self.before[values.pop(_PART)] + values.pop(_PLACE)
+            found[position] = Row(**values)
+        return found
+
+
 def number_rows(df: DataFrame, order_by: Sequence[str | Column] = ()) -> Numbered:
     """Store the table in the given order (ties, and no order at all, keep the order of arrival)."""
     order = order_columns(order_by)

@@ -61,6 +61,16 @@ def rows_remove(spark, sf):
     return extract.remove_rows(_orders(spark, sf), _POSITIONS, ["o_orderkey"])
 
 
+@query(
+    "rows_range_ties",
+    f"SELECT {_ORDER_COLS} FROM (SELECT *, row_number() OVER (ORDER BY o_orderstatus, o_totalprice, o_orderkey) - 1 AS pos "
+    "FROM orders) WHERE pos BETWEEN 200 AND 900",
+)
+def rows_range_ties(spark, sf):
+    """An order over several columns, the first of them with few values."""
+    return extract.rows_range(_orders(spark, sf), 200, 900, ["o_orderstatus", "o_totalprice", "o_orderkey"])
+
+
 @query("rows_range", f"WITH {_ORDER_ROWS} SELECT {_ORDER_COLS} FROM rows WHERE pos BETWEEN 100 AND 1200")
 def rows_range(spark, sf):
     return extract.rows_range(_orders(spark, sf), 100, 1200, ["o_orderkey"])
@@ -103,7 +113,7 @@ def extract_subtable_remove(spark, sf):
 
 @query("page", f"WITH {_ORDER_ROWS} SELECT {_ORDER_COLS} FROM rows WHERE pos BETWEEN 600 AND 799")
 def page(spark, sf):
-    return extract.page(_orders(spark, sf), 3, 200, ["o_orderkey"])[0].drop(rowid.ROW_ID)
+    return extract.page(_orders(spark, sf), 3, 200, ["o_orderkey"])[0]
 
 
 @query(

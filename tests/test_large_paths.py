@@ -129,6 +129,37 @@ def test_ties_keep_their_order_of_arrival(spark):
     assert {r["id"]: r["_row_id"] for r in with_row_id(df).collect()} == {i: i for i in range(1000)}
 
 
+def test_rows_are_read_by_key_where_keys_allow(spark, tmp_path):
+    from prepframe.operators import extract
+
+    path = str(tmp_path / "t")
+    spark.range(1000).select("id", (F.col("id") % 10).alias("k"), F.col("id").cast("string").alias("s")).write.parquet(path)
+    df = spark.read.parquet(path)
+    by_key = extract.rows_range(df, 100, 199, "id")
+    plan = by_key._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(id,100)" in plan and "LessThanOrEqual(id,199)" in plan
+    for order in (["id"], ["k", "id"], ["s"], ["k", "s"]):
+        rows = [tuple(r) for r in df.collect()]
+        at = [df.columns.index(c) for c in order]
+        rows.sort(key=lambda r: [r[i] for i in at])
+        assert [tuple(r) for r in extract.rows_range(df, 95, 305, order).collect()] == rows[95:306]
+        assert [tuple(r) for r in extract.keep_rows(df, [999, 0, 7, 7], order).collect()] == [rows[i] for i in (999, 0, 7, 7)]
+        left = {tuple(r) for r in extract.remove_rows(df, [999, 0, 7, 7], order).collect()}
+        assert left == set(rows) - {rows[999], rows[0], rows[7]}
+        assert [tuple(r) for r in extract.page(df, 3, 50, order)[0].collect()] == rows[150:200]
+
+
+def test_equal_or_missing_keys_take_the_whole_order(spark):
+    from prepframe.operators import extract
+
+    df = spark.range(0, 100, 1, 4).select("id", F.when(F.col("id") >= 10, F.col("id") % 2).alias("k"))
+    arrival = sorted(range(100), key=lambda i: (i >= 10, i % 2 if i >= 10 else 0, i))
+    assert [r["id"] for r in extract.rows_range(df, 5, 30, "k").collect()] == arrival[5:31]
+    assert [r["id"] for r in extract.keep_rows(df, [3, 50, 99], "k").collect()] == [arrival[i] for i in (3, 50, 99)]
+    assert {r["id"] for r in extract.remove_rows(df, [3, 50], "k").collect()} == set(range(100)) - {arrival[3], arrival[50]}
+    assert extract.page(df.limit(0), 0, 10, "id")[0].count() == 0
+
+
 def test_a_range_reads_only_its_parts(spark):
     numbered = number_rows(spark.range(0, 1000, 1, 8).select("id"))
     assert len(numbered.before) == 8
