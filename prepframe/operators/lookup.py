@@ -1,9 +1,9 @@
 """Tables that map a column's values to fitted figures, and how they are joined back.
 
-A mapping of up to BROADCAST_ROWS rows is held by the driver and broadcast. A larger one is written once and
-joined by shuffle, except for its hot values: those with more than 1/HOT_SHARE of all rows, of which there can
-be at most HOT_SHARE. They are broadcast, and their rows (like those without a value) pass through the shuffle
-under a salt, so that no task receives them all.
+A mapping of up to BROADCAST_ROWS rows and BROADCAST_BYTES of keys is held by the driver and broadcast. A larger
+one is written once and joined by shuffle, except for its hot values: those with more than 1/HOT_SHARE of all
+rows, of which there can be at most HOT_SHARE, if they are no longer than HOT_LENGTH. They are broadcast, and
+their rows (like those without a value) pass through the shuffle under a salt, so that no task receives them all.
 """
 
 from __future__ import annotations
@@ -21,7 +21,9 @@ from prepframe.operators.rowid import ROW_ID, number_rows, with_weight_before
 from prepframe.scratch import stored
 
 BROADCAST_ROWS = 10_000
+BROADCAST_BYTES = 16 << 20
 HOT_SHARE = 10_000
+HOT_LENGTH = 1_000
 SALTS = 4_096
 CODE = "code"
 RANK = "rank"
@@ -61,6 +63,10 @@ def _in_order(value):
     return [(v is not None, v) for v in value] if isinstance(value, tuple) else [(True, value)]
 
 
+def _key_bytes() -> Column:
+    return F.coalesce(F.sum(F.octet_length(F.col("key").cast("string"))), F.lit(0)).alias("bytes")
+
+
 def fit_lookups(
     counted: DataFrame,
     cols: Sequence[str],
@@ -76,9 +82,9 @@ def fit_lookups(
     broadcast_rows = BROADCAST_ROWS if broadcast_rows is None else broadcast_rows
     counted = counted.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        head = counted.limit(broadcast_rows + 1).collect()
-        if len(head) <= broadcast_rows:
-            return _small(spark, counted.schema, head, cols, order_by)
+        rows, size = counted.limit(broadcast_rows + 1).agg(F.count(F.lit(1)), _key_bytes()).first()
+        if rows <= broadcast_rows and size <= BROADCAST_BYTES:
+            return _small(spark, counted.schema, counted.collect(), cols, order_by)
         return _large(counted, cols, order_by, broadcast_rows)
     finally:
         counted.unpersist()
@@ -108,7 +114,7 @@ def _large(counted: DataFrame, cols: Sequence[str], order_by: str | None, broadc
         table = stored(table.withColumnRenamed(ROW_ID, CODE).drop("_rows_before"), "lookup")
     else:
         table = stored(counted, "lookup")
-    per_column = table.groupBy("column").agg(F.count(F.lit(1)).alias("keys"), F.sum("n").alias("rows")).collect()
+    per_column = table.groupBy("column").agg(F.count(F.lit(1)).alias("keys"), F.sum("n").alias("rows"), _key_bytes()).collect()
     tables, sizes, hot, keys_before, rows_before = {}, {}, {}, 0, 0
     found = {r["column"]: r for r in per_column}
     for c in sorted(found):
@@ -119,8 +125,9 @@ def _large(counted: DataFrame, cols: Sequence[str], order_by: str | None, broadc
                 RANK, F.col(RANK) - F.lit(float(rows_before))
             )
         keys_before, rows_before = keys_before + keys, rows_before + rows
-        if keys > broadcast_rows:
-            hot[c] = mine.where(F.col("n") * HOT_SHARE > F.lit(rows))
+        if keys > broadcast_rows or found[c]["bytes"] > BROADCAST_BYTES:
+            common = F.col("n") * HOT_SHARE > F.lit(rows)
+            hot[c] = mine.where(common & (F.octet_length(F.col("key").cast("string")) <= HOT_LENGTH))
         tables[c], sizes[c] = mine, keys
     for c in cols:
         if c not in tables:

@@ -75,6 +75,14 @@ def test_hot_rows_are_salted(skewed, no_broadcast):
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
 
 
+def test_long_keys_are_not_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(lookup, "BROADCAST_BYTES", 500)
+    df = spark.range(100).select("id", F.repeat((F.col("id") % 4).cast("string"), 300).alias("k"))
+    fitted = encode.fit_label_codes(df, "k")
+    assert list(fitted.lookups.hot) == ["k"]
+    assert {(r["id"] % 4, r["k_code"]) for r in fitted.transform(df).collect()} == {(i, i) for i in range(4)}
+
+
 def test_ranks(skewed, no_broadcast):
     df = skewed.select("v", (F.col("v") * F.col("v") % 50).alias("w"), F.when(F.col("id") % 3 > 0, F.col("id")).alias("u"))
     import pandas as pd

@@ -9,6 +9,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from prepframe.functions import columns
 from prepframe.operators import chartdata, corr, dedup, encode, missing, profile, replace, scale
 
 texts = st.one_of(st.none(), st.sampled_from(["a", "b", "", " c", "zażółć", "'x\"", "10", "9"]))
@@ -70,7 +71,7 @@ def test_filling_leaves_nothing_missing(spark, rows):
     filled = missing.fill(df, {"k": "mode", "v": "median", "n": "mean"})
     for i, c in enumerate(("k", "v", "n")):
         present = [r[i] for r in rows if r[i] is not None and r[i] == r[i]]
-        gaps = filled.where(F.col(c).isNull()).count()
+        gaps = filled.where(columns.present(filled, c).isNull()).count()
         assert gaps == (0 if present else len(rows))
 
 
