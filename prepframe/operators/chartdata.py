@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from prepframe.functions.columns import col, present
 from prepframe.guards import require, require_numeric
 
+# What stands for "no column", and the label of the remaining categories.
 NO_COLUMN = ("", "brak", None)
 OTHER = "Inne"
 

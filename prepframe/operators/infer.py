@@ -27,6 +27,7 @@ from prepframe.functions.columns import (
 )
 from prepframe.guards import CATEGORIES, KIND, require
 
+# How sure a guess must be, and how few values make a category.
 MIN_SHARE = 0.7
 MIN_VALUES = 3
 MAX_CATEGORY_VALUES = 100
