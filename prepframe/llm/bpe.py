@@ -30,8 +30,9 @@ from pyspark.sql import types as T
 
 from prepframe.llm.automaton import Transducer, compile_words
 from prepframe.llm.frames import column, longs, map_columns, steps, strings
+from prepframe.scratch import stored
 
-#: Words compiled into the lexicon: the most frequent ones of the corpus, ties in the order of the words.
+#: Words compiled into the lexicon at most: the most frequent ones of the corpus.
 LEXICON_WORDS = 50_000
 #: Longest word of the lexicon, in bytes.
 LEXICON_BYTES = 48
@@ -255,7 +256,10 @@ class Encoder:
 
 
 def frequent_words(df: DataFrame, text_col: str, most: int) -> list[str]:
-    """The words that occur most often, counted over every text; at most `most` reach the driver."""
+    """The words that occur most often, and twice at least, counted over every text; at most `most` reach the driver.
+
+    Words that occur equally often are all taken or all left.
+    """
 
     def count(batches):
         found: Counter[str] = Counter()
@@ -273,8 +277,16 @@ def frequent_words(df: DataFrame, text_col: str, most: int) -> list[str]:
         yield told()
 
     counted = df.select(column(text_col).alias("text")).mapInArrow(count, "word string, n long").where(F.octet_length("word") <= LEXICON_BYTES)
-    top = counted.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(most)
-    return top.toArrow().column("word").to_pylist()
+    often = stored(counted.groupBy("word").agg(F.sum("n").alias("n")).where("n > 1"), "words")
+    # How many words have which count (above 1000 in steps of a hundredth): whole steps are taken while they fit.
+    step = F.when(F.col("n") <= 1000, F.col("n")).otherwise(1000 + F.floor(100 * F.log(F.col("n") / 1000)))
+    least, total = None, 0
+    for row in often.groupBy(step.alias("step")).agg(F.count("*").alias("words"), F.min("n").alias("n")).orderBy(F.desc("step")).collect():
+        total += row["words"]
+        if total > most:
+            break
+        least = row["n"]
+    return [] if least is None else sorted(often.where(F.col("n") >= least).select("word").toArrow().column("word").to_pylist())
 
 
 def compile_lexicon(vocabulary: Vocabulary, words: list[str]) -> np.ndarray:

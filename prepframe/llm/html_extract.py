@@ -13,7 +13,7 @@ they are read and no host's pages meet in one task. The template of a host is a
 
 Cases: null and empty pages, and pages without main text, give an empty text. Pages of a host without a template (few
 pages, null or strange address) are cut by the names on their own paths: the article or main element, else the body.
-Repeated rows give equal results; texts that are the same because articles are copies of one another aren't constant.
+Repeated rows give equal results. Texts whose pages all have the same longest block aren't constant: copies of one article.
 """
 
 from __future__ import annotations
@@ -58,8 +58,8 @@ TOKENS = "host string, token long, name string, depth int, is_text boolean, main
 _KINDS = [pa.string(), pa.int64(), pa.string(), pa.int32(), pa.bool_(), pa.bool_(), *[pa.int64()] * 7]
 
 
-def _tokens(url: str | None, html: str | None) -> tuple[str, dict[int, list]]:
-    """The host, and for each token: name, depth, whether text, whether in main, times, characters, and the article."""
+def _tokens(url: str | None, html: str | None) -> tuple[str, int, dict[int, list]]:
+    """The host, a hash of the longest block, and for each token: name, depth, whether text, whether main, times, characters."""
     page = parse(html)
     found: dict[int, list] = {}
     for e in page.elements:
@@ -76,7 +76,8 @@ def _tokens(url: str | None, html: str | None) -> tuple[str, dict[int, list]]:
             token = _hash(f"{b.path[-1].key}\0{b.text}")
             own = found.setdefault(token, ["", len(b.path), True, b.path[-1].main, 0, 0])
             own[4] += 1
-    return host_of(url), found
+    longest = max((b.text for b in page.blocks if b.path and not b.path[-1].aside), key=lambda t: (len(t), t), default="")
+    return host_of(url), _hash(longest), found
 
 
 def template_tokens(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -94,9 +95,8 @@ def template_tokens(pages: DataFrame, url_col: str = "url", html_col: str = "htm
             for url, html in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 if not html:
                     continue
-                host, found = _tokens(url, html)
+                host, article, found = _tokens(url, html)
                 page = xxhash.xxh64_intdigest(html, 7)
-                article = _hash("\n".join(sorted(str(t) for t, own in found.items() if own[2] and own[3])))
                 for token, (name, depth, is_text, main, times, chars) in found.items():
                     vector = xxhash.xxh64_intdigest(f"{page}:{times}")
                     own = held.get((host, token))
