@@ -18,6 +18,7 @@ import tempfile
 import unicodedata
 import uuid
 from collections import Counter, defaultdict
+from itertools import chain, islice
 from pathlib import Path
 
 import numpy as np
@@ -37,7 +38,7 @@ LEXICON_WORDS = 50_000
 #: Longest word of the lexicon, in bytes.
 LEXICON_BYTES = 48
 #: Words that a task keeps with their ids before it forgets them all.
-KEPT_WORDS = 300_000
+KEPT_WORDS = 500_000
 #: Distinct words that a task counts before it hands its counts on.
 COUNTED_WORDS = 400_000
 #: Symbols of a piece up to which pieces are merged side by side.
@@ -197,7 +198,6 @@ class Encoder:
         self.known = 0
         self.lengths = np.zeros(0, np.int64)
         self.flat = np.zeros(0, np.int64)
-        self.shown: list[str] = []
 
     def words(self, text: str | None) -> list[str]:
         if not text:
@@ -211,48 +211,55 @@ class Encoder:
     def _runs(text: str) -> list[str]:
         return RUNS.findall(text) if NOT_SPACE.search(text) else text.split()
 
-    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, list[str]]:
-        """All ids in order, how many each text has, and each text as decoded from its ids."""
+    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids in order, and how many each text has."""
         if len(self.number) > KEPT_WORDS:
             self._forget()
         number = self.number.__getitem__
         each = [list(map(number, self.words(t))) for t in texts]
         self._learn()
-        at = np.fromiter((i for own in each for i in own), np.int64, sum(map(len, each)))
+        at = np.fromiter(chain.from_iterable(each), np.int64, sum(map(len, each)))
         lengths, starts = self.lengths[at], (np.cumsum(self.lengths) - self.lengths)[at]
-        total = np.cumsum(lengths)
-        n = int(total[-1]) if len(total) else 0
-        ids = self.flat[np.arange(n) + np.repeat(starts - (total - lengths), lengths)]
-        ends = np.concatenate([[0], total])[np.cumsum([0, *map(len, each)])]
-        shown = self.shown
-        return ids, np.diff(ends), [" ".join([shown[i] for i in own]) for own in each]
+        ids = self.flat[_ragged(starts, lengths)]
+        ends = np.concatenate([[0], np.cumsum(lengths)])[np.cumsum([0, *map(len, each)])]
+        return ids, np.diff(ends)
 
     def _learn(self) -> None:
         """Find the ids of the words that are new."""
-        new = list(self.number)[self.known :] if self.known else list(self.number)
+        new = list(islice(self.number, self.known, None))
         self.known = len(self.number)
         if not new:
             return
-        special, tokens = self.vocabulary.special, self.vocabulary.tokens
-        found: list[list[int]] = [[]] * len(new)
+        lengths = np.zeros(len(new), np.int64)
         rank = self.lexicon.ranks([w.encode() for w in new]) if self.lexicon else np.full(len(new), -1)
-        rest = []
-        for i, r in enumerate(rank.tolist()):
-            if new[i] in special:
-                found[i] = [special[new[i]]]
-            elif r >= 0:
-                first = self.lexicon.starts[r]
-                found[i] = self.lexicon.ids[first : first + self.lexicon.lengths[r]].tolist()
-            else:
-                rest.append(i)
+        for word, i in self.vocabulary.special.items():
+            if (at := self.number.get(word, -1) - (self.known - len(new))) >= 0:
+                rank[at] = -2 - i
+        known = np.flatnonzero(rank >= 0)
+        if len(known):
+            lengths[known] = self.lexicon.lengths[rank[known]]
+        lengths[rank < -1] = 1
+        rest = np.flatnonzero(rank == -1).tolist()
         index: dict[bytes, int] = {}
         own = [[index.setdefault(p, len(index)) for p in pieces_of(new[i])] for i in rest]
         merged = self.vocabulary.merge(list(index))
-        for i, pieces in zip(rest, own, strict=True):
-            found[i] = merged[pieces[0]] if len(pieces) == 1 else [x for p in pieces for x in merged[p]]
-        self.lengths = np.concatenate([self.lengths, np.fromiter(map(len, found), np.int64, len(found))])
-        self.flat = np.concatenate([self.flat, np.array([x for f in found for x in f], np.int64)])
-        self.shown.extend([" ".join([tokens[x] for x in f]) for f in found])
+        found = [merged[pieces[0]] if len(pieces) == 1 else [x for p in pieces for x in merged[p]] for pieces in own]
+        lengths[rest] = np.fromiter(map(len, found), np.int64, len(found))
+        starts = np.cumsum(lengths) - lengths
+        flat = np.zeros(int(lengths.sum()), np.int64)
+        if len(known):
+            first = self.lexicon.starts[rank[known]]
+            flat[_ragged(starts[known], lengths[known])] = self.lexicon.ids[_ragged(first, lengths[known])]
+        flat[starts[rank < -1]] = -2 - rank[rank < -1]
+        flat[_ragged(starts[rest], lengths[rest])] = np.fromiter(chain.from_iterable(found), np.int64, int(lengths[rest].sum()))
+        self.lengths = np.concatenate([self.lengths, lengths])
+        self.flat = np.concatenate([self.flat, flat])
+
+
+def _ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The places of all members of runs that begin at starts."""
+    total = np.cumsum(lengths)
+    return np.arange(int(total[-1]) if len(total) else 0) + np.repeat(starts - (total - lengths), lengths)
 
 
 def frequent_words(df: DataFrame, text_col: str, most: int) -> list[str]:
@@ -293,7 +300,7 @@ def compile_lexicon(vocabulary: Vocabulary, words: list[str]) -> np.ndarray:
     """The table of a transducer from words to their ids; words that the encoder would never look up don't harm."""
     ids = Encoder(vocabulary, None)
     plain = sorted({w.encode(): w for w in words if w and w not in vocabulary.special and not NOT_SPACE.search(w)}.items())
-    encoded, counts, _ = ids.encode([w for _, w in plain]) if plain else (np.zeros(0, np.int64), np.zeros(0, np.int64), [])
+    encoded, counts = ids.encode([w for _, w in plain])
     return compile_words([b for b, _ in plain], [x.tolist() for x in np.split(encoded, np.cumsum(counts)[:-1])] if plain else [])
 
 
@@ -306,6 +313,11 @@ def ship(spark: SparkSession, table: np.ndarray) -> str:
     return name
 
 
+def decoded(ids: list[int], tokens: list[str]) -> str:
+    """The tokens of the ids with a space between, as a vocabulary without a decoder has it."""
+    return " ".join(map(tokens.__getitem__, ids))
+
+
 def encode(
     df: DataFrame, vocabulary_path: str, text_col: str = "text", keep: list[str] | None = None, lexicon_words: int = LEXICON_WORDS, ids: bool = True
 ) -> DataFrame:
@@ -320,14 +332,16 @@ def encode(
 
     def start():
         lexicon = Transducer(np.load(SparkFiles.get(name), mmap_mode="r")) if name else None
-        encoder = Encoder(shared.value, lexicon)
+        encoder, tokens = Encoder(shared.value, lexicon), shared.value.tokens
 
         def apply(texts):
-            found, counts, decoded = encoder.encode(texts)
+            found, counts = encoder.encode(texts)
             cut = np.concatenate([[0], np.cumsum(counts)])
-            raw = found.astype("<u4").tobytes()
-            digests = [hashlib.sha256(raw[4 * a : 4 * b]).hexdigest() for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)]
-            shown = [hashlib.sha256(x.encode()).hexdigest() for x in decoded]
+            raw, listed = found.astype("<u4").tobytes(), found.tolist()
+            digests, shown = [], []
+            for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
+                digests.append(hashlib.sha256(raw[4 * a : 4 * b]).hexdigest())
+                shown.append(hashlib.sha256(decoded(listed[a:b], tokens).encode()).hexdigest())
             lists = [pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.array(found, pa.int32()))] if ids else []
             return [longs(counts), *lists, strings(digests), strings(shown)]
 
@@ -347,7 +361,7 @@ def decode(df: DataFrame, vocabulary_path: str, ids_col: str = "ids", keep: list
         tokens = shared.value
 
         def apply(lists):
-            return [strings([None if x is None else " ".join([tokens[i] for i in x]) for x in lists])]
+            return [strings([None if x is None else decoded(x, tokens) for x in lists])]
 
         return apply
 
