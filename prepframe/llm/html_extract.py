@@ -122,12 +122,12 @@ def template_tokens(pages: DataFrame, url_col: str = "url", html_col: str = "htm
 
 
 def templates(tokens: DataFrame) -> DataFrame:
-    """(host, token, kind): for each host the element that holds the main text and the constant texts.
+    """(host, token, main): for each host the element that holds the main text, and the constant texts (not main).
 
-    Tokens of too little support are dropped before classes are formed, so that a host's part of what is grouped here
-    has a size of a few pages' tokens.
+    Tokens of too little support are dropped before classes are formed; the others are written once for all that is
+    asked of them.
     """
-    tokens = tokens.where(F.col("pages") >= SUPPORT)
+    tokens = stored(tokens.where(F.col("pages") >= SUPPORT), "tokens")
     key = ["host", "pages", "times", "sum_a", "sum_b"]
     valid = tokens.where("NOT is_text").groupBy(*key).agg(F.min("depth").alias("outer"))
     texts = tokens.where("is_text AND low <> high").join(valid, key).where("depth > outer")
