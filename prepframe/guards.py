@@ -65,6 +65,14 @@ def categories_of(df: DataFrame, name: str) -> list | None:
     return meta.get(CATEGORIES) if meta.get(KIND) == "categorical" else None
 
 
+def with_categories(df: DataFrame, name: str, values: Sequence) -> dict:
+    """A column's metadata, its category list extended by those of the values that it lacks."""
+    meta, known = dict(df.schema[name].metadata), categories_of(df, name)
+    if known is not None:
+        meta[CATEGORIES] = [*known, *dict.fromkeys(v for v in values if v is not None and v not in known)]
+    return meta
+
+
 def columns_by_role(df: DataFrame) -> dict[str, list[str]]:
     roles: dict[str, list[str]] = {"numeric": [], "categorical": [], "date": [], "text": [], "other": []}
     for f in df.schema:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from prepframe.functions.columns import col
-from prepframe.guards import as_list, require
+from prepframe.guards import as_list, categories_of, require, with_categories
 from prepframe.operators.rowid import ROW_ID, Numbered, number_rows, order_columns
 
 
@@ -210,7 +210,14 @@ def apply_patches(df: DataFrame, patches: DataFrame, key: str) -> DataFrame:
         ]
     )
     joined = df.join(per_key, key, "left")
+    listed = [c for c in targets if categories_of(df, c) is not None]
+    new: dict[str, list] = {c: [] for c in listed}
+    if listed:
+        wanted = patches.where(F.col("column").isin(listed) & F.col("value").isNotNull()).select("column", "value").distinct()
+        for r in wanted.orderBy("column", "value").collect():  # what categories the patches name
+            new[r["column"]].append(r["value"])
     patched = {
-        c: F.coalesce(col(f"_p{i}").try_cast(df.schema[c].dataType), col(c)).alias(c) for i, c in enumerate(targets)
+        c: F.coalesce(col(f"_p{i}").try_cast(df.schema[c].dataType), col(c)).alias(c, metadata=with_categories(df, c, new.get(c, [])))
+        for i, c in enumerate(targets)
     }
     return joined.select(*[patched.get(c, col(c)) for c in df.columns])

@@ -43,11 +43,24 @@ def _shapes(fmt: str) -> list[str]:
     return shapes
 
 
-def _looks_like(fmt: str) -> str:
-    """SQL: the text has one of the format's shapes. Only short texts are rewritten to find out."""
-    shapes = ", ".join(f"'{s}'" for s in _shapes(fmt))
-    longest = max(len(s) for f in DATE_FORMATS for s in _shapes(f))
-    return f"CASE WHEN length(text) <= {longest} THEN translate(text, '123456789', '000000000') END IN ({shapes})"
+#: The longest shape of any format; longer texts are no dates.
+_LONGEST = max(len(s) for f in DATE_FORMATS for s in _shapes(f))
+
+
+def _by_shape() -> tuple[Column, Column]:
+    """A text's digits as zeros, and from this shape the formats it allows, a bit for each."""
+    bits: dict[str, int] = {}
+    for i, f in enumerate(DATE_FORMATS):
+        for s in _shapes(f):
+            bits[s] = bits.get(s, 0) | 1 << i
+    same: dict[int, list[str]] = {}
+    for s, number in bits.items():
+        same.setdefault(number, []).append(s)
+    shape = F.when(F.length("text") <= _LONGEST, F.translate("text", "123456789", "000000000"))
+    out = F.lit(0)
+    for number, shapes in same.items():
+        out = F.when(F.col("shape").isin(shapes), F.lit(number)).otherwise(out)
+    return shape, out
 
 
 @dataclass(frozen=True)
@@ -60,10 +73,8 @@ class Kind:
     categories: tuple | None = None
 
 
-def _texts(df: DataFrame, cols: Sequence[str], head_rows: int | None) -> DataFrame:
+def _texts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     texts = df.select(*[col(c).cast("string").alias(c) for c in cols])
-    if head_rows is not None:
-        texts = texts.limit(head_rows)
     return texts.unpivot([], [col(c) for c in cols], "column", "value")
 
 
@@ -71,20 +82,21 @@ def _share(hits: str, of: str = "n") -> Column:
     return F.try_divide(F.col(hits), F.col(of))
 
 
-def detect(df: DataFrame, cols: Sequence[str] | None = None, head_rows: int | None = None) -> DataFrame:
-    """One row per column with the counts every decision rests on.
-
-    `head_rows` judges by that many leading rows only; by default all rows count.
-    """
+def detect(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
+    """One row per column with the counts every decision rests on, over all rows."""
     names = require(df, cols) if cols else df.columns
     text, dotted = F.col("text"), F.replace(F.col("text"), F.lit(","), F.lit("."))
     dot, comma = F.contains(text, F.lit(".")), F.contains(text, F.lit(","))
     # cheap tests stand before the dear ones: a text that does not start like a number is neither number nor date
     starts = text.rlike(r"(?i)^[+-]?([.\d]|inf)")
-    formats = [F.count_if(starts & F.expr(_looks_like(f)) & fits_date(text, f)).alias(f"d{i}") for i, f in enumerate(DATE_FORMATS)]
+    shape, allowed = _by_shape()
+    may = F.col("allowed")
+    formats = [F.count_if((may.bitwiseAND(F.lit(1 << i)) != 0) & fits_date(text, f)).alias(f"d{i}") for i, f in enumerate(DATE_FORMATS)]
     return (
-        _texts(df, names, head_rows)
+        _texts(df, names)
         .select("column", strip(F.col("value")).alias("text"))
+        .withColumn("shape", shape)
+        .withColumn("allowed", allowed)
         .groupBy("column")
         .agg(
             F.count(F.lit(1)).alias("n_rows"),
@@ -127,7 +139,7 @@ def decisions(found: DataFrame, min_share: float = MIN_SHARE, date_min_share: fl
 
 def detect_categorical(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """(column, n_rows, distinct_values, is_categorical) from exact distinct counts."""
-    values = _texts(df, require(df, cols), None).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+    values = _texts(df, require(df, cols)).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
     per_column = values.groupBy("column").agg(
         F.sum("n").alias("n_rows"), F.count("value").alias("distinct_values")
     )
@@ -141,7 +153,7 @@ def _categories(df: DataFrame, cols: Sequence[str]) -> dict[str, tuple]:
     """The sorted values of columns known to hold few of them."""
     if not cols:
         return {}
-    rows = _texts(df, cols, None).where("value IS NOT NULL").distinct().collect()
+    rows = _texts(df, cols).where("value IS NOT NULL").distinct().collect()
     return {c: tuple(sorted(r["value"] for r in rows if r["column"] == c)) for c in cols}
 
 
@@ -161,7 +173,6 @@ def infer_kinds(
     date_format: str | None = None,
     min_share: float = MIN_SHARE,
     date_min_share: float = MIN_SHARE,
-    head_rows: int | None = None,
 ) -> dict[str, Kind]:
     """The kind of every column: listed dates first, then boolean, numeric, date, categorical, text.
 
@@ -172,7 +183,7 @@ def infer_kinds(
     texts = [c for c, k in kinds.items() if k is None]
     maybe_categorical = []
     if texts:
-        for r in decisions(detect(df, texts, head_rows), min_share, date_min_share).collect():
+        for r in decisions(detect(df, texts), min_share, date_min_share).collect():
             c = r["column"]
             if c in date_columns:
                 kinds[c] = Kind("date", date_format=date_format or r["date_format"])

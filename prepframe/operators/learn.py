@@ -9,13 +9,13 @@ from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from prepframe.functions.columns import col, present
-from prepframe.guards import numeric_columns, require, text_columns
-from prepframe.operators.encode import OneHot, fit_label_codes, fit_onehot
+from prepframe.guards import categories_of, numeric_columns, require, text_columns
+from prepframe.operators.encode import OneHot, fit_onehot
 from prepframe.operators.rowid import number_rows
 from prepframe.operators.scale import Scaling, fit_standard
 from prepframe.scratch import stored
@@ -72,9 +72,9 @@ def prepare_features(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return fit_features(df, cols).transform(chosen)
 
 
-MAX_LABELS = 1_000
 _BITS_PER_PASS = 10
-_GATHER_DRAWS = 50_000
+#: Labels up to which the table of their limits is broadcast; a join by shuffle beyond.
+BROADCAST_LABELS = 100_000
 
 
 def stratified_split(
@@ -92,50 +92,52 @@ def stratified_split(
     limits = _draw_limits(df.select(col(label).alias("label"), draw.alias("draw")), test_share)
     if limits is None:
         return _ranked_split(df, label, keys, draw, test_share)
-    kind = df.schema[label].dataType.simpleString()
-    table = df.sparkSession.createDataFrame(list(limits.items()), f"_label_value {kind}, _limit long")
-    joined = df.join(F.broadcast(table), col(label).eqNullSafe(F.col("_label_value")))
+    table = limits.select(F.col("label").alias("_label_value"), F.col("limit").alias("_limit"))
+    if limits.limit(BROADCAST_LABELS + 1).count() <= BROADCAST_LABELS:
+        table = F.broadcast(table)
+    joined = df.join(table, col(label).eqNullSafe(F.col("_label_value")))
     below = F.coalesce(draw < F.col("_limit"), F.lit(True))
     return joined.withColumn(SPLIT, below).drop("_label_value", "_limit")
 
 
-def _draw_limits(draws: DataFrame, share: float) -> dict | None:
-    """Per label the hash with exactly round(share · n) smaller ones (None: all are), or None if ties forbid it.
+def _draw_limits(draws: DataFrame, share: float) -> DataFrame | None:
+    """(label, limit): the hash with exactly round(share · n) smaller ones (null: all are); None if ties forbid it.
 
-    Hashes are counted by their leading bits; of the part that holds the limit the next bits are counted, and
-    so on, until what is left is small enough to look at.
+    Hashes are counted by their leading bits; of the part that holds a label's limit the next bits are counted, and
+    so on. Labels and their counts stay in tables: at most 1 024 parts a label at a time, fewer than its rows.
     """
-    spark, kind = draws.sparkSession, draws.schema["label"].dataType.simpleString()
-    shift = 64 - _BITS_PER_PASS
-    counts = draws.groupBy("label", F.shiftright("draw", shift).alias("part")).agg(F.count(F.lit(1)).alias("n"))
-    rows = counts.limit((MAX_LABELS + 1) << _BITS_PER_PASS).collect()
-    totals: dict = {}
-    for r in rows:
-        totals[r["label"]] = totals.get(r["label"], 0) + r["n"]
-    if len(totals) > MAX_LABELS:
-        raise ValueError(f"not a class label: more than {MAX_LABELS} values")
-    wanted = {c: int(n * share + 0.5) for c, n in totals.items()}
-    limits = {c: None for c, n in totals.items() if wanted[c] >= n}
+    shift, here = 64 - _BITS_PER_PASS, draws
+    done, wanted = [], None
+    by_part = Window.partitionBy("label").orderBy("part")
     while True:
-        inside = {}
-        for c in totals.keys() - limits.keys():
-            for r in sorted((r for r in rows if r["label"] == c), key=lambda r: r["part"]):
-                if wanted[c] < r["n"]:
-                    inside[c] = (r["part"], r["n"])
-                    break
-                wanted[c] -= r["n"]
-            # wanted[c] hashes of the part are still to come; with none the limit is where the part begins
-            if wanted[c] == 0:
-                limits[c] = inside.pop(c)[0] << shift
-        if not inside:
-            return limits
+        counts = here.groupBy("label", F.shiftright("draw", shift).alias("part")).agg(F.count(F.lit(1)).alias("n"))
+        if wanted is None:
+            totals = counts.groupBy("label").agg(F.sum("n").alias("total"))
+            wanted = totals.select("label", F.floor(F.col("total") * share + 0.5).alias("wanted"), "total")
+        # the first part of each label whose rows, with those before it, are more than wanted
+        counted = counts.withColumn("upto", F.sum("n").over(by_part))
+        met = counted.withColumnRenamed("label", "_label").join(wanted, F.col("_label").eqNullSafe(F.col("label")))
+        first = met.where(F.col("upto") > F.col("wanted")).groupBy("label").agg(
+            F.min(F.struct("part", "n", "upto", "wanted")).alias("at")
+        )
+        first = stored(first.select("label", "at.part", (F.col("at.wanted") - F.col("at.upto") + F.col("at.n")).alias("still")), "limits")
+        if shift == 64 - _BITS_PER_PASS:
+            done.append(wanted.where("wanted >= total").select("label", F.lit(None).cast("long").alias("limit")))
+        # none of the part's hashes is wanted: the limit is where the part begins
+        done.append(first.where("still = 0").select("label", F.shiftleft("part", shift).alias("limit")))
+        inside = first.where("still > 0")
+        if inside.isEmpty():
+            out = done[0]
+            for d in done[1:]:
+                out = out.union(d)
+            return stored(out, "limits")
         if shift == 0:
             return None
-        parts = spark.createDataFrame([(c, p) for c, (p, _) in inside.items()], f"at {kind}, part_at long")
-        here = draws.join(F.broadcast(parts), F.col("label").eqNullSafe(F.col("at")))
-        here = here.where(F.shiftright("draw", shift) == F.col("part_at"))
-        shift = 0 if sum(n for _, n in inside.values()) <= _GATHER_DRAWS else max(0, shift - _BITS_PER_PASS)
-        rows = here.groupBy("label", F.shiftright("draw", shift).alias("part")).agg(F.count(F.lit(1)).alias("n")).collect()
+        parts = inside.select(F.col("label").alias("_label"), F.col("part").alias("_part"))
+        same = F.col("label").eqNullSafe(F.col("_label")) & (F.shiftright("draw", shift) == F.col("_part"))
+        here = draws.join(parts, same).select("label", "draw")
+        wanted = inside.select("label", F.col("still").alias("wanted"))
+        shift = max(0, shift - _BITS_PER_PASS)
 
 
 def _ranked_split(df: DataFrame, label: str, keys: list[str], draw, share: float) -> DataFrame:
@@ -150,13 +152,51 @@ def _ranked_split(df: DataFrame, label: str, keys: list[str], draw, share: float
     )
 
 
+@dataclass
+class Labels:
+    """The classes of a target. Models learn their places; text classes are given out as codes, others as they are."""
+
+    target: str
+    dtype: T.DataType
+    values: list
+
+    @property
+    def coded(self) -> bool:
+        return isinstance(self.dtype, T.StringType)
+
+    def index(self) -> Column:
+        """The place of a row's class."""
+        return (F.array_position(self._array(), col(self.target)) - 1).cast("int")
+
+    def value(self, place: Column) -> Column:
+        """What a place stands for."""
+        return place.cast("int") if self.coded else F.element_at(self._array(), place.cast("int") + 1)
+
+    def _array(self) -> Column:
+        return F.array(*[F.lit(v).cast(self.dtype) for v in self.values])
+
+
+def fit_labels(df: DataFrame, target: str) -> Labels:
+    """The distinct values of a target in order, or those its category list has."""
+    known = categories_of(df, target)
+    if known is None:
+        known = sorted(r[0] for r in df.select(present(df, target)).distinct().dropna().collect())
+    return Labels(target, df.schema[target].dataType, list(known))
+
+
 @dataclass
 class Classified:
-    """Predictions for every row, and test measures per model: {model: {accuracy, weighted_f1}}."""
+    """Predictions for every row, test measures per model {model: {accuracy, weighted_f1}}, and how to score more rows."""
 
     predictions: DataFrame
     metrics: dict[str, dict[str, float]]
     models: dict[str, object]
+    features: Features
+    labels: Labels
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        """Other rows, on a stream as well, with `{model}_pred`; their target need not be known."""
+        return _predicted(self.features.assemble(df), self.models, self.labels).drop(FEATURES)
 
     def metrics_table(self) -> DataFrame:
         rows = [(m, v["accuracy"], v["weighted_f1"]) for m, v in self.metrics.items()]
@@ -191,32 +231,32 @@ def classify(
 ) -> Classified:
     """Train on a stratified part and predict every row whose target is present.
 
-    The result has the raw columns, `true_label` and `{model}_pred`. Text targets become label codes. With
-    `fit_on="all"` the features are prepared from all rows, test rows included.
+    The result has the raw columns, `true_label` and `{model}_pred`: codes for text classes, else the classes
+    themselves, whatever numbers they are. With `fit_on="all"` the features are prepared from all rows, test rows included.
     """
     if fit_on not in ("train", "all"):
         raise ValueError("fit_on must be train or all")
     rows = df.dropna(subset=require(df, [target]))
-    if isinstance(df.schema[target].dataType, T.StringType):
-        rows = fit_label_codes(rows, target).transform(rows).withColumnRenamed(f"{target}_code", LABEL)
-    else:
-        rows = rows.withColumn(LABEL, col(target).cast("int"))
-    split = stratified_split(rows, target, key, test_share, seed)
+    labels = fit_labels(rows, target)
+    split = stratified_split(rows.withColumn(LABEL, labels.index()), target, key, test_share, seed)
     train_rows = split.where(~F.col(SPLIT))
     prepared = fit_features(train_rows if fit_on == "train" else split, features)
     # stored, so that each pass of the solvers reads vectors instead of preparing them again
     vectors = stored(prepared.assemble(split), "vectors")
     train = vectors.where(~F.col(SPLIT))
     chosen = _models(train.count(), seed, max_bins)
-    out, fitted = vectors, {}
-    for name in models:
-        model = chosen[name].fit(train)
-        fitted[name] = model
-        scored = model.setPredictionCol("_p").setRawPredictionCol("").setProbabilityCol("").transform(out)
-        out = scored.withColumn(f"{name}_pred", F.col("_p").cast("int")).drop("_p")
-    metrics = class_metrics(out.where(SPLIT), LABEL, {m: f"{m}_pred" for m in models})
-    preds = out.withColumnRenamed(LABEL, "true_label").drop(FEATURES, SPLIT, target)
-    return Classified(preds, metrics, fitted)
+    fitted = {name: chosen[name].fit(train) for name in models}
+    out = _predicted(vectors.withColumn("true_label", labels.value(F.col(LABEL))), fitted, labels)
+    metrics = class_metrics(out.where(SPLIT), "true_label", {m: f"{m}_pred" for m in models})
+    return Classified(out.drop(FEATURES, SPLIT, LABEL, target), metrics, fitted, prepared, labels)
+
+
+def _predicted(vectors: DataFrame, models: Mapping[str, object], labels: Labels) -> DataFrame:
+    out = vectors
+    for name, model in models.items():
+        scored = model.copy().setPredictionCol("_p").setRawPredictionCol("").setProbabilityCol("").transform(out)
+        out = scored.withColumn(f"{name}_pred", labels.value(F.col("_p"))).drop("_p")
+    return out
 
 
 def class_metrics(df: DataFrame, label: str, predictions: Mapping[str, str]) -> dict[str, dict[str, float]]:
@@ -225,13 +265,11 @@ def class_metrics(df: DataFrame, label: str, predictions: Mapping[str, str]) ->
     confusion = (
         pairs.unpivot(["y"], list(predictions), "model", "p").groupBy("model", "y", "p").agg(F.count(F.lit(1)).alias("n"))
     )
-    table = stored(confusion, "confusion")
-    rows = table.groupBy("model").agg(
-        (F.sum(F.when(F.col("y") == F.col("p"), F.col("n")).otherwise(0)) / F.sum("n")).alias("accuracy")
-    )
-    accuracy = {r["model"]: r["accuracy"] for r in rows.collect()}
-    f1 = {r["model"]: r["weighted_f1"] for r in weighted_f1(table).collect()}
-    return {m: {"accuracy": accuracy[m], "weighted_f1": f1[m]} for m in predictions}
+    # one row for each model and pair of classes; measured on the driver, without files
+    table = df.sparkSession.createDataFrame(confusion.collect(), confusion.schema)
+    hit = F.sum(F.when(F.col("y") == F.col("p"), F.col("n")).otherwise(0)) / F.sum("n")
+    rows = table.groupBy("model").agg(hit.alias("accuracy")).join(weighted_f1(table), "model").collect()
+    return {r["model"]: {"accuracy": r["accuracy"], "weighted_f1": r["weighted_f1"]} for r in rows}
 
 
 def weighted_f1(confusion: DataFrame) -> DataFrame:
@@ -257,6 +295,13 @@ class Clustered:
     model: KMeansModel
     inertia: float
     silhouette_sq: float | None
+    features: Features | None = None
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        """Other rows, on a stream as well, with their cluster."""
+        if self.features is None:
+            raise ValueError("fitted on an array column: score vectors with the model itself")
+        return self.model.transform(self.features.assemble(df)).drop(FEATURES)
 
     def metrics_table(self) -> DataFrame:
         sizes = self.model.summary.clusterSizes
@@ -269,17 +314,17 @@ def cluster_kmeans(df: DataFrame, features: Sequence[str], k: int = 4, seed: int
 
     `silhouette_sq` uses squared Euclidean distances, which need one pass; the plain one needs all pairs of rows.
     """
-    vectors = stored(fit_features(df, features).assemble(df), "vectors")
-    return _cluster(vectors, k, seed)
+    prepared = fit_features(df, features)
+    return _cluster(stored(prepared.assemble(df), "vectors"), k, seed, prepared)
 
 
-def _cluster(vectors: DataFrame, k: int, seed: int) -> Clustered:
+def _cluster(vectors: DataFrame, k: int, seed: int, features: Features | None = None) -> Clustered:
     model = KMeans(featuresCol=FEATURES, predictionCol="cluster", k=k, seed=seed, maxIter=300, tol=1e-4).fit(vectors)
     rows = model.transform(vectors)
     silhouette = None
     if k > 1 and len([s for s in model.summary.clusterSizes if s]) > 1:
         silhouette = ClusteringEvaluator(featuresCol=FEATURES, predictionCol="cluster").evaluate(rows)
-    return Clustered(rows.drop(FEATURES), model, model.summary.trainingCost, silhouette)
+    return Clustered(rows.drop(FEATURES), model, model.summary.trainingCost, silhouette, features)
 
 
 def cluster_vectors(df: DataFrame, array_col: str, k: int = 4, seed: int = 42) -> Clustered:
@@ -297,7 +342,7 @@ def score_all(
     classified = classify(df, features, target, key, seed=seed)
     rows = classified.predictions
     prepared = fit_features(rows, features)
-    clustered = _cluster(stored(prepared.assemble(rows), "vectors"), k, seed)
+    clustered = _cluster(stored(prepared.assemble(rows), "vectors"), k, seed, prepared)
     return clustered.rows, classified, clustered
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from prepframe.functions.columns import coerce_literal, col, is_numeric, present
-from prepframe.guards import require, require_numeric
+from prepframe.guards import require, require_numeric, with_categories
 from prepframe.operators.profile import modes
 from prepframe.operators.quantile import finish_medians, sketch
 
@@ -21,7 +21,8 @@ METHODS = ("mean", "median", "mode", "constant")
 class Fill:
     """The value that takes the place of missing ones, per column; `widened` columns become double.
 
-    A whole-number column is widened only when it has missing values for a mean or median to fill.
+    Columns filled with a mean or median are double whether or not they had gaps when it was fitted, so that the type
+    depends on the method alone. Columns keep their metadata; a category list is extended by a value it lacks.
     """
 
     values: dict[str, object]
@@ -33,7 +34,8 @@ class Fill:
             if value is None:
                 return col(c)
             dtype = T.DoubleType() if c in self.widened else df.schema[c].dataType
-            return F.coalesce(present(df, c).cast(dtype), F.lit(value).cast(dtype)).alias(c)
+            filled_in = F.coalesce(present(df, c).cast(dtype), F.lit(value).cast(dtype))
+            return filled_in.alias(c, metadata=with_categories(df, c, [value]))
 
         return df.select(*[filled(c) for c in df.columns])
 
@@ -48,19 +50,14 @@ def fit_fill(df: DataFrame, rules: Mapping[str, str], constant=None) -> Fill:
     require_numeric(df, by["mean"] + by["median"])
     values: dict[str, object] = {c: coerce_literal(constant, df.schema[c].dataType) for c in by["constant"]}
 
-    averaged = by["mean"] + by["median"]
-    aggs = [F.count_if(present(df, c).isNull()).alias(f"gaps{i}") for i, c in enumerate(averaged)]
-    aggs += [F.avg(present(df, c).cast("double")).alias(f"mean{i}") for i, c in enumerate(by["mean"])]
+    aggs = [F.avg(present(df, c).cast("double")).alias(f"mean{i}") for i, c in enumerate(by["mean"])]
     for i, c in enumerate(by["median"]):
         aggs += [F.count(present(df, c)).alias(f"n{i}"), sketch(present(df, c)).alias(f"sketch{i}")]
-    widened = []
+    widened = [c for c in by["mean"] + by["median"] if not isinstance(df.schema[c].dataType, T.DoubleType)]
     if aggs:
         row = df.agg(*aggs).first()
-        gaps = {c for i, c in enumerate(averaged) if row[f"gaps{i}"]}
-        widened = [c for c in averaged if c in gaps and not isinstance(df.schema[c].dataType, T.DoubleType)]
-        values |= {c: row[f"mean{i}"] for i, c in enumerate(by["mean"]) if c in gaps}
-        open_ = {c: (row[f"n{i}"], row[f"sketch{i}"]) for i, c in enumerate(by["median"]) if c in gaps}
-        values |= finish_medians(df, open_)
+        values |= {c: row[f"mean{i}"] for i, c in enumerate(by["mean"])}
+        values |= finish_medians(df, {c: (row[f"n{i}"], row[f"sketch{i}"]) for i, c in enumerate(by["median"])})
     if by["mode"]:
         values |= modes(df, by["mode"])
     return Fill(values, widened)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from prepframe.operators import dedup, extract, missing, replace, rowid
+from prepframe.operators import dedup, encode, extract, missing, replace, rowid
 from prepframe.plans.registry import GAPS, lineitem_gaps, query, rounded, table
 
 _ID = ["l_orderkey", "l_partkey", "l_linenumber"]
@@ -187,6 +187,31 @@ def fill_median(spark, sf):
     return _filled(missing.fill(lineitem_gaps(spark, sf), {"l_quantity": "median", "l_discount": "median"}))
 
 
+@query(
+    "fill_unseen_gaps",
+    "SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN (SELECT avg(o_custkey) FROM orders) ELSE o_custkey END AS o_custkey FROM orders",
+)
+def fill_unseen_gaps(spark, sf):
+    """Fitted on a table without gaps, applied to one that has them."""
+    df = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    gaps = df.withColumn("o_custkey", F.when(F.col("o_orderkey") % 3 != 0, F.col("o_custkey")))
+    return missing.fit_fill(df, {"o_custkey": "mean"}).transform(gaps)
+
+
+@query(
+    "onehot_after_fill",
+    """SELECT o_orderkey, (s = 'F')::TINYINT AS "s_F", (s = 'O')::TINYINT AS "s_O", (s = 'P')::TINYINT AS "s_P", (s = 'none')::TINYINT AS s_none
+    FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 THEN 'none' ELSE o_orderstatus END AS s FROM orders)""",
+)
+def onehot_after_fill(spark, sf):
+    """The category list of a column goes through a fill, which adds its value."""
+    from prepframe.operators.infer import Kind, apply_kinds
+
+    status = F.when(F.col("o_orderkey") % 5 != 0, F.col("o_orderstatus")).alias("s")
+    df = apply_kinds(table(spark, sf, "orders").select("o_orderkey", status), {"s": Kind("categorical", categories=("F", "O", "P"))})
+    return encode.onehot(missing.fill(df, {"s": "constant"}, "none"), "s")
+
+
 @query("fill_mode", _fill_sql(_QUANTITY_MODE, "l_discount", _FLAG_MODE))
 def fill_mode(spark, sf):
     return _filled(missing.fill(lineitem_gaps(spark, sf), {"l_quantity": "mode", "l_returnflag": "mode"}))
@@ -203,7 +228,11 @@ def fill_rules(spark, sf):
     return _filled(missing.fill(lineitem_gaps(spark, sf), rules))
 
 
-@query("fill_table", _fill_sql(_MEAN.format(c="l_quantity"), _MEAN.format(c="l_discount")))
+# Whole numbers filled with a mean are double, whether or not a table has gaps in them.
+_AS_DOUBLE = "SELECT * REPLACE (l_orderkey::DOUBLE AS l_orderkey, l_partkey::DOUBLE AS l_partkey, l_linenumber::DOUBLE AS l_linenumber) FROM ({})"
+
+
+@query("fill_table", _AS_DOUBLE.format(_fill_sql(_MEAN.format(c="l_quantity"), _MEAN.format(c="l_discount"))))
 def fill_table(spark, sf):
     return _filled(missing.fill_table(lineitem_gaps(spark, sf), "mean"))
 

@@ -55,6 +55,28 @@ def csv_round_trip(spark, sf):
     return csv.read_csv(spark, path).withColumn("c_nationkey", F.col("c_nationkey").cast("int"))
 
 
+@query(
+    "csv_late_encoding",
+    """SELECT c_custkey, CASE WHEN c_custkey = (SELECT max(c_custkey) FROM customer) THEN c_name || ' é' ELSE c_name END AS c_name,
+    c_acctbal FROM customer""",
+)
+def csv_late_encoding(spark, sf):
+    """One byte that is not UTF-8, in the last line."""
+    df = table(spark, sf, "customer").select("c_custkey", "c_name", "c_acctbal")
+    last = df.agg(F.max("c_custkey")).first()[0]
+    df = df.withColumn("c_name", F.when(F.col("c_custkey") == last, F.concat("c_name", F.lit(" é"))).otherwise(F.col("c_name")))
+    return csv.read_csv(spark, _written(df.orderBy("c_custkey").coalesce(1), "late", encoding="ISO-8859-1"))
+
+
+@query("csv_folder_order", "SELECT s_suppkey, s_name, CASE WHEN s_suppkey % 2 = 0 THEN s_acctbal END AS s_acctbal FROM supplier")
+def csv_folder_order(spark, sf):
+    """Files of one folder with their columns in another order, separated otherwise, and one column short."""
+    df = table(spark, sf, "supplier")
+    path = _written(df.where("s_suppkey % 2 = 0").select("s_suppkey", "s_name", "s_acctbal"), "folder")
+    df.where("s_suppkey % 2 = 1").select("s_name", "s_suppkey").write.mode("append").options(header=True, escape='"', sep=";").csv(path)
+    return csv.read_csv(spark, path).select("s_suppkey", "s_name", "s_acctbal")
+
+
 @query(
     "csv_multiline_text",
     "SELECT doc_id, strlen(text) AS n_bytes, length(text) AS n_text, md5(text) AS digest FROM documents WHERE text IS NOT NULL",
@@ -91,8 +113,11 @@ def csv_sniff_separator(spark, sf):
 
 @query("csv_sniff_encoding", "SELECT * FROM (VALUES ('ISO-8859-1', 'ISO-8859-1'), ('UTF-8', 'UTF-8')) AS v(written, found)")
 def csv_sniff_encoding(spark, sf):
-    """The documents with an accented letter added, written in two encodings."""
-    docs = table(spark, sf, "documents").select("doc_id", F.concat(F.lit("é "), "lang").alias("é"))
+    """The documents with an accented letter in the last line alone, written in two encodings."""
+    docs = table(spark, sf, "documents").select("doc_id", "lang")
+    last = docs.agg(F.max("doc_id")).first()[0]
+    docs = docs.select("doc_id", F.when(F.col("doc_id") == last, F.concat(F.lit("é "), "lang")).otherwise(F.col("lang")).alias("text"))
+    docs = docs.orderBy("doc_id").coalesce(1)
     out = None
     for encoding in ("UTF-8", "ISO-8859-1"):
         found = csv.dialects(spark, _written(docs, "encoded", encoding=encoding))

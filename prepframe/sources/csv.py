@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from pyspark.sql import types as T
 from prepframe.functions.columns import col, na_to_null
 from prepframe.guards import require
 from prepframe.operators.infer import apply_kinds, infer_kinds, kinds_table
+from prepframe.scratch import stored
 
 # Candidate separators; when two occur equally often the earlier one wins.
 SEPARATORS = [",", ";", "\t", "|"]
@@ -31,9 +33,10 @@ def _occurrences(line: Column, sep: str) -> Column:
 
 
 def dialects(spark: SparkSession, path: str, fallback_encoding: str = FALLBACK_ENCODING) -> DataFrame:
-    """(file, separator, encoding) for every file under `path`, in one pass over the raw lines.
+    """(file, separator, encoding, header) for every file under `path`, in one pass over the raw lines.
 
-    The separator is guessed from a file's first five lines. A file is UTF-8 when all of its lines are valid.
+    The separator is guessed from a file's first five lines. A file is UTF-8 when all of its lines are valid. The
+    header is the first line as it stands; files without any line are left out.
     """
     lines = spark.read.text(path).select(
         F.col("_metadata.file_path").alias("file"),
@@ -45,26 +48,42 @@ def dialects(spark: SparkSession, path: str, fallback_encoding: str = FALLBACK_E
     place = F.row_number().over(Window.partitionBy("file").orderBy("line"))
     head = lines.where("block = 0").withColumn("place", place).where(F.col("place") <= SNIFF_LINES)
     totals = [F.coalesce(F.sum(_occurrences(F.col("value"), s)), F.lit(0)).alias(f"s{i}") for i, s in enumerate(SEPARATORS)]
-    counted = head.groupBy("file").agg(*totals)
+    counted = head.groupBy("file").agg(F.min_by("value", "place").alias("header"), *totals)
     separator = _best_separator([F.col(f"s{i}") for i in range(len(SEPARATORS))])
     return encodings.join(counted, "file", "left").select(
         "file",
         F.coalesce(separator, F.lit(",")).alias("separator"),
         F.when(F.col("utf8"), "UTF-8").otherwise(fallback_encoding).alias("encoding"),
+        "header",
     )
 
 
 def sniff(spark: SparkSession, path: str, fallback_encoding: str = FALLBACK_ENCODING) -> tuple[str, str]:
-    """Separator and encoding of a table, from its first five lines and first thousand characters.
+    """Separator and encoding of the first file, by all of its lines."""
+    first = dialects(spark, path, fallback_encoding).orderBy("file").first()
+    if first is None:
+        raise ValueError(f"no lines in {path}")
+    return first["separator"], first["encoding"]
 
-    Only the start of the first file is read; `dialects` looks at every file in full.
+
+def read_texts(
+    spark: SparkSession, path: str, separator: str | None = None, encoding: str | None = None, multiline: bool = False
+) -> DataFrame:
+    """All columns as text, each file in its own dialect, files matched by the names in their headers.
+
+    Columns stand in the order of the first file that has them; what a file lacks is missing in its rows.
     """
-    head = spark.read.text(path).select("value", F.expr("is_valid_utf8(value)").alias("utf8")).limit(100).collect()
-    lines = [r["value"] or "" for r in head[:SNIFF_LINES]]
-    totals = {s: sum(line.count(s) for line in lines) for s in SEPARATORS}
-    best = max(totals.values())
-    separator = next((s for s in SEPARATORS if totals[s] == best and best > 0), ",")
-    return separator, "UTF-8" if all(r["utf8"] for r in head) else fallback_encoding
+    said = dialects(spark, path).withColumns({"digest": F.md5(F.col("header").cast("binary"))})
+    alike = said.groupBy("separator", "encoding", "digest").agg(F.min("file").alias("first"), F.collect_list("file").alias("files"))
+    groups = sorted(alike.collect(), key=lambda r: r["first"])
+    if not groups:
+        raise ValueError(f"no lines in {path}")
+    out = None
+    for g in groups:
+        files = [unquote(f) for f in sorted(g["files"])]
+        own = read_raw(spark, files, separator or g["separator"], encoding or g["encoding"], multiline)
+        out = own if out is None else out.unionByName(own, allowMissingColumns=True)
+    return out
 
 
 def field_counts(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFrame:
@@ -82,20 +101,23 @@ def _clean_header(names: Sequence[str]) -> list[str]:
 
 def read_raw(
     spark: SparkSession,
-    path: str,
+    path: str | Sequence[str],
     separator: str,
     encoding: str = "UTF-8",
     multiline: bool = False,
     row_order: bool = False,
 ) -> DataFrame:
-    """All columns as text. Lines with too many fields are dropped, short ones padded with missing values.
+    """All columns as text, files with one header. Lines with too many fields are dropped, short ones padded.
 
     `row_order` adds the columns ROW_ORDER, by which the lines can be put back in file order.
     """
     options = {"header": True, "sep": separator, "encoding": encoding, "escape": '"', "multiLine": multiline}
     # lines must be judged alike whatever columns a query asks for, so the parser sees all of them
     options["columnPruning"] = False
+    path = path if isinstance(path, str) else list(path)
     header = spark.read.options(**options, inferSchema=False, enforceSchema=True).csv(path).columns
+    if not header:
+        raise ValueError(f"no header in {path}")
     schema = T.StructType([T.StructField(c, T.StringType()) for c in [*header, _CORRUPT]])
     raw = spark.read.options(**options, mode="PERMISSIVE", columnNameOfCorruptRecord=_CORRUPT).schema(schema).csv(path)
     unquoted = F.regexp_replace(F.col(_CORRUPT), r'"[^"]*"', "")
@@ -128,24 +150,24 @@ def read_csv(
     date_format: str | None = None,
     required: Sequence[str] = (),
     min_share: float = 0.7,
-    head_rows: int | None = None,
     multiline: bool = False,
 ) -> DataFrame:
-    """Read a CSV file, or a folder of alike ones, into a table with guessed column types."""
-    if separator is None or encoding is None:
-        found = sniff(spark, path)
-        separator, encoding = separator or found[0], encoding or found[1]
-    raw = read_raw(spark, path, separator, encoding, multiline)
+    """Read a CSV file, or a folder of them, into a table with guessed column types.
+
+    The text is read twice: for the dialects, and to be parsed into stored text columns, on which kinds are guessed.
+    """
+    raw = read_texts(spark, path, separator, encoding, multiline)
     if required:
         raw = require_columns(raw, required)
+    raw = stored(raw, "csv")
     present_dates = [c for c in date_columns if c in raw.columns]
-    return apply_kinds(raw, infer_kinds(raw, present_dates, date_format, min_share, head_rows=head_rows))
+    return apply_kinds(raw, infer_kinds(raw, present_dates, date_format, min_share))
 
 
-def csv_profile(spark: SparkSession, path: str, head_rows: int | None = None) -> DataFrame:
+def csv_profile(spark: SparkSession, path: str) -> DataFrame:
     """(column, kind, date_format, decimal_mark, parse_loss) of a CSV's columns, before any conversion."""
-    raw = read_raw(spark, path, *sniff(spark, path))
-    return kinds_table(raw, infer_kinds(raw, head_rows=head_rows))
+    raw = stored(read_texts(spark, path), "csv")
+    return kinds_table(raw, infer_kinds(raw))
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists", single_file: bool = False) -> None:

@@ -52,7 +52,6 @@ def _sizes(split):
 def test_split_counts_deeper_and_by_order_when_keys_repeat(spark, monkeypatch):
     df = spark.range(5000).select("id", (F.col("id") % 3).alias("label"), F.lit(7).alias("same"))
     want = {(r["id"], r["_is_test"]) for r in learn.stratified_split(df, "label", "id").collect()}
-    monkeypatch.setattr(learn, "_GATHER_DRAWS", 0)
     monkeypatch.setattr(learn, "_BITS_PER_PASS", 4)
     assert {(r["id"], r["_is_test"]) for r in learn.stratified_split(df, "label", "id").collect()} == want
     sizes = _sizes(learn.stratified_split(df, "label", "same"))
@@ -148,3 +147,34 @@ def test_stream_duplicates(spark, tmp_path):
     got = _run(drop_duplicates_stream(stream, "k", "ts", "1 hour"), tmp_path, "unique")
     assert sorted(r["k"] for r in got.collect()) == list(range(8))
     assert drop_duplicates(events, "k", "first", "ts").count() == 8
+
+
+def test_numeric_classes_come_back(spark):
+    for low, high in ((-1, 1), (0.2, 0.7), (3, 9_007_199_254_740_993)):
+        df = spark.range(200).select("id", (F.col("id") % 10).alias("x"), F.when(F.col("id") % 10 > 4, F.lit(high)).otherwise(F.lit(low)).alias("label"))
+        found = learn.classify(df, ["x"], "label", "id", models=("logreg", "dtree"))
+        assert {(r["true_label"], r["dtree_pred"]) for r in found.predictions.collect()} == {(low, low), (high, high)}
+        again = found.transform(spark.createDataFrame([(1,), (8,)], "x long")).collect()
+        assert [(r["logreg_pred"], r["dtree_pred"]) for r in again] == [(low, low), (high, high)]
+
+
+def test_text_classes_are_codes(flowers):
+    found = learn.classify(flowers, ["a", "b", "c"], "label", "id", models=("dtree",))
+    rows = found.transform(flowers.drop("label"))
+    both = rows.join(found.predictions.select("id", F.col("dtree_pred").alias("before")), "id")
+    assert both.where("dtree_pred <> before").count() == 0 and both.count() == 270
+
+
+def test_clusters_of_other_rows(flowers):
+    found = learn.cluster_kmeans(flowers, ["a", "b"], k=3)
+    again = found.transform(flowers).select("id", "cluster").exceptAll(found.rows.select("id", "cluster"))
+    assert again.count() == 0
+
+
+def test_split_of_many_labels(spark):
+    df = spark.range(40_000).select("id", (F.col("id") % 900).alias("label"))
+    sizes = _sizes(learn.stratified_split(df, "label", "id"))
+    assert len(sizes) == 1800
+    assert all(sizes[k, True] == int((sizes[k, True] + sizes[k, False]) * 0.3 + 0.5) for k in range(900))
+    gaps = spark.createDataFrame([(i, None if i % 2 else "a") for i in range(20)], "id long, label string")
+    assert _sizes(learn.stratified_split(gaps, "label", "id")) == {("a", True): 3, ("a", False): 7, (None, True): 3, (None, False): 7}
