@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from prepframe.functions.columns import col, present
@@ -122,6 +122,27 @@ def scatter_points(df: DataFrame, x: str, y: str, hue: str | None = None, size:
     return points.dropna(subset=["x", "y"])
 
 
+def scatter_bins(df: DataFrame, x: str, y: str, bins: int = 50) -> DataFrame:
+    """(x_bin, y_bin, x_low, y_low, n): all points counted in a grid of equal cells, empty cells left out.
+
+    The largest values lie in the last cells; a column with one value has one cell.
+    """
+    require_numeric(df, [x, y])
+    points = df.select(present(df, x).cast("double").alias("x"), present(df, y).cast("double").alias("y")).dropna()
+    ends = points.agg(*[f(c).alias(f"{n}_{c}") for c in "xy" for n, f in (("low", F.min), ("high", F.max))])
+
+    def cell(c: str) -> Column:
+        at = F.floor((F.col(c) - F.col(f"low_{c}")) * bins / F.nullif(F.col(f"high_{c}") - F.col(f"low_{c}"), F.lit(0.0)))
+        return F.least(F.coalesce(at, F.lit(0)), F.lit(bins - 1)).cast("int")
+
+    def low(c: str) -> Column:
+        return F.col(f"low_{c}") + F.col(f"{c}_bin") * (F.col(f"high_{c}") - F.col(f"low_{c}")) / bins
+
+    held = points.join(F.broadcast(ends)).select("*", cell("x").alias("x_bin"), cell("y").alias("y_bin"))  # one row of ends
+    counted = held.groupBy("x_bin", "y_bin", *ends.columns).agg(F.count(F.lit(1)).alias("n"))
+    return counted.select("x_bin", "y_bin", low("x").alias("x_low"), low("y").alias("y_low"), "n")
+
+
 def trend_line(df: DataFrame, x: str, y: str) -> DataFrame:
     """Least-squares (slope, intercept, n); both missing when x is constant."""
     require_numeric(df, [x, y])

@@ -5,31 +5,76 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import combinations_with_replacement
 
+import numpy as np
+from pyspark.ml.feature import VectorAssembler
+from pyspark.mllib.linalg.distributed import RowMatrix
+from pyspark.mllib.util import MLUtils
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from prepframe.functions.columns import col, present
 from prepframe.guards import chosen_numeric
 from prepframe.operators.lookup import RANK, fit_lookups
+from prepframe.scratch import stored
 
 PAIRS_PER_JOB = 150
+#: Length of a row's vector up to which all products are summed at once (the sums are its square, on the driver).
+GRAM_WIDTH = 3_000
+#: Of a sum of squares, the part that must be left after the mean is taken off; with less, a pair is computed alone.
+CANCELLED = 1e-9
 
 
-def _moments(df: DataFrame, pairs: list[tuple[Column, Column]], shared: bool) -> list[float | None]:
-    """Correlation of each pair of expressions, some 150 pairs to an aggregation.
-
-    `shared` says that no value is missing, so that a column's deviation serves all its pairs.
-    """
+def _alone(df: DataFrame, pairs: list[tuple[str, str]]) -> list[float | None]:
+    """Correlation of each pair by its own deviations, some 150 pairs to an aggregation."""
     out: list[float | None] = []
     for at in range(0, len(pairs), PAIRS_PER_JOB):
-        part = pairs[at : at + PAIRS_PER_JOB]
         aggs = []
-        for i, (a, b) in enumerate(part):
-            x, y = (a, b) if shared else (F.when(b.isNotNull(), a), F.when(a.isNotNull(), b))
+        for i, (a, b) in enumerate(pairs[at : at + PAIRS_PER_JOB]):
+            x, y = F.when(F.col(b).isNotNull(), F.col(a)), F.when(F.col(a).isNotNull(), F.col(b))
             deviations = F.stddev_pop(x) * F.stddev_pop(y)
             aggs.append((F.covar_pop(x, y) / F.nullif(deviations, F.lit(0.0))).alias(f"r{i}"))
-        row = df.agg(*aggs).first()
-        out += [None if r is None else max(-1.0, min(1.0, r)) for r in row]
+        out += [None if r is None else max(-1.0, min(1.0, r)) for r in df.agg(*aggs).first()]
+    return out
+
+
+def _correlations(df: DataFrame, pairs: list[tuple[str, str]]) -> list[float | None]:
+    """Correlation of each pair of columns over the rows that have both, from one scan after a survey.
+
+    A row is a vector of its values (about the mean, 0 where missing), their squares, and whether they are present; the
+    products of all parts, summed, hold every pair's count, sums, squares and product.
+    """
+    names = sorted({c for p in pairs for c in p})
+    width = 3 * len(names)
+    if not pairs or width > GRAM_WIDTH:
+        return _alone(df, pairs)
+    row = df.agg(*[f(c).alias(f"{tag}{i}") for i, c in enumerate(names) for tag, f in (("m", F.avg), ("s", F.stddev_pop))]).first()
+    parts = []
+    for i, c in enumerate(names):
+        mean, scale = row[f"m{i}"] or 0.0, row[f"s{i}"] or 1.0
+        z = F.coalesce((F.col(c) - F.lit(mean)) / F.lit(scale), F.lit(0.0))
+        parts += [z.alias(f"z{i}"), (z * z).alias(f"q{i}"), F.col(c).isNotNull().cast("double").alias(f"p{i}")]
+    flat = df.select(*parts)
+    vectors = VectorAssembler(inputCols=flat.columns, outputCol="_v").transform(flat).select("_v")
+    gram = RowMatrix(MLUtils.convertVectorColumnsFromML(vectors, "_v")).computeGramianMatrix().toArray()
+    at = {c: 3 * i for i, c in enumerate(names)}
+    out: list[float | None] = []
+    again = []
+    for k, (a, b) in enumerate(pairs):
+        za, zb = at[a], at[b]
+        n = gram[za + 2, zb + 2]
+        if n < 1:
+            out.append(None)
+            continue
+        sa, sb = gram[za, zb + 2], gram[zb, za + 2]
+        qa, qb = gram[za + 1, zb + 2], gram[zb + 1, za + 2]
+        va, vb = qa - sa * sa / n, qb - sb * sb / n
+        if va <= CANCELLED * max(qa, 1.0) or vb <= CANCELLED * max(qb, 1.0):
+            again.append(k)
+            out.append(None)
+        else:
+            out.append(float(max(-1.0, min(1.0, (gram[za, zb] - sa * sb / n) / np.sqrt(va * vb)))))
+    for k, r in zip(again, _alone(df, [pairs[k] for k in again]), strict=True):
+        out[k] = r
     return out
 
 
@@ -62,16 +107,17 @@ def _prepared(df: DataFrame, cols: Sequence[str] | None) -> tuple[list[str], Dat
 
 def pearson_matrix(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """(column_a, column_b, r) for every ordered pair of numeric columns."""
-    names, values, gaps, pairs = _prepared(df, cols)
-    found = _moments(values, [(F.col(f"v{i}"), F.col(f"v{j}")) for i, j in pairs], not gaps)
-    return _table(df, names, {(names[i], names[j]): r for (i, j), r in zip(pairs, found)})
+    names, values, _, pairs = _prepared(df, cols)
+    found = _correlations(values, [(f"v{i}", f"v{j}") for i, j in pairs])
+    return _table(df, names, {(names[i], names[j]): r for (i, j), r in zip(pairs, found, strict=True)})
 
 
 def spearman_matrix(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """As `pearson_matrix`, on average ranks taken anew over each pair's complete rows.
 
-    A column is ranked once for all partners that have no missing values, and once more for each one that has.
-    Ranks come from value counts, so equal values are one row however often they occur.
+    A column is ranked once for all partners that have no missing values, and once more for each one that has. Ranks
+    come from value counts, so equal values are one row however often they occur. All ranks are joined at once in long
+    form and put side by side by one grouping, however many columns there are.
     """
     names, values, gaps, pairs = _prepared(df, cols)
     ranked: dict[str, Column] = {}
@@ -87,18 +133,18 @@ def spearman_matrix(df: DataFrame, cols: Sequence[str] | None = None) -> DataFra
     sides = [(ranked_column(i, j), ranked_column(j, i)) for i, j in pairs]
     if not sides:
         return _table(df, names, {})
-    wide = values.select(*[e.alias(n) for n, e in ranked.items()])
-    counted = (
-        wide.unpivot([], list(ranked), "column", "key")
-        .where("key IS NOT NULL")
-        .groupBy("column", "key")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    lookups = fit_lookups(counted, list(ranked), order_by="key")
-    for n in ranked:
-        wide = lookups.attach(wide, n, F.col(n), {RANK: f"r_{n}"})
-    found = _moments(wide, [(F.col(f"r_{a}"), F.col(f"r_{b}")) for a, b in sides], not gaps)
-    return _table(df, names, {(names[i], names[j]): r for (i, j), r in zip(pairs, found)})
+    # written with their numbers, which would not be the same if a task were run again
+    numbered = stored(values.select(F.monotonically_increasing_id().alias("_row"), "*"), "ranked")
+    wide = numbered.select("_row", *[e.alias(n) for n, e in ranked.items()])
+    long = wide.unpivot(["_row"], list(ranked), "column", "key").where("key IS NOT NULL")
+    counted = long.groupBy("column", "key").agg(F.count(F.lit(1)).alias("n"))
+    both = F.struct("column", "key")
+    lookups = fit_lookups(counted.select(F.lit("all").alias("column"), both.alias("key"), "n"), ["all"], order_by="key")
+    # a rank counts the rows of all columns that come before; those of one column lie together
+    joined = lookups.attach(long, "all", both, {RANK: "_rank"})
+    side_by_side = joined.groupBy("_row").agg(*[F.max(F.when(F.col("column") == n, F.col("_rank"))).alias(n) for n in ranked])
+    found = _correlations(stored(side_by_side.drop("_row"), "ranks"), sides)
+    return _table(df, names, {(names[i], names[j]): r for (i, j), r in zip(pairs, found, strict=True)})
 
 
 def corr_matrix_wide(pairs: DataFrame, digits: int = 4) -> DataFrame:

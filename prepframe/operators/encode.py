@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from prepframe.functions.columns import col, present, strip
 from prepframe.guards import as_list, categories_of, require, require_numeric, require_text
 from prepframe.operators.lookup import CODE, Lookups, fit_lookups
-from prepframe.operators.rowid import order_columns
+from prepframe.operators.rowid import order_columns, with_row_id
 
 MAX_CATEGORIES = 1_000
 
@@ -118,13 +118,21 @@ class Binary:
 def fit_binary(
     df: DataFrame, cols: str | Sequence[str], order_by: Sequence[str | Column] | str, trim: bool = True
 ) -> Binary:
-    """Codes follow the order in which the (trimmed) values first appear in the caller's order."""
+    """Codes follow the order in which the (trimmed) values first appear in the caller's order.
+
+    Rows without an order value come first, as in an ascending order. Orders other than by names (descending ones, say)
+    are settled by numbering the rows.
+    """
     names = require_text(df, cols)
     order = order_columns(order_by)
     if not order:
         raise ValueError("order of first appearance needs order_by")
+    given = [order_by] if isinstance(order_by, (str, Column)) else list(order_by)
+    if not all(isinstance(o, str) for o in given):
+        df = with_row_id(df, order, "_appears")
+        order = [F.col("_appears")]
     keys = [(strip(col(c)) if trim else col(c)).alias(c) for c in names]
-    first = F.struct(*[o.alias(f"o{i}") for i, o in enumerate(order)]) if len(order) > 1 else order[0]
+    first = F.struct(*[o.alias(f"o{i}") for i, o in enumerate(order)])
     counted = (
         df.select(first.alias("_at"), *keys)
         .unpivot(["_at"], [col(c) for c in names], "column", "key")

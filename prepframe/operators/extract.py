@@ -87,15 +87,22 @@ class _Keys:
         return rows if len(self.names) == 1 else rows.where((own >= key(low)) & (own <= key(high)))
 
 
+#: Positions up to which their rows' keys are looked up, and up to which a table of them is broadcast.
+KEYED_POSITIONS = 1_000
+BROADCAST_POSITIONS = 10_000
+
+
 def _positions_table(df: DataFrame, positions: Sequence[int]) -> DataFrame:
+    """(row id, _seq), to be broadcast if it is small; a larger one is joined as Spark sees fit."""
     rows = [(int(p), i) for i, p in enumerate(positions)]
-    return df.sparkSession.createDataFrame(rows, f"{ROW_ID} long, _seq long")
+    table = df.sparkSession.createDataFrame(rows, f"{ROW_ID} long, _seq long")
+    return F.broadcast(table) if len(rows) <= BROADCAST_POSITIONS else table
 
 
 def keep_rows(df: DataFrame | Numbered, positions: Sequence[int], order_by: Sequence[str | Column] = ()) -> DataFrame:
     """Rows at the listed positions, in the listed order, as often as listed."""
     names = _key_names(df, order_by)
-    if names and positions:
+    if names and 0 < len(positions) <= KEYED_POSITIONS:
         keys = _Keys(df, names)
         _check_positions(positions, keys.numbered.count)
         wanted = keys.table(positions)
@@ -106,12 +113,12 @@ def keep_rows(df: DataFrame | Numbered, positions: Sequence[int], order_by: Sequ
     if not positions:
         return numbered.rows(0, -1).drop(ROW_ID)
     near = numbered.rows(min(positions), max(positions))
-    return near.join(F.broadcast(_positions_table(near, positions)), ROW_ID).orderBy("_seq").drop(ROW_ID, "_seq")
+    return near.join(_positions_table(near, positions), ROW_ID).orderBy("_seq").drop(ROW_ID, "_seq")
 
 
 def remove_rows(df: DataFrame | Numbered, positions: Sequence[int], order_by: Sequence[str | Column] = ()) -> DataFrame:
     names = _key_names(df, order_by)
-    if names and positions:
+    if names and 0 < len(positions) <= KEYED_POSITIONS:
         keys = _Keys(df, names)
         _check_positions(positions, keys.numbered.count)
         gone = keys.table(sorted(set(positions)))
@@ -120,7 +127,7 @@ def remove_rows(df: DataFrame | Numbered, positions: Sequence[int], order_by: Se
     numbered = _as_numbered(df, order_by)
     _check_positions(positions, numbered.count)
     rows = numbered.rows()
-    return rows.join(F.broadcast(_positions_table(rows, positions).select(ROW_ID)), ROW_ID, "left_anti").drop(ROW_ID)
+    return rows.join(_positions_table(rows, positions), ROW_ID, "left_anti").drop(ROW_ID)
 
 
 def _between(df: DataFrame | Numbered, start: int, end: int, order_by, keys: _Keys | None) -> DataFrame:

@@ -1,9 +1,9 @@
 """Tables that map a column's values to fitted figures, and how they are joined back.
 
-A mapping of up to BROADCAST_ROWS rows and BROADCAST_BYTES of keys is held by the driver and broadcast. A larger
-one is written once and joined by shuffle, except for its hot values: those with more than 1/HOT_SHARE of all
-rows, of which there can be at most HOT_SHARE, if they are no longer than HOT_LENGTH. They are broadcast, and
-their rows (like those without a value) pass through the shuffle under a salt, so that no task receives them all.
+A mapping of up to BROADCAST_ROWS rows and BROADCAST_BYTES of keys and values is held by the driver and broadcast. A
+larger one is written once and joined by shuffle, except for its hot values: those with more than 1/HOT_SHARE of all
+rows, of which there can be at most HOT_SHARE. They are broadcast, long ones as a digest, and their rows (like those
+without a value) pass through the shuffle under a salt, so that no task receives them all.
 """
 
 from __future__ import annotations
@@ -46,7 +46,7 @@ class Lookups:
             joined = keyed.join(F.broadcast(self.tables[column].select(*renamed)), on, "left")
             return joined.drop("_match", "_key")
         hot = self.hot[column].select(col("key").alias("_hot"), *[col(v).alias(f"_hot_{n}") for v, n in names.items()])
-        placed = keyed.join(F.broadcast(hot), F.col("_match") == F.col("_hot"), "left")
+        placed = keyed.join(F.broadcast(hot), _short(F.col("_match"), self.tables[column]) == F.col("_hot"), "left")
         apart = F.col("_hot").isNotNull() | F.col("_match").isNull()
         salt = F.when(apart, F.pmod(F.spark_partition_id(), F.lit(SALTS)) + 1).otherwise(0)
         # n * 0 instead of a literal, which would be folded out of the join keys
@@ -59,12 +59,26 @@ class Lookups:
 
 
 def _in_order(value):
-    """Sort key that puts missing parts first, as Spark's ascending order does."""
-    return [(v is not None, v) for v in value] if isinstance(value, tuple) else [(True, value)]
+    """Sort key that puts missing parts first, as Spark's ascending order does, at any depth."""
+    if value is None:
+        return (False,)
+    return (True, [_in_order(v) for v in value] if isinstance(value, tuple) else value)
 
 
-def _key_bytes() -> Column:
-    return F.coalesce(F.sum(F.octet_length(F.col("key").cast("string"))), F.lit(0)).alias("bytes")
+def _short(key: Column, table: DataFrame) -> Column:
+    """A text key of more than HOT_LENGTH bytes as its digest; others as they are."""
+    if not isinstance(table.schema["key"].dataType, T.StringType):
+        return key
+    return F.when(F.octet_length(key) <= HOT_LENGTH, key).otherwise(F.concat(F.lit("\0sha256 "), F.sha2(key.cast("binary"), 256)))
+
+
+def _bytes(schema: T.StructType) -> Column:
+    """Bytes of all keys and values as text."""
+    width = F.lit(0)
+    for f in schema:
+        if f.name not in ("column", "n"):
+            width = width + F.coalesce(F.octet_length(F.to_json(F.struct(col(f.name)))), F.lit(0))
+    return F.coalesce(F.sum(width), F.lit(0)).alias("bytes")
 
 
 def fit_lookups(
@@ -82,7 +96,7 @@ def fit_lookups(
     broadcast_rows = BROADCAST_ROWS if broadcast_rows is None else broadcast_rows
     counted = counted.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        rows, size = counted.limit(broadcast_rows + 1).agg(F.count(F.lit(1)), _key_bytes()).first()
+        rows, size = counted.limit(broadcast_rows + 1).agg(F.count(F.lit(1)), _bytes(counted.schema)).first()
         if rows <= broadcast_rows and size <= BROADCAST_BYTES:
             return _small(spark, counted.schema, counted.collect(), cols, order_by)
         return _large(counted, cols, order_by, broadcast_rows)
@@ -114,7 +128,7 @@ def _large(counted: DataFrame, cols: Sequence[str], order_by: str | None, broadc
         table = stored(table.withColumnRenamed(ROW_ID, CODE).drop("_rows_before"), "lookup")
     else:
         table = stored(counted, "lookup")
-    per_column = table.groupBy("column").agg(F.count(F.lit(1)).alias("keys"), F.sum("n").alias("rows"), _key_bytes()).collect()
+    per_column = table.groupBy("column").agg(F.count(F.lit(1)).alias("keys"), F.sum("n").alias("rows"), _bytes(table.schema)).collect()
     tables, sizes, hot, keys_before, rows_before = {}, {}, {}, 0, 0
     found = {r["column"]: r for r in per_column}
     for c in sorted(found):
@@ -127,7 +141,7 @@ def _large(counted: DataFrame, cols: Sequence[str], order_by: str | None, broadc
         keys_before, rows_before = keys_before + keys, rows_before + rows
         if keys > broadcast_rows or found[c]["bytes"] > BROADCAST_BYTES:
             common = F.col("n") * HOT_SHARE > F.lit(rows)
-            hot[c] = mine.where(common & (F.octet_length(F.col("key").cast("string")) <= HOT_LENGTH))
+            hot[c] = mine.where(common).withColumn("key", _short(F.col("key"), mine))
         tables[c], sizes[c] = mine, keys
     for c in cols:
         if c not in tables:

@@ -3,20 +3,23 @@
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from prepframe.functions.columns import col, is_numeric, present
-from prepframe.guards import CATEGORIES, categories_of, require
+from prepframe.guards import categories_of, require, with_categories
 from prepframe.operators.lookup import fit_lookups
+from prepframe.operators.rowid import with_row_id
 from prepframe.scratch import stored
 
 MAX_RULES = 100_000
 CASE_RULES = 50
+RULE_BYTES = 16 << 20
 
 
 @dataclass(frozen=True)
@@ -34,29 +37,48 @@ def _is_missing(value) -> bool:
     )
 
 
+# A literal typed by a user is a whole number, a decimal one with a dot, or text.
+_WHOLE, _DECIMAL = r"^[+-]?\d+$", r"^[+-]?(\d+\.\d*|\.\d+)([eE][+-]?\d+)?$"
+_LONG = 2**63
+
+
 def _number(value):
-    """Text typed by a user as a whole number or, with a dot, a decimal one; ValueError otherwise."""
+    """The number a literal stands for (whole ones beyond 64 bits are rounded to a double); ValueError if none."""
     if isinstance(value, str):
-        return float(value) if "." in value else int(value)
+        text = value.strip()
+        if re.match(_WHOLE, text, re.ASCII):
+            value = int(text)
+        elif re.match(_DECIMAL, text, re.ASCII):
+            value = float(text)
+        else:
+            raise ValueError(f"{value!r} is not a number")
+    if isinstance(value, int) and not -_LONG <= value < _LONG:
+        value = float(value)
     return value
 
 
+def _fractional(dtype: T.DataType) -> bool:
+    return is_numeric(dtype) and not isinstance(dtype, T.IntegralType)
+
+
 def make_rules(df: DataFrame, rules: Mapping[str, Mapping]) -> list[Rule]:
     """Rules for known columns; an old value that cannot occur in a numeric column drops its rule."""
     made = []
     for c, pairs in rules.items():
         if c not in df.columns:
             continue
-        numeric = is_numeric(df.schema[c].dataType)
+        dtype = df.schema[c].dataType
         for old, new in pairs.items():
             if _is_missing(old):
                 old = None
-            elif numeric:
+            elif is_numeric(dtype):
                 try:
                     old = _number(old)
                 except ValueError:
                     continue
-            if numeric and new is not None:
+                if _fractional(dtype) and old != float(old):  # such a column holds its rounded form at best
+                    old = float(old)
+            if is_numeric(dtype) and new is not None:
                 try:
                     new = _number(new)
                 except ValueError:
@@ -73,7 +95,7 @@ def _widened(dtype: T.DataType, news: list) -> T.DataType:
     if any(isinstance(n, str) for n in news):
         return T.StringType()
     if isinstance(dtype, T.IntegralType):
-        if any(isinstance(n, float) and n != int(n) for n in news):
+        if any(isinstance(n, float) and (n != int(n) or not -_LONG <= n < _LONG) for n in news):
             return T.DoubleType()
         top = {T.ByteType: 2**7, T.ShortType: 2**15, T.IntegerType: 2**31}.get(type(dtype))
         if top and any(not -top <= n < top for n in news):
@@ -82,29 +104,62 @@ def _widened(dtype: T.DataType, news: list) -> T.DataType:
 
 
 def resolve(rules: list[Rule]) -> dict[str, dict]:
-    """For each column, where every old value ends up after all rules have been applied in turn."""
-    ends: dict[str, dict] = {}
+    """For each column, where every old value ends up after all rules have been applied in turn.
+
+    Old values that have become the same are one group from then on, so a rule moves a group and not its members.
+    """
+    starts: dict[str, dict] = {}
+    groups: list[list] = []  # the number of the group it went into (its own if none), and its value
+
+    def top(g: int) -> int:
+        while groups[g][0] != g:
+            groups[g][0] = groups[groups[g][0]][0]
+            g = groups[g][0]
+        return g
+
+    at: dict[str, dict] = {}
     for rule in rules:
-        now = ends.setdefault(rule.column, {})
-        for start, value in now.items():
-            if value == rule.old:
-                now[start] = rule.new
-        now.setdefault(rule.old, rule.new)
-    return ends
+        mine, here = starts.setdefault(rule.column, {}), at.setdefault(rule.column, {})
+        group = here.pop(rule.old, None)
+        if rule.old not in mine:
+            own = len(groups)
+            groups.append([own, rule.old])
+            mine[rule.old] = own
+            if group is None:
+                group = own
+            else:
+                groups[own][0] = group
+        if group is None:
+            continue
+        there = here.get(rule.new)
+        if there is None:
+            groups[group][1] = rule.new
+            here[rule.new] = group
+        else:
+            groups[group][0] = there
+    return {c: {old: groups[top(g)][1] for old, g in mine.items()} for c, mine in starts.items()}
 
 
 def apply_rules(df: DataFrame, rules: list[Rule]) -> DataFrame:
-    """Few rules become one CASE per column; many become a broadcast join (their number is bounded)."""
+    """Few rules become one CASE per column; many become a broadcast join, whose keys have the column's own type."""
     ends = resolve(rules)
     big = [c for c, m in ends.items() if len(m) > CASE_RULES]
     for i, c in enumerate(big):
-        dtype = df.schema[c].dataType
-        rows = [(old, f"{new}" if new is not None else None) for old, new in ends[c].items() if old is not None]
-        key = "double" if is_numeric(dtype) else "string"
-        rows = [(float(o) if key == "double" else str(o), n) for o, n in rows]
-        table = df.sparkSession.createDataFrame(rows, f"_old{i} {key}, _new{i} string")
-        hit = F.col(f"_at{i}") == F.col(f"_old{i}")
-        df = df.withColumn(f"_at{i}", present(df, c).cast(key)).join(F.broadcast(table), hit, "left")
+        source = df.schema[c].dataType
+        kind = "double" if _fractional(source) else "long" if is_numeric(source) else "string"
+        rows = []
+        for old, new in ends[c].items():
+            if old is not None and (kind != "long" or old == int(old)):
+                old = {"double": float, "long": int, "string": str}[kind](old)
+                whole = isinstance(new, int) and not isinstance(new, bool)
+                rows.append((old, new if whole else None, new if isinstance(new, float) else None, None if new is None or whole or isinstance(new, float) else f"{new}"))
+        table = df.sparkSession.createDataFrame(rows, f"_old{i} {kind}, _whole{i} long, _part{i} double, _text{i} string")
+        if kind == "string" and not isinstance(source, T.StringType):
+            table = table.withColumn(f"_old{i}", F.col(f"_old{i}").try_cast(source)).where(F.col(f"_old{i}").isNotNull())
+            at = present(df, c)
+        else:
+            at = present(df, c).cast(kind)
+        df = df.withColumn(f"_at{i}", at).join(F.broadcast(table), F.col(f"_at{i}") == F.col(f"_old{i}"), "left")
 
     def replaced(c: str):
         if c not in ends:
@@ -114,7 +169,8 @@ def apply_rules(df: DataFrame, rules: list[Rule]) -> DataFrame:
         value = present(df, c).cast(dtype)
         if c in big:
             i = big.index(c)
-            out = F.when(F.col(f"_old{i}").isNotNull(), F.col(f"_new{i}").cast(dtype))
+            new = F.coalesce(*[F.col(f"_{part}{i}").cast(dtype) for part in _PARTS if _castable(part, dtype)])
+            out = F.when(F.col(f"_old{i}").isNotNull(), new)
             if None in ends[c]:
                 out = out.when(present(df, c).isNull(), F.lit(ends[c][None]).cast(dtype))
         else:
@@ -122,21 +178,26 @@ def apply_rules(df: DataFrame, rules: list[Rule]) -> DataFrame:
             for old, new in ends[c].items():
                 test = present(df, c).isNull() if old is None else _equals(c, old, source)
                 out = out.when(test, F.lit(new).cast(dtype))
-        meta = dict(df.schema[c].metadata)
-        known = categories_of(df, c)
-        if known is not None:
-            meta[CATEGORIES] = [*known, *dict.fromkeys(v for v in ends[c].values() if v is not None and v not in known)]
-        return out.otherwise(value).alias(c, metadata=meta)
+        return out.otherwise(value).alias(c, metadata=with_categories(df, c, list(ends[c].values())))
 
-    helpers = {f"_{part}{i}" for i in range(len(big)) for part in ("at", "old", "new")}
+    helpers = {f"_{part}{i}" for i in range(len(big)) for part in ("at", "old", *_PARTS)}
     return df.select(*[replaced(c) for c in df.columns if c not in helpers])
 
 
+_PARTS = ("whole", "part", "text")
+
+
+def _castable(part: str, dtype: T.DataType) -> bool:
+    return is_numeric(dtype) or isinstance(dtype, T.StringType) if part != "text" else not is_numeric(dtype)
+
+
 def _equals(c: str, old, dtype: T.DataType):
     if isinstance(dtype, T.StringType) and not isinstance(old, str):
         return F.lit(False)
+    if isinstance(dtype, T.IntegralType):  # a fraction, or a number beyond 64 bits, is in no such column
+        return col(c) == F.lit(int(old)) if old == int(old) and -_LONG <= old < _LONG else F.lit(False)
     if is_numeric(dtype):
-        return col(c) == F.lit(old)
+        return col(c).cast("double") == F.lit(float(old))
     return col(c) == F.lit(old).try_cast(dtype)
 
 
@@ -164,90 +225,126 @@ def replace_values(df: DataFrame, rules: Mapping[str, Mapping]) -> DataFrame:
 
 
 def replace_from_table(df: DataFrame, table: DataFrame, max_rules: int = MAX_RULES) -> DataFrame:
-    """Apply rules given as rows (column, old, new, seq), all text, in the order of seq.
+    """Apply rules given as rows (column, old, new, seq), all text, in the order of seq (then old, new).
 
-    Up to max_rules are resolved by the driver; more are resolved and joined as tables.
+    Up to max_rules, of up to RULE_BYTES, are resolved by the driver; more are resolved and joined as tables, with the
+    same literals, key types and metadata.
     """
     require(table, ["column", "old", "new", "seq"])
-    rows = table.select("column", "old", "new", "seq").limit(max_rules + 1).collect()
-    if len(rows) > max_rules:
-        return _replace_large(df, table)
+    rules = table.select("column", "old", "new", "seq")
+    width = F.octet_length(F.concat_ws("", "column", "old", "new"))
+    rows, size = rules.limit(max_rules + 1).agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first()
+    if rows > max_rules or size > RULE_BYTES:
+        return _replace_large(df, rules)
     made: list[Rule] = []
-    for r in sorted(rows, key=lambda r: r["seq"]):
+    order = lambda r: (r["seq"], r["old"] is not None, r["old"] or "", r["new"] is not None, r["new"] or "")
+    for r in sorted(rules.collect(), key=order):
         made += make_rules(df, {r["column"]: {r["old"]: r["new"]}})
     return apply_rules(df, made)
 
 
-_MISSING = "nan"
+#: What missing cells are looked up by; no text of a cell or rule is this.
+_MISSING = "\0missing"
+
+
+def _whole(text: Column) -> Column:
+    """A literal's whole number, null if it is none or beyond 64 bits."""
+    return F.when(F.btrim(text).rlike(_WHOLE), F.btrim(text).try_cast("decimal(38,0)").try_cast("long"))
+
+
+def _double(text: Column) -> Column:
+    number = F.btrim(text).rlike(_WHOLE) | F.btrim(text).rlike(_DECIMAL)
+    return F.when(number, F.btrim(text).try_cast("double"))
+
+
+def _number_key(whole: Column, double: Column) -> Column:
+    """Numbers that are equal have equal keys: digits for whole ones within 64 bits, else the double as text."""
+    is_whole = (double == F.floor(double)) & (F.abs(double) < float(_LONG))
+    return F.coalesce(whole.cast("string"), F.when(is_whole, double.try_cast("long").cast("string")), (double + 0.0).cast("string"))
 
 
 def _cell_key(df: DataFrame, c: str) -> Column:
-    """A cell as the text rules are looked up by; a text that reads "nan" is no missing cell and matches nothing."""
-    value = present(df, c)
-    text = (value.cast("double") if is_numeric(df.schema[c].dataType) else value).cast("string")
-    return F.when(value.isNull(), F.lit(_MISSING)).when(F.lower(text) != _MISSING, text)
+    value, dtype = present(df, c), df.schema[c].dataType
+    nothing = F.lit(None).cast("long")
+    key = _number_key(nothing, value.cast("double")) if _fractional(dtype) else value.cast("string")
+    return F.when(value.isNull(), F.lit(_MISSING)).otherwise(key)
+
+
+def _literal_key(df: DataFrame, names: list[str], text: str, missing: Column) -> Column:
+    """The key of a literal in the rule's column, null if no cell and no other literal can be equal to it."""
+    out = F.when(missing, F.lit(_MISSING))
+    for c in names:
+        dtype, t, mine = df.schema[c].dataType, F.col(text), F.col("column") == c
+        if _fractional(dtype):
+            key = _number_key(F.lit(None).cast("long"), _double(t))
+        elif is_numeric(dtype):
+            key = _number_key(_whole(t), _double(t))
+        else:
+            key = t if isinstance(dtype, T.StringType) else t.try_cast(dtype).cast("string")
+        out = out.when(mine, key)
+    return out
 
 
 def _resolved(df: DataFrame, table: DataFrame) -> DataFrame:
-    """(column, old, new) after all rules have run in turn: each round takes every value one rule further."""
-    numeric = F.col("column").isin([c for c in df.columns if is_numeric(df.schema[c].dataType)] or [""])
-
-    def as_key(c: str) -> Column:
-        number = F.col(c).try_cast("double").cast("string")
-        return F.when(numeric, F.coalesce(number, F.col(c))).otherwise(F.col(c))
+    """(column, key, new, first) after all rules have run in turn.
 
-    missing = F.col("old").isNull() | (F.lower("old") == _MISSING)
-    rules = table.where(F.col("column").isin(df.columns)).select(
-        "column", F.when(missing, _MISSING).otherwise(as_key("old")).alias("old"), as_key("new").alias("new"), "seq"
+    Each rule points to the rule that next takes up what it makes; pointers are doubled until none moves, so a chain of
+    n rules takes log2 n rounds.
+    """
+    names = [c for c in df.columns if not isinstance(df.schema[c].dataType, (T.ArrayType, T.MapType, T.StructType))]
+    missing = F.col("old").isNull() | (F.lower("old") == "nan")
+    keyed = table.where(F.col("column").isin(names)).select(
+        "column",
+        "new",
+        "seq",
+        "old",
+        _literal_key(df, names, "old", missing).alias("key"),
+        _literal_key(df, names, "new", F.col("new").isNull()).alias("made"),
     )
-    rules = rules.where(~numeric | (F.col("old") == _MISSING) | F.col("old").try_cast("double").isNotNull())
-    rules = stored(rules, "rules")
-    state = rules.groupBy("column", "old").agg(F.min_by(F.struct("new", "seq"), "seq").alias("to"))
-    state = stored(state.select("column", "old", "to.new", "to.seq"), "rules")
-    later = rules.select("column", F.col("old").alias("new"), F.struct(F.col("seq"), F.col("new")).alias("later"))
+    rules = stored(with_row_id(keyed.where("key IS NOT NULL"), ["seq", "old", "new", "column"], "at"), "rules")
+    # Beside each value's rules in order: of what a rule makes, the first rule that comes later.
+    takes = rules.select("column", F.col("key").alias("value"), "at", F.col("at").alias("taker"))
+    makes = rules.select("column", F.col("made").alias("value"), "at", F.lit(None).cast("long").alias("taker")).where("value IS NOT NULL")
+    later = Window.partitionBy("column", "value").orderBy("at").rowsBetween(1, Window.unboundedFollowing)
+    found = takes.union(makes).withColumn("next", F.first("taker", ignorenulls=True).over(later))
+    pointers = stored(found.where("taker IS NULL AND next IS NOT NULL").select("at", "next"), "rules")
     while True:
-        onward = (
-            state.join(later, ["column", "new"])
-            .where(F.col("later.seq") > F.col("seq"))
-            .groupBy("column", "old")
-            .agg(F.min("later").alias("later"))
-        )
-        if onward.isEmpty():
-            return state.select("column", "old", "new")
-        moved = state.join(onward, ["column", "old"], "left")
-        state = stored(
-            moved.select(
-                "column",
-                "old",
-                F.when(F.col("later").isNull(), F.col("new")).otherwise(F.col("later.new")).alias("new"),
-                F.coalesce("later.seq", "seq").alias("seq"),
-            ),
-            "rules",
-        )
+        onward = pointers.select(F.col("at").alias("next"), F.col("next").alias("after"))
+        moved = pointers.join(onward, "next", "left").select("at", F.coalesce("after", "next").alias("next"), F.col("after").isNotNull().alias("moves"))
+        moved = stored(moved, "rules")
+        if moved.where("moves").isEmpty():
+            break
+        pointers = moved.drop("moves")
+    first = rules.groupBy("column", "key").agg(F.min("at").alias("at"))
+    ends = first.join(pointers, "at", "left").select("column", "key", F.col("at").alias("first"), F.coalesce("next", "at").alias("at"))
+    return ends.join(rules.select("at", "new"), "at").select("column", "key", "new", "first")
 
 
 def _replace_large(df: DataFrame, table: DataFrame) -> DataFrame:
-    ends = _resolved(df, table)
-    number = F.col("new").try_cast("double")
+    ends = stored(_resolved(df, table), "rules")
+    whole, double = _whole(F.col("new")), _double(F.col("new"))
     facts = ends.groupBy("column").agg(
-        F.bool_or(F.col("new").isNotNull() & number.isNull()).alias("text"),
-        F.bool_or(number != F.floor(number)).alias("fraction"),
-        F.min(number).alias("low"),
-        F.max(number).alias("high"),
+        F.bool_or(F.col("new").isNotNull() & double.isNull()).alias("text"),
+        F.bool_or(whole.isNull() & ((double != F.floor(double)) | (F.abs(double) >= float(_LONG)))).alias("fraction"),
+        F.min(F.coalesce(whole, double.try_cast("long"))).alias("low"),
+        F.max(F.coalesce(whole, double.try_cast("long"))).alias("high"),
     )
-    types = {}
+    types, news = {}, {}
     for r in facts.collect():
-        news = ["text"] if r["text"] else [0.5] if r["fraction"] else [int(v) for v in (r["low"], r["high"]) if v is not None]
-        types[r["column"]] = _widened(df.schema[r["column"]].dataType, news)
+        kinds = ["text"] if r["text"] else [0.5] if r["fraction"] else [v for v in (r["low"], r["high"]) if v is not None]
+        types[r["column"]] = _widened(df.schema[r["column"]].dataType, kinds)
     cols = [c for c in df.columns if c in types]
+    for c in cols:
+        if categories_of(df, c) is not None:  # what a column's categories are is part of its schema
+            rows = ends.where((F.col("column") == c) & F.col("new").isNotNull()).groupBy("new").agg(F.min("first").alias("first"))
+            news[c] = [r["new"] for r in rows.orderBy("first").collect()]
     counted = (
         df.select(*[_cell_key(df, c).alias(c) for c in cols])
         .unpivot([], [col(c) for c in cols], "column", "key")
-        .where("key IS NOT NULL")
         .groupBy("column", "key")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    hits = counted.join(ends.withColumnRenamed("old", "key"), ["column", "key"]).withColumn("hit", F.lit(True))
+    hits = counted.join(ends.drop("first"), ["column", "key"]).withColumn("hit", F.lit(True))
     lookups, out = fit_lookups(hits, cols), df
     for i, c in enumerate(cols):
         out = lookups.attach(out, c, _cell_key(df, c), {"new": f"_new{i}", "hit": f"_hit{i}"})
@@ -255,11 +352,16 @@ def _replace_large(df: DataFrame, table: DataFrame) -> DataFrame:
     def replaced(c: str) -> Column:
         if c not in types:
             return col(c)
-        i, kept = cols.index(c), present(df, c).cast(types[c])
+        i, dtype = cols.index(c), types[c]
         new = F.col(f"_new{i}")
-        if isinstance(types[c], T.IntegralType):
-            new = new.cast("double")
-        return F.when(F.col(f"_hit{i}"), new.cast(types[c])).otherwise(kept).alias(c)
+        if is_numeric(df.schema[c].dataType):
+            whole, double = _whole(new), _double(new)
+            if is_numeric(dtype):
+                new = F.coalesce(whole.try_cast(dtype), double.try_cast(dtype))
+            else:
+                new = F.coalesce(whole.cast("string"), double.cast("string"), new)
+        changed = F.when(F.col(f"_hit{i}"), new.cast(dtype)).otherwise(present(df, c).cast(dtype))
+        return changed.alias(c, metadata=with_categories(df, c, news.get(c, [])))
 
     return out.select(*[replaced(c) for c in df.columns])
 

@@ -74,6 +74,24 @@ def binary_mapping(spark, sf):
     return encode.fit_binary(table(spark, sf, "events"), "event_type", "event_id").mapping()
 
 
+@query(
+    "binary_encode_null_order",
+    """WITH f AS (SELECT p_brand, min(coalesce(CASE WHEN p_partkey % 3 <> 0 THEN p_size END, -1)::BIGINT * 100000000 + p_partkey) AS met FROM part GROUP BY 1),
+    c AS (SELECT p_brand, row_number() OVER (ORDER BY met) - 1 AS code FROM f)
+    SELECT p_partkey, code::BIGINT AS code FROM part JOIN c USING (p_brand)""",
+)
+def binary_encode_null_order(spark, sf):
+    """Rows whose first order column is missing come first; the bits are put together again as a number."""
+    size = F.when(F.col("p_partkey") % 3 != 0, F.col("p_size")).alias("s")
+    df = table(spark, sf, "part").select("p_partkey", size, "p_brand")
+    coded = encode.binary_encode(df, "p_brand", ["s", "p_partkey"])
+    bits = [c for c in coded.columns if c.startswith("p_brand_bin_")]
+    code = F.lit(0)
+    for c in bits:
+        code = code * 2 + F.col(c)
+    return coded.select("p_partkey", code.cast("long").alias("code"))
+
+
 @query(
     "binary_encode_wide",
     f"""WITH codes AS ({_first_seen_sql('o_custkey::VARCHAR', 'orders', 'o_orderkey')})
@@ -397,6 +415,17 @@ def line_series(spark, sf):
     return rounded(chartdata.line_series(df, "day", "value", "event_type"))
 
 
+@query(
+    "scatter_bins",
+    """WITH p AS (SELECT l_quantity AS x, l_extendedprice AS y FROM lineitem), e AS (SELECT min(x) AS a, max(x) AS b, min(y) AS c, max(y) AS d FROM p)
+    SELECT x_bin, y_bin, round(a + x_bin * (b - a) / 20, 6) AS x_low, round(c + y_bin * (d - c) / 20, 6) AS y_low, n FROM (
+      SELECT least(floor((x - a) * 20 / (b - a)), 19)::INT AS x_bin, least(floor((y - c) * 20 / (d - c)), 19)::INT AS y_bin, count(*) AS n
+      FROM p, e GROUP BY 1, 2), e""",
+)
+def scatter_bins(spark, sf):
+    return rounded(chartdata.scatter_bins(table(spark, sf, "lineitem"), "l_quantity", "l_extendedprice", 20))
+
+
 @query(
     "scatter_points",
     f"WITH {GAPS} SELECT l_quantity AS x, l_extendedprice AS y, l_returnflag AS hue, l_tax AS size FROM gaps WHERE l_quantity IS NOT NULL",

@@ -406,3 +406,32 @@ def replace_many_rules(spark, sf):
         F.col("c_custkey").alias("seq"),
     )
     return replace.replace_from_table(customer, rules)
+
+
+@query(
+    "replace_bigint_many_rules",
+    """SELECT o_orderkey, CASE WHEN o_orderkey % 50 = 0 THEN -o_orderkey ELSE o_orderkey + 9007199254740992 END AS big FROM orders""",
+)
+def replace_bigint_many_rules(spark, sf):
+    """A rule for every fiftieth number, all beyond what a double tells apart."""
+    big = F.col("o_orderkey") + F.lit(2**53)
+    df = table(spark, sf, "orders").select("o_orderkey", big.alias("big"))
+    rules = df.where("o_orderkey % 50 = 0").select(
+        F.lit("big").alias("column"),
+        F.col("big").cast("string").alias("old"),
+        (-F.col("o_orderkey")).cast("string").alias("new"),
+        F.col("o_orderkey").alias("seq"),
+    )
+    return replace.replace_from_table(df, rules)
+
+
+@query(
+    "replace_widening_table",
+    """SELECT p_partkey, CASE p_size WHEN 5 THEN '20' WHEN 7 THEN 'x' WHEN 9 THEN '2.5' ELSE p_size::VARCHAR END AS p_size FROM part""",
+)
+def replace_widening_table(spark, sf):
+    """Resolved and joined as tables: a text makes the column text, and 1e3 is no number."""
+    df = table(spark, sf, "part").select("p_partkey", "p_size")
+    rules = [("1e3", "1"), ("5", "20"), ("7", "x"), ("9", "99.0"), ("99", "2.5")]
+    rows = [("p_size", old, new, i) for i, (old, new) in enumerate(rules)]
+    return replace.replace_from_table(df, spark.createDataFrame(rows, "column string, old string, new string, seq int"), max_rules=0)

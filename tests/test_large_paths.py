@@ -108,6 +108,137 @@ def test_rules_as_a_table(spark, monkeypatch):
     assert rows(replace.replace_from_table(df, table, max_rules=5)) == rows(small)
 
 
+def _rule_cases(spark):
+    """(df, rules) where literals, types, chains and categories are hard."""
+    big = 2**53
+    numbers = spark.createDataFrame([(1, big), (2, big + 1), (3, None), (4, 5), (5, 1000), (6, 7), (7, -5)], "id int, n long")
+    ints = spark.createDataFrame([(1, 1000), (2, 5), (3, 7), (4, None)], "id int, n int")
+    doubles = spark.createDataFrame([(1, 5.0), (2, 0.5), (3, None), (4, float("nan")), (5, 1e20), (6, -0.0), (7, 1e-5)], "id int, n double")
+    flags = spark.createDataFrame([(1, True), (2, False), (3, None)], "id int, n boolean")
+    texts = spark.createDataFrame([(1, "a"), (2, "nan"), (3, None), (4, "5"), (5, " a"), (6, "5.0")], "id int, n string")
+    days = spark.createDataFrame([(1, "2020-01-02"), (2, None)], "id int, n string").selectExpr("id", "cast(n as date) as n")
+    from prepframe.operators.infer import Kind, apply_kinds
+
+    listed = apply_kinds(spark.createDataFrame([(1, "a"), (2, "b"), (3, None)], "id int, n string"), {"n": Kind("categorical", categories=("a", "b"))})
+    chain = [(f"{i}", f"{i + 1}") for i in range(5, 40)]
+    return [
+        (numbers, [(str(big), "1"), ("5.0", "6"), ("+7", "8"), ("nan", "9")]),
+        (numbers, [(str(big + 1), str(big + 3)), ("1e3", "1"), ("5", "20"), ("7", "x")]),
+        (numbers, [("5", "4.5"), ("4.5", "6.0"), ("6", "11"), (None, "NaN"), ("-5", "99999999999999999999")]),
+        (numbers, chain),
+        (numbers, [("5", None), (None, "3"), ("3", "5"), ("5", "12")]),
+        (ints, [("1e3", "1"), ("5", "20"), ("7", "x")]),
+        (ints, [("5", "3000000000"), ("7", "007")]),
+        (ints, [("5", "2.5"), ("1000", ".5")]),
+        (doubles, [("5", "6"), (".50", "7"), ("nan", "1.5"), ("0", "3"), ("100000000000000000000", "4"), ("0.00001", "9")]),
+        (doubles, [("5.0", "five"), ("6.", "x"), ("1.0e20", "2.0e3")]),
+        (flags, [("TRUE", "false"), ("nan", "true"), ("maybe", "true")]),
+        (texts, [("a", "b"), ("b", "c"), ("NaN", "none"), ("none", "gone"), ("5", "five"), ("c", "nan")]),
+        (days, [("2020-1-2", "2021-01-01"), ("nan", "2022-02-02"), ("x", "2023-01-01")]),
+        (listed, [("a", "z"), ("b", "y"), ("z", "b"), ("nan", "q")]),
+        (listed, [("a", "b"), ("b", "a"), ("a", "c")]),
+    ]
+
+
+def test_rules_are_the_same_at_every_size(spark, monkeypatch):
+    for df, pairs in _rule_cases(spark):
+        table = spark.createDataFrame([("n", old, new, i) for i, (old, new) in enumerate(pairs)], "column string, old string, new string, seq int")
+        cased = replace.replace_from_table(df, table)
+        monkeypatch.setattr(replace, "CASE_RULES", 0)
+        joined = replace.replace_from_table(df, table)
+        monkeypatch.setattr(replace, "CASE_RULES", 50)
+        large = replace.replace_from_table(df, table, max_rules=0)
+        for other in (joined, large):
+            assert other.schema == cased.schema and other.schema["n"].metadata == cased.schema["n"].metadata, pairs
+            assert rows(other) == rows(cased), pairs
+
+
+def test_many_rules_resolve_quickly():
+    import time
+
+    chain = [replace.Rule("c", i, i + 1) for i in range(50_000)] + [replace.Rule("c", -i, 50_000) for i in range(1, 50_000)]
+    began = time.time()
+    ends = replace.resolve(chain + [replace.Rule("c", 50_000, "end")])["c"]
+    assert time.time() - began < 5 and set(ends.values()) == {"end"} and len(ends) == 100_000
+    few = [replace.Rule("c", "a", "b"), replace.Rule("c", "b", "a"), replace.Rule("c", "a", "c"), replace.Rule("c", "b", "x")]
+    assert replace.resolve(few)["c"] == {"a": "c", "b": "c"}
+
+
+def test_hot_long_values_are_salted(spark, no_broadcast):
+    text = F.when(F.col("id") % 2 == 0, F.repeat(F.lit("x"), 2000)).otherwise(F.concat(F.lit("k"), F.col("id").cast("string")))
+    df = spark.range(400).select("id", text.alias("k"))
+    fitted = encode.fit_label_codes(df, "k")
+    hot = [r["key"] for r in fitted.lookups.hot["k"].collect()]
+    assert len(hot) == 1 and hot[0].startswith("\0sha256 ") and len(hot[0]) < 100
+    order = {k: i for i, k in enumerate(sorted({r["k"] for r in df.collect()}))}
+    assert {(r["id"], r["k_code"]) for r in fitted.transform(df).collect()} == {(r["id"], order[r["k"]]) for r in df.collect()}
+
+
+def test_values_count_for_the_broadcast_bound(spark, monkeypatch):
+    monkeypatch.setattr(lookup, "BROADCAST_BYTES", 5_000)
+    rows_ = [("c", f"k{i}", 1, "v" * 100) for i in range(100)]
+    counted = spark.createDataFrame(rows_, "column string, key string, n long, new string")
+    assert "c" in lookup.fit_lookups(counted, ["c"]).hot
+    assert "c" not in lookup.fit_lookups(counted.drop("new"), ["c"]).hot
+
+
+def test_many_positions_are_not_broadcast(spark, monkeypatch):
+    from prepframe.operators import extract
+
+    df = spark.range(2000).select("id", (F.col("id") * 2).alias("v"))
+    asked = [7, 3, 1999, 3] + list(range(100, 200))
+    before = [extract.keep_rows(df, asked, "id").collect(), rows(extract.remove_rows(df, asked, "id"))]
+    monkeypatch.setattr(extract, "KEYED_POSITIONS", 5)
+    monkeypatch.setattr(extract, "BROADCAST_POSITIONS", 5)
+    assert [extract.keep_rows(df, asked, "id").collect(), rows(extract.remove_rows(df, asked, "id"))] == before
+    hinted = [("ResolvedHint" in extract._positions_table(df, p)._jdf.queryExecution().analyzed().toString()) for p in (asked, asked[:5])]
+    assert hinted == [False, True]
+
+
+def test_a_million_positions(spark):
+    from prepframe.operators import extract
+
+    df = spark.range(1_000_100).select("id")
+    left = extract.remove_rows(df, range(1_000_000), "id")
+    assert [r["id"] for r in left.orderBy("id").collect()] == list(range(1_000_000, 1_000_100))
+
+
+def test_binary_orders(spark):
+    df = spark.createDataFrame([(1, None, "b"), (2, 5, "a"), (3, None, "a"), (4, 1, "c"), (5, None, "d")], "id int, o int, k string")
+    codes = lambda order: {r["value"]: r["code"] for r in encode.fit_binary(df, "k", order).mapping().collect()}
+    assert codes(["o", "id"]) == codes([F.col("o"), F.col("id")]) == {"b": 0, "a": 1, "d": 2, "c": 3}
+    assert codes("o")["c"] == 3
+    assert codes([F.col("id").desc()]) == {"d": 0, "c": 1, "a": 2, "b": 3}
+
+
+@pytest.mark.parametrize("wide", [3_000, 1])
+def test_correlations_alone_and_together(spark, monkeypatch, wide):
+    import pandas as pd
+
+    monkeypatch.setattr(corr, "GRAM_WIDTH", wide)
+    data = [(float(i), 1e9 + i % 7, None if i % 5 == 0 else float(i * i % 11), 3.0, 1e-9 * (i % 4), None if i % 2 else 4.0) for i in range(60)]
+    df = spark.createDataFrame(data, "a double, b double, c double, d double, e double, f double")
+    for method in ("pearson", "spearman"):
+        want = pd.DataFrame(data, columns=list("abcdef")).corr(method=method)
+        for (a, b), r in matrix(getattr(corr, f"{method}_matrix")(df)).items():
+            w = want.loc[a, b]
+            assert (r is None and w != w) or r == pytest.approx(w, abs=1e-6), (method, a, b)
+
+
+def test_correlation_plans_do_not_grow_with_columns(spark):
+    def jobs(n):
+        cols = [F.when((F.col("id") + i) % 5 > 0, (F.col("id") * (i + 3)) % 7).cast("double").alias(f"x{i}") for i in range(n)]
+        df = spark.range(300).select(*cols)
+        tracker, group = spark.sparkContext.statusTracker(), f"corr-{n}"
+        spark.sparkContext.setJobGroup(group, group)
+        corr.spearman_matrix(df).collect()
+        corr.pearson_matrix(df).collect()
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        return len(tracker.getJobIdsForGroup(group))
+
+    assert jobs(12) <= jobs(4) + 2
+
+
 @pytest.mark.parametrize("n", [1, 2, 9, 1000, 4001])
 def test_medians_with_a_tiny_gather_limit(spark, n):
     data = [((i * 7919 % 104729) / 8.0, float(i % 3), -1.0) for i in range(n)]
