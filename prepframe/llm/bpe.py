@@ -12,9 +12,8 @@ from __future__ import annotations
 
 import hashlib
 import heapq
+import io
 import json
-import os
-import tempfile
 import unicodedata
 import uuid
 from collections import Counter, defaultdict
@@ -31,7 +30,7 @@ from pyspark.sql import types as T
 
 from prepframe.llm.automaton import Transducer, compile_words
 from prepframe.llm.frames import column, longs, map_columns, steps, strings
-from prepframe.scratch import stored
+from prepframe.scratch import scratch_path, stored
 
 #: Words compiled into the lexicon at most: the most frequent ones of the corpus.
 LEXICON_WORDS = 50_000
@@ -305,11 +304,16 @@ def compile_lexicon(vocabulary: Vocabulary, words: list[str]) -> np.ndarray:
 
 
 def ship(spark: SparkSession, table: np.ndarray) -> str:
-    """Hand the table's file to every executor, present and future; the name under which tasks find it."""
+    """Write the table to the shared folder and have every executor, present and future, fetch it; its file's name."""
     name = f"lexicon-{uuid.uuid4().hex}.npy"
-    folder = tempfile.mkdtemp(prefix="lexicon-")
-    np.save(os.path.join(folder, name), table)
-    spark.sparkContext.addFile(os.path.join(folder, name))
+    path = f"{scratch_path(spark, 'lexicon')}/{name}"
+    raw = io.BytesIO()
+    np.save(raw, table)
+    file = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = file.getFileSystem(spark._jsc.hadoopConfiguration()).create(file)
+    out.write(raw.getvalue())
+    out.close()
+    spark.sparkContext.addFile(path)
     return name
 
 
