@@ -13,25 +13,28 @@ from prepframe.guards import as_list, categories_of, require, require_numeric, r
 from prepframe.operators.lookup import CODE, Lookups, fit_lookups
 from prepframe.operators.rowid import order_columns, with_row_id
 
-MAX_CATEGORIES = 1_000
 
+def observed_categories(df: DataFrame, cols: Sequence[str], limit: int | None = None) -> dict[str, list]:
+    """Sorted categories: those a column carries, else the ones found, for all such columns in one job.
 
-def observed_categories(df: DataFrame, cols: Sequence[str], limit: int = MAX_CATEGORIES) -> dict[str, list]:
-    """Sorted categories: those a column carries, else the ones found, for all such columns in one job."""
+    Categories become columns, so they come to the driver; more than `limit` in a column, if it is given, are an error.
+    """
     known = {c: categories_of(df, c) for c in cols}
     open_ = [c for c in cols if known[c] is None]
     if open_:
-        rows = (
+        found = (
             df.select(*[col(c).cast("string").alias(c) for c in open_])
             .unpivot([], [col(c) for c in open_], "column", "value")
             .where("value IS NOT NULL")
             .distinct()
-            .limit(limit * len(open_) + 1)
-            .collect()
         )
+        rows = (found if limit is None else found.limit(limit * len(open_) + 1)).collect()
+        gathered: dict[str, list] = {c: [] for c in open_}
+        for r in rows:
+            gathered[r["column"]].append(r["value"])
         for c in open_:
-            known[c] = sorted(r["value"] for r in rows if r["column"] == c)
-        if len(rows) > limit * len(open_) or any(len(known[c]) > limit for c in open_):
+            known[c] = sorted(gathered[c])
+        if limit is not None and (len(rows) > limit * len(open_) or any(len(known[c]) > limit for c in open_)):
             raise ValueError(f"not categorical: more than {limit} values in one of {open_}")
     return known
 
@@ -62,7 +65,7 @@ class OneHot:
 
 
 def fit_onehot(
-    df: DataFrame, cols: str | Sequence[str], drop_first: bool = False, max_categories: int = MAX_CATEGORIES
+    df: DataFrame, cols: str | Sequence[str], drop_first: bool = False, max_categories: int | None = None
 ) -> OneHot:
     names = require_text(df, cols)
     return OneHot(observed_categories(df, names, max_categories), drop_first)

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from prepframe.functions.columns import col, is_numeric, present
 from prepframe.guards import as_list, chosen_numeric, require
-from prepframe.operators.quantile import finish_medians, sketch
+from prepframe.operators.quantile import finish_medians, sketch, whole_medians
 
 
 def numeric_profile(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
@@ -42,6 +42,17 @@ def numeric_profile(df: DataFrame, cols: Sequence[str] | None = None) -> DataFra
     )
 
 
+def whole_profile(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
+    """(column, median, min, max, count) of whole-number columns, exact beyond what a double tells apart."""
+    names = [c for c in chosen_numeric(df, cols) if isinstance(df.schema[c].dataType, T.IntegralType)]
+    if not names:
+        raise ValueError("no whole-number columns among those chosen")
+    row = df.agg(*[f(col(c)).alias(f"{t}{i}") for i, c in enumerate(names) for t, f in (("lo", F.min), ("hi", F.max), ("n", F.count))]).first()
+    medians = whole_medians(df, names)
+    rows = [(c, medians[c], row[f"lo{i}"], row[f"hi{i}"], row[f"n{i}"]) for i, c in enumerate(names)]
+    return df.sparkSession.createDataFrame(rows, "column string, median decimal(21,1), min long, max long, count long")
+
+
 def numeric_values_long(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """(column, value) for every present numeric value; chosen columns that are not numeric are left out."""
     names = chosen_numeric(df, cols)

@@ -9,8 +9,9 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
+from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from prepframe.functions.columns import present
@@ -130,3 +131,38 @@ def exact_medians(df: DataFrame, cols: Sequence[str], gather_rows: int = GATHER_
         *[sketch(present(df, c)).alias(f"s{i}") for i, c in enumerate(cols)],
     ).first()
     return finish_medians(df, {c: (row[f"n{i}"], row[f"s{i}"]) for i, c in enumerate(cols)}, gather_rows)
+
+
+#: Bits of a whole number that one round settles.
+_ROUND_BITS = 16
+
+
+def whole_medians(df: DataFrame, cols: Sequence[str]) -> dict[str, Decimal | None]:
+    """Exact medians of whole-number columns, whatever their size: sixteen bits a round, by counting.
+
+    A round groups the values that share the bits settled so far by their next bits; one row for each column and middle
+    rank reaches the driver.
+    """
+    names = {f"c{i}": c for i, c in enumerate(cols)}
+    values = df.select(*[present(df, c).cast("long").alias(n) for n, c in names.items()])
+    counted = values.agg(*[F.count(n).alias(n) for n in names]).first()
+    long = values.unpivot([], list(names), "name", "v").where("v IS NOT NULL")
+    # (column, which of the two middles, rank among what is left, bits settled)
+    wanted = [(n, k, r, 0) for n in names if counted[n] for k, r in enumerate(((counted[n] - 1) // 2, counted[n] // 2))]
+    for shift in range(64 - _ROUND_BITS, -1, -_ROUND_BITS):
+        if not wanted:
+            break
+        state = F.broadcast(df.sparkSession.createDataFrame(wanted, "name string, which int, rank long, settled long"))
+        here = long.join(state, "name")
+        if shift + _ROUND_BITS < 64:
+            here = here.where(F.shiftright("v", shift + _ROUND_BITS) == F.col("settled"))
+        bucket = F.shiftright("v", shift).alias("bucket")
+        counts = here.groupBy("name", "which", "rank", bucket).agg(F.count(F.lit(1)).alias("n"))
+        upto = F.sum("n").over(Window.partitionBy("name", "which").orderBy("bucket"))
+        met = counts.withColumn("upto", upto).where("upto > rank").groupBy("name", "which", "rank")
+        first = met.agg(F.min(F.struct("bucket", "n", "upto")).alias("at")).collect()
+        wanted = [(r["name"], r["which"], r["rank"] - (r["at"]["upto"] - r["at"]["n"]), r["at"]["bucket"]) for r in first]
+    middles: dict[str, list[int]] = {}
+    for n, _, _, value in wanted:
+        middles.setdefault(n, []).append(value)
+    return {c: Decimal(sum(middles[n])) / 2 if n in middles else None for n, c in names.items()}

@@ -415,6 +415,24 @@ def line_series(spark, sf):
     return rounded(chartdata.line_series(df, "day", "value", "event_type"))
 
 
+@query(
+    "numeric_profile_bigint",
+    """WITH b AS (SELECT o_orderkey + 9007199254740992 AS k, CASE WHEN o_custkey % 4 <> 0 THEN -o_custkey * 1000000007 END AS c FROM orders),
+    k AS (SELECT k AS v, row_number() OVER (ORDER BY k) - 1 AS r, count(*) OVER () AS n FROM b),
+    c AS (SELECT c AS v, row_number() OVER (ORDER BY c) - 1 AS r, count(*) OVER () AS n FROM b WHERE c IS NOT NULL)
+    SELECT 'k' AS "column", (SELECT sum(v)::VARCHAR FROM k WHERE r IN ((n - 1) // 2, n // 2) AND n % 2 = 0 OR r = n // 2 AND n % 2 = 1) AS middles,
+      (SELECT min(v) FROM k) AS min, (SELECT max(v) FROM k) AS max, (SELECT count(*) FROM k) AS count
+    UNION ALL SELECT 'c', (SELECT sum(v)::VARCHAR FROM c WHERE r IN ((n - 1) // 2, n // 2) AND n % 2 = 0 OR r = n // 2 AND n % 2 = 1),
+      (SELECT min(v) FROM c), (SELECT max(v) FROM c), (SELECT count(*) FROM c)""",
+)
+def numeric_profile_bigint(spark, sf):
+    """Whole numbers beyond 2^53; of an even count the two middles are shown added up, else the one."""
+    key, gaps = F.col("o_orderkey") + F.lit(2**53), F.when(F.col("o_custkey") % 4 != 0, -F.col("o_custkey") * 1000000007)
+    found = profile.whole_profile(table(spark, sf, "orders").select(key.alias("k"), gaps.alias("c")))
+    middles = F.when(F.col("count") % 2 == 0, F.col("median") * 2).otherwise(F.col("median")).cast("decimal(38,0)").cast("string")
+    return found.select("column", middles.alias("middles"), "min", "max", "count")
+
+
 @query(
     "scatter_bins",
     """WITH p AS (SELECT l_quantity AS x, l_extendedprice AS y FROM lineitem), e AS (SELECT min(x) AS a, max(x) AS b, min(y) AS c, max(y) AS d FROM p)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -37,12 +39,22 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def release_scratch(spark: SparkSession) -> int:
-    """Delete what this process wrote under the shared folder; results still reading it end here."""
+def release_scratch(spark: SparkSession, keep: int = 0) -> int:
+    """Delete what this process wrote under the shared folder, but for the first `keep`; results that read it end here."""
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     gone = 0
-    while _written:
+    while len(_written) > keep:
         path = hadoop(_written.pop())
         gone += bool(path.getFileSystem(conf).delete(path, True))
     return gone
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Intermediate tables written inside are deleted at the end: write results before it."""
+    before = len(_written)
+    try:
+        yield
+    finally:
+        release_scratch(spark, before)

@@ -275,3 +275,19 @@ def test_patches(spark):
     )
     got = sorted(extract.apply_patches(df, patches, "id").collect())
     assert got == [(1, "a", 8.5), (2, "c", 2.0)]
+
+
+def test_whole_medians(spark):
+    from decimal import Decimal
+
+    from prepframe.operators.quantile import whole_medians
+
+    big = 2**53
+    for values in ([big + 1], [big + 1, big + 3], [big, big + 1], [-5, None, 7, -(2**63)], [2**63 - 1] * 3, [], [None]):
+        df = spark.createDataFrame([(v,) for v in values], "v long")
+        present = sorted(v for v in values if v is not None)
+        n = len(present)
+        want = Decimal(present[(n - 1) // 2] + present[n // 2]) / 2 if n else None
+        assert whole_medians(df, ["v"]) == {"v": want}
+    row = profile.whole_profile(spark.createDataFrame([(big + 1, "x"), (big + 2, "y")], "v long, s string")).first()
+    assert (row["min"], row["max"], row["median"]) == (big + 1, big + 2, Decimal(2 * big + 3) / 2)
