@@ -30,6 +30,8 @@ from prepframe.llm.frames import column, map_columns, steps, strings
 GRAM, WINDOW = 16, 64
 #: Texts of fewer code points have grams of SHORT_GRAM; a window is at most a part of SHARE of a text's grams, LEAST at least.
 SHORT, SHORT_GRAM, SHARE, LEAST = 64, 6, 8, 4
+#: Bytes of text of one part of the ordering, about; there are at least as many parts as shuffle partitions.
+PART_BYTES = 256 << 20
 #: Code points taken at once from a very long text.
 STRETCH = 1 << 20
 
@@ -137,7 +139,8 @@ def compare_with_next(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
     spark = df.sparkSession
     low = -(1 << 63)
     docs = df.select(F.coalesce(column(id_col).cast("long"), F.lit(low)).alias("rank"), column(id_col).cast("long").alias("doc_id"), F.coalesce(column(text_col), F.lit("")).alias("text"))
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    size = docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // PART_BYTES))
     steps_ = [k / parts for k in range(1, parts)]
     cuts = docs.select(F.col("rank").cast("double").alias("rank")).approxQuantile("rank", steps_, 0.2 / parts) if steps_ else []
     bounds = np.unique(np.array(cuts, np.float64))
