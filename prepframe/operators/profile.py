@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from prepframe.functions.columns import col, is_numeric, present
 from prepframe.guards import as_list, chosen_numeric, require
 from prepframe.operators.quantile import finish_medians, sketch, whole_medians
+from prepframe.scratch import stored
 
 
 def numeric_profile(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
@@ -110,32 +111,40 @@ def modes(df: DataFrame, cols: str | Sequence[str]) -> dict[str, object]:
     return found
 
 
+#: Bytes of a text up to which it is counted as it is; longer ones are counted by their digest.
+COUNTED_BYTES = 64
+#: Digests of commonest texts up to which they are broadcast to find the text itself; a join by shuffle beyond.
+BROADCAST_DIGESTS = 100_000
+
+
+def _counting_key(value: Column) -> Column:
+    return F.when(F.octet_length(value) <= COUNTED_BYTES, value).otherwise(F.concat(F.lit("\0sha256 "), F.sha2(value.cast("binary"), 256)))
+
+
 def categorical_profile(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """One row per non-numeric column that holds anything.
 
     count, distinct, mode (ties: smallest), top_share, fill_pct, and shortest, longest and mean text length.
-    Every figure comes from one table of value counts; the row total is counted in the same pass.
+    Every figure comes from one table of value counts, in which long texts stand as digests; the row total is counted in
+    the same pass. A long text is looked for only where it is a column's commonest.
     """
     names = [c for c in (cols or df.columns) if c in df.columns and not is_numeric(df.schema[c].dataType)]
     if not names:
         raise ValueError("no non-numeric columns among those chosen")
     texts = df.select(F.lit("").alias("_all"), *[col(c).cast("string").alias(c) for c in names])
-    counts = (
-        texts.unpivot([], ["_all", *[col(c) for c in names]], "column", "value")
-        .where("value IS NOT NULL")
-        .groupBy("column", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    long = texts.unpivot([], ["_all", *[col(c) for c in names]], "column", "value").where("value IS NOT NULL")
+    key, length = _counting_key(F.col("value")).alias("key"), F.length("value").alias("length")
+    counts = stored(long.select("column", key, length).groupBy("column", "key", "length").agg(F.count(F.lit(1)).alias("n")), "counts")
     per_column = counts.groupBy("column").agg(
         F.sum("n").alias("count"),
         F.count(F.lit(1)).alias("distinct"),
-        F.min_by("value", F.struct(-F.col("n"), F.col("value"))).alias("mode"),
         F.max("n").alias("top"),
-        F.min(F.length("value")).cast("long").alias("length_min"),
-        F.max(F.length("value")).cast("long").alias("length_max"),
-        F.sum(F.length("value") * F.col("n")).alias("length_sum"),
+        F.min("length").cast("long").alias("length_min"),
+        F.max("length").cast("long").alias("length_max"),
+        F.sum(F.col("length") * F.col("n")).alias("length_sum"),
     )
     found = {r["column"]: r for r in per_column.collect()}
+    chosen = _commonest(long, counts, {c: r["top"] for c, r in found.items()})
     total = found["_all"]["count"] if "_all" in found else 0
     rows = []
     for c in names:
@@ -143,9 +152,28 @@ def categorical_profile(df: DataFrame, cols: Sequence[str] | None = None) -> Dat
             r = found[c]
             n = r["count"]
             lengths = (r["length_min"], r["length_max"], r["length_sum"] / n)
-            rows.append((c, n, r["distinct"], r["mode"], r["top"] / n, n / total * 100, *lengths))
+            rows.append((c, n, r["distinct"], chosen[c], r["top"] / n, n / total * 100, *lengths))
     return df.sparkSession.createDataFrame(
         rows,
         "column string, count long, distinct long, mode string, top_share double, fill_pct double, "
         "length_min long, length_max long, length_mean double",
     )
+
+
+def _commonest(long: DataFrame, counts: DataFrame, tops: dict[str, int]) -> dict[str, str]:
+    """For each column the smallest of the texts that occur as often as any."""
+    often = F.lit(False)
+    for c, top in tops.items():
+        often = often | ((F.col("column") == c) & (F.col("n") == top))
+    best = counts.where(often).select("column", "key")
+    by_digest = F.startswith("key", F.lit("\0sha256 "))
+    found = {r["column"]: r["value"] for r in best.where(~by_digest).groupBy("column").agg(F.min("key").alias("value")).collect()}
+    digests = best.where(by_digest)
+    some = digests.select("column").distinct().collect()
+    if some:
+        wanted = F.broadcast(digests) if digests.limit(BROADCAST_DIGESTS + 1).count() <= BROADCAST_DIGESTS else digests
+        here = long.where(F.col("column").isin([r["column"] for r in some]) & (F.octet_length("value") > COUNTED_BYTES))
+        held = here.withColumn("key", _counting_key(F.col("value"))).join(wanted, ["column", "key"], "left_semi")
+        for r in held.groupBy("column").agg(F.min("value").alias("value")).collect():
+            found[r["column"]] = min(r["value"], found.get(r["column"], r["value"]), key=lambda t: t.encode())
+    return found

@@ -164,6 +164,20 @@ def test_many_rules_resolve_quickly():
     assert replace.resolve(few)["c"] == {"a": "c", "b": "c"}
 
 
+@pytest.mark.parametrize("bound", [100_000, 0])
+def test_long_texts_are_counted_by_digest(spark, monkeypatch, bound):
+    from prepframe.operators import profile
+
+    monkeypatch.setattr(profile, "BROADCAST_DIGESTS", bound)
+    texts = ["b" * 500, "b" * 500, "a" * 300, "a" * 300, "short", None, "é" * 70, "z"]
+    df = spark.createDataFrame([(t, "s", "k" * 100 if t else None) for t in texts], "t string, s string, k string")
+    for cut in (64, 0, 10_000):
+        monkeypatch.setattr(profile, "COUNTED_BYTES", cut)
+        got = {r["column"]: r for r in profile.categorical_profile(df).collect()}
+        assert got["t"]["mode"] == "a" * 300 and got["t"]["distinct"] == 5 and got["t"]["length_max"] == 500
+        assert got["s"]["mode"] == "s" and got["k"]["mode"] == "k" * 100 and got["k"]["fill_pct"] == 87.5
+
+
 def test_hot_long_values_are_salted(spark, no_broadcast):
     text = F.when(F.col("id") % 2 == 0, F.repeat(F.lit("x"), 2000)).otherwise(F.concat(F.lit("k"), F.col("id").cast("string")))
     df = spark.range(400).select("id", text.alias("k"))
