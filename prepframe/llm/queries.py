@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 import public_tokenizers
@@ -9,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from prepframe.llm import bpe, decontaminate, fingerprints, html_extract, lang_id, licences, line_dedup, quality, secret_scan, simhash
+from prepframe.llm.words import words_of
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -89,9 +91,50 @@ QUERIES: dict[str, Query] = {
 }
 
 _LOW = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
-_WORDS = rf"regexp_extract_all({_LOW.format('coalesce(text, chr(32))')}, '[0-9a-z\x{{80}}-\x{{10FFFF}}]+')"
+
+
+def _words_sql(text: str) -> str:
+    return rf"regexp_extract_all({_LOW.format(text)}, '[0-9a-z\x{{80}}-\x{{10FFFF}}]+')"
+
+
+_WORDS = _words_sql("coalesce(text, chr(32))")
+
+
+
+def _licence_sql() -> str:
+    """Phrases by place, and every line against every template."""
+
+    def places(phrase: str) -> str:
+        own = phrase.split()
+        test = " AND ".join(f"w[i + {k}] = '{x}'" for k, x in enumerate(own))
+        return f"list_filter(range(1, len(w) - {len(own) - 2}), lambda i: {test})"
+
+    rows = []
+    for number, (text, label) in enumerate(licences.TEMPLATES):
+        own = sorted({x.decode() for x in words_of(text)})
+        rows.append(f"({number}, '{label}', [{', '.join(repr(x) for x in own)}], {math.ceil(licences.THRESHOLD * len(own) - 1e-9)})")
+    each = [(places(p), label) for p, label in licences.PHRASES]
+    found = ", ".join(f"CASE WHEN len({x}) > 0 THEN '{label}' END" for x, label in each)
+    return f"""
+WITH templates(t, label, own, needed) AS (VALUES {", ".join(rows)}),
+docs AS (SELECT doc_id, text, {_WORDS} AS w FROM documents),
+base AS (
+  SELECT doc_id, len(w) AS n_words, {" || ".join(x for x, _ in each)} AS spots,
+         list_filter([{found}], lambda x: x IS NOT NULL) AS labels FROM docs),
+lines AS (SELECT DISTINCT doc_id, unnest(string_split(text, chr(10))) AS line FROM docs WHERE text IS NOT NULL),
+met AS (
+  SELECT doc_id, label, len(list_intersect(list_distinct(lw), own)) AS held, len(own) AS size, needed
+  FROM (SELECT doc_id, {_words_sql("line")} AS lw FROM lines) l, templates),
+more AS (SELECT doc_id, list(DISTINCT label) AS labels, max(held / size) AS score FROM met WHERE held >= needed GROUP BY doc_id)
+SELECT doc_id, n_words, len(spots) AS n_base, list_min(spots) - 1 AS first_word, list_max(spots) - 1 AS last_word,
+       array_to_string(list_sort(b.labels), ',') AS base_labels,
+       array_to_string(list_sort(list_distinct(b.labels || coalesce(m.labels, []))), ',') AS labels,
+       CASE WHEN len(spots) > 0 THEN 1.0 ELSE coalesce(score, 0.0) END::DOUBLE AS score
+FROM base b LEFT JOIN more m USING (doc_id)"""
+
 
 ORACLES: dict[str, str] = {
+    "op7_licence_scan": _licence_sql(),
     "op3_line_dedup": f"""
 WITH lines AS (
   SELECT doc_id, text, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS place

@@ -44,8 +44,9 @@ def brute(text, items):
     return len(words), len(hit), len(named), digest, bool(hit) and 20 * len(hit) >= len(words)
 
 
-def test_windows_query(spark, sf_dir):
-    assert compare(QUERIES["op9_decontaminate"](spark, sf_dir), connect(sf_dir), ORACLES["op9_decontaminate"]) is None
+@pytest.mark.parametrize("key", ["op7_licence_scan", "op9_decontaminate"])
+def test_like_sql(spark, sf_dir, key):
+    assert compare(QUERIES[key](spark, sf_dir), connect(sf_dir), ORACLES[key]) is None
 
 
 @pytest.mark.parametrize("block", [1 << 19, 40])
