@@ -130,3 +130,42 @@ def test_scratch_is_in_the_shared_folder(spark, m):
     assert table.count() == 6
     release_scratch(spark)
     assert spark.read.format("binaryFile").option("recursiveFileLookup", True).load(shared).count() == 0
+
+
+def test_one_late_byte_decides_the_encoding(spark, write):
+    path = write("late.csv", b"id;name\n" + b"".join(b"%d;plain\n" % i for i in range(400)) + b"400;za\xfe caf\xe9\n")
+    assert csv.sniff(spark, path) == (";", "ISO-8859-1")
+    assert [r["name"] for r in csv.read_csv(spark, path).where("id = 400").collect()] == ["zaþ café"]
+
+
+def test_files_are_matched_by_their_headers(spark, tmp_path):
+    folder = tmp_path / "some files"
+    folder.mkdir()
+    (folder / "1 first.csv").write_text("a;b\n1;x\n2;y\n")
+    (folder / "2%20second.csv").write_text("b,a,c\nz,3,new\n")
+    (folder / "3.csv").write_text("a;b\n4;w\n")
+    (folder / "4 empty.csv").write_text("")
+    df = csv.read_csv(spark, str(folder))
+    assert df.columns == ["a", "b", "c"]
+    assert sorted(rows(df)) == [(1, "x", None), (2, "y", None), (3, "z", "new"), (4, "w", None)]
+
+
+def test_empty_files(spark, write):
+    path = write("empty.csv", "")
+    for read in (csv.read_csv, csv.csv_profile, csv.sniff):
+        with pytest.raises(ValueError, match="empty.csv"):
+            read(spark, path)
+    assert csv.read_csv(spark, write("head.csv", "a,b\n")).count() == 0
+
+
+def test_jobs_of_a_read(spark, tmp_path):
+    def jobs(columns):
+        path = str(tmp_path / f"c{columns}")
+        spark.range(500).select(*[(F.col("id") * i).cast("string").alias(f"x{i}") for i in range(columns)]).write.csv(path, header=True)
+        spark.sparkContext.setJobGroup(f"csv-{columns}", "")
+        assert csv.read_csv(spark, path).count() == 500
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"csv-{columns}"))
+
+    few = jobs(3)
+    assert few <= 20 and jobs(30) <= few + 1
