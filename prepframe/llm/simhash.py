@@ -42,18 +42,26 @@ BROADCAST_SHARDS = 100_000
 LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
 
 
-def simhash(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> int:
-    """The fingerprint, unsigned."""
+def shingle_hashes(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> np.ndarray:
+    """The hash of each word shingle, in order of place."""
     # Bytes split at exactly space, tab, line feed, vertical tab, form feed and carriage return.
     words = (text or "").encode().translate(LOWER).split()
     if not words:
-        return 0
+        return np.zeros(0, np.uint64)
     line, n = b" ".join(words), max(1, len(words) - shingle + 1)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
     starts = [0, *ends[: n - 1].tolist()]
     stops = (ends[-n:] - 1).tolist()
     digest = xxhash.xxh64_intdigest
-    hashes = np.array([digest(line[a:b], seed) for a, b in zip(starts, stops, strict=True)], "<u8")
+    return np.array([digest(line[a:b], seed) for a, b in zip(starts, stops, strict=True)], "<u8")
+
+
+def simhash(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> int:
+    """The fingerprint, unsigned."""
+    hashes = shingle_hashes(text, shingle, seed)
+    n = len(hashes)
+    if not n:
+        return 0
     counts = np.zeros(64, np.int64)
     for first in range(0, n, 1 << 14):
         some = hashes[first : first + (1 << 14)]
