@@ -1,7 +1,8 @@
 """Substring deduplication by lines: of all copies of a line in the corpus, the earliest ranked one stays.
 
 Lines are normalised (A-Z in lower case, white space runs as one space, trimmed) and grouped by a 128-bit digest over
-the whole corpus. Lines of fewer than `min_words` words are left alone. Copies rank by document id (null last), then by
+the whole corpus. Lines of fewer than `min_words` words are left alone, unless they have `MIN_CHARS` characters or, in
+scripts written without spaces, `MIN_UNSPACED` letters. Copies rank by document id (null last), then by
 the digest of the document's text, then by place. Every document comes back once, with what stays of its text and the
 offsets (code points, end exclusive, the line break after a removed line included) of what was removed.
 
@@ -20,9 +21,12 @@ from prepframe.scratch import stored
 
 #: Words that a line needs to count as a passage.
 MIN_WORDS = 5
+#: Characters, or letters of scripts without spaces between words, that count as a passage whatever the words.
+MIN_CHARS, MIN_UNSPACED = 64, 10
 #: Digests of repeated lines up to which their table is broadcast (16 + 24 bytes each); a join by shuffle beyond.
 BROADCAST_DIGESTS = 200_000
 
+_SPACED = r"[^\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -30,6 +34,12 @@ def normalised(line: Column) -> Column:
     return F.trim(F.regexp_replace(F.translate(line, UPPER, LOWER), r"[ \t\n\x0B\f\r]+", " "))
 
 
+def is_passage(unit: Column, min_words: int) -> Column:
+    """Whether a normalised line has enough words, or enough characters where words say little."""
+    words = F.length(unit) - F.length(F.translate(unit, " ", "")) + 1
+    return (words >= min_words) | (F.length(unit) >= MIN_CHARS) | (F.length(F.regexp_replace(unit, _SPACED, "")) >= MIN_UNSPACED)
+
+
 def remove_repeated_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """doc_id, text (what stays), n_lines, n_removed, removed (array of start and end in the original text)."""
     docs = df.select(column(id_col).alias("doc_id"), column(text_col).alias("text"))
@@ -38,7 +48,7 @@ def remove_repeated_lines(df: DataFrame, id_col: str = "doc_id", text_col: str =
     units = (
         docs.select("doc_id", "text_hash", F.posexplode(lines).alias("place", "line"))
         .select("doc_id", "text_hash", "place", normalised("line").alias("unit"))
-        .where(F.length("unit") - F.length(F.translate("unit", " ", "")) + 1 >= min_words)
+        .where(is_passage(F.col("unit"), min_words))
         .select("doc_id", "text_hash", "place", F.unhex(F.md5("unit")).alias("digest"))
     )
     units = stored(units, "lines")

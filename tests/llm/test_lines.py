@@ -41,3 +41,12 @@ def test_earliest_stays(spark):
     rows = [(3, f"x\n{LINE}\nshort line"), (1, f"{LINE}\nshort line\n{LINE}"), (None, LINE.upper())]
     found = {r["doc_id"]: r["text"] for r in remove_repeated_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert found == {3: "x\nshort line", 1: f"{LINE}\nshort line", None: ""}
+
+
+def test_long_lines_of_few_words(spark):
+    """Scripts without spaces, and long lines of few words, are grouped like the rest."""
+    long = ["这是一个在语料库中重复出现的很长的段落。", "これはコーパスのなかでくりかえされるぎょうです。", "ประโยคนี้ซ้ำกันหลายครั้งในคลังข้อความ", "x" * 64]
+    short = ["中文", "one two three four", "y" * 63]
+    rows = [(1, "\n".join(long + short)), (2, "\n".join(short + long))]
+    found = {r["doc_id"]: r for r in remove_repeated_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert found[1]["n_removed"] == 0 and found[2]["n_removed"] == len(long) and found[2]["text"] == "\n".join(short)
