@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from prepframe.llm import bpe, decontaminate, near_copies, quality, secret_scan
+from prepframe.llm import bpe, decontaminate, quality, secret_scan, simhash
 from prepframe.llm.frames import column
 from prepframe.llm.queries import VOCABULARY, fold, table
 from prepframe.scratch import stored
@@ -27,12 +27,12 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (five-word shingles, similarity 0.8): the one with the smallest id.
-    Documents without an id stay.
+    """One document of each group of near copies (SimHash of three-word shingles, at most two bits apart): the one with
+    the smallest id. Documents without an id stay.
 
     Rows of equal id are one document, of which one row stays.
     """
-    found = stored(near_copies.near_copies(docs), "groups")
+    found = stored(simhash.near_duplicates(docs), "groups")
     gone = found.where("component_id <> doc_id").select("doc_id").distinct()
     if gone.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:
         gone = F.broadcast(gone)
