@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from prepframe.llm import bpe, decontaminate, fingerprints, html_extract, lang_id, licences, line_dedup, quality, secret_scan, simhash
+from prepframe.llm import bpe, decontaminate, fingerprints, html_extract, lang_id, licences, line_dedup, merkle, quality, secret_scan, simhash
 from prepframe.llm.words import words_of
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -74,6 +74,17 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.summarise_secrets(table(spark, sf_dir, "documents"))
 
 
+#: Fields of a leaf of the manifest, in order.
+LEAF_FIELDS = ["doc_id", "source", "lang", "n_chars", "text"]
+
+
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    lower = F.translate("text", line_dedup.UPPER, line_dedup.LOWER)
+    tampered = F.when(fold(5) == 0, merkle.leaf_digest([*[F.col(c) for c in LEAF_FIELDS[:-1]], lower]))
+    return merkle.manifest(docs, LEAF_FIELDS, other=tampered)
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -87,6 +98,7 @@ QUERIES: dict[str, Query] = {
         op8_quality,
         op9_decontaminate,
         op10_secret_scan,
+        op11_merkle,
     )
 }
 
