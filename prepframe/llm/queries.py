@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from prepframe.llm import bpe, decontaminate, fingerprints, html_extract, lang_id, licences, line_dedup, merkle, quality, secret_scan, simhash
+from prepframe.llm import bpe, decontaminate, fingerprints, html_extract, lang_id, licences, line_dedup, merkle, quality, secret_scan, simhash, whitening
 from prepframe.llm.words import words_of
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -85,6 +85,11 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(docs, LEAF_FIELDS, other=tampered)
 
 
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return whitening.fit_whitening(vectors).transform(vectors)
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -99,6 +104,7 @@ QUERIES: dict[str, Query] = {
         op9_decontaminate,
         op10_secret_scan,
         op11_merkle,
+        op13_whitening,
     )
 }
 
