@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from prepframe.llm import bpe, decontaminate, fingerprints, html_extract, lang_id, licences, line_dedup, merkle, quality, secret_scan, simhash, whitening
+from prepframe.llm import bpe, decontaminate, fingerprints, html_extract, lang_id, licences, line_dedup, merkle, quality, quality_rules, secret_scan, simhash, whitening
 from prepframe.llm.words import words_of
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -85,6 +85,12 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(docs, LEAF_FIELDS, other=tampered)
 
 
+def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    forest = quality_rules.fit_rules(docs, table(spark, sf_dir, "labels").where(fold(5) != 0))
+    return quality_rules.apply_rules(docs, forest, "text", ["doc_id"])
+
+
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     return whitening.fit_whitening(vectors).transform(vectors)
@@ -104,6 +110,7 @@ QUERIES: dict[str, Query] = {
         op9_decontaminate,
         op10_secret_scan,
         op11_merkle,
+        op12_quality_rules,
         op13_whitening,
     )
 }
