@@ -158,7 +158,62 @@ SELECT doc_id, n_words, len(spots) AS n_base, list_min(spots) - 1 AS first_word,
 FROM base b LEFT JOIN more m USING (doc_id)"""
 
 
+def _merkle_sql() -> str:
+    """Trees level by level; each row's path as the joined digests left and right of it."""
+
+    def leaf(text: str) -> str:
+        each = [f"CASE WHEN {c} IS NULL THEN '-' ELSE strlen({c}::VARCHAR) || ':' || {c}::VARCHAR END" for c in [*LEAF_FIELDS[:-1], text]]
+        return f"sha256({' || '.join(f'({x})' for x in each)})"
+
+    bits = "flatten(list_transform(string_split(doc_id::VARCHAR, ''), lambda c: [ascii(c)::BIGINT, 0, 0, 0, 0, 0, 0, 0]))"
+    crc = f"xor(list_reduce([4294967295] || {bits}, lambda c, b: xor(xor(c, b) >> 1, 3988292384 * (xor(c, b) & 1))), 4294967295)"
+
+    def levels(name: str, base: str) -> str:
+        return f"""{name} AS (
+  {base}
+  UNION ALL
+  SELECT tree, level + 1, idx // {merkle.FAN}, sha256(string_agg(digest, '' ORDER BY idx)), any_value((n + {merkle.FAN - 1}) // {merkle.FAN})
+  FROM {name} WHERE n > 1 GROUP BY tree, level, idx // {merkle.FAN})"""
+
+    def runs(name: str, nodes: str) -> str:
+        return f"""{name} AS (
+  SELECT tree, level, idx // {merkle.FAN} AS run, list(digest ORDER BY idx) AS own FROM {nodes} WHERE n > 1 GROUP BY tree, level, idx // {merkle.FAN})"""
+
+    def path(place: str, runs: str, tree: str, first: int) -> str:
+        at = f"({place} // ({merkle.FAN} ** level)::BIGINT)"
+        return f"""SELECT doc_id, {first} + level AS step, array_to_string(own[:{at} % {merkle.FAN}], '') AS l,
+         array_to_string(own[{at} % {merkle.FAN} + 2:], '') AS r
+  FROM placed JOIN {runs} ON {runs}.tree = {tree} AND run = {at} // {merkle.FAN}"""
+
+    return f"""
+WITH RECURSIVE hashed AS (
+  SELECT doc_id, source, {leaf("text")} AS leaf, CASE WHEN {crc} % 5 = 0 THEN {leaf(_LOW.format("text"))} ELSE {leaf("text")} END AS held
+  FROM documents),
+placed AS (
+  SELECT *, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree,
+         row_number() OVER (PARTITION BY source ORDER BY doc_id, leaf) - 1 AS idx, count(*) OVER (PARTITION BY source) AS n
+  FROM hashed),
+{levels("nodes", "SELECT tree, 0 AS level, idx, leaf AS digest, n FROM placed")},
+subroots AS (SELECT tree, digest FROM nodes WHERE n = 1),
+{levels("tops", "SELECT 0::BIGINT AS tree, 0 AS level, tree AS idx, digest, (SELECT count(*) FROM subroots) AS n FROM subroots")},
+top AS (SELECT digest AS root FROM tops WHERE n = 1),
+{runs("low", "nodes")},
+{runs("high", "tops")},
+path AS (
+  {path("idx", "low", "placed.tree", 0)}
+  UNION ALL
+  {path("placed.tree", "high", "0", 100)}),
+proofs AS (
+  SELECT doc_id, sha256(string_agg(l || r, '' ORDER BY step)) AS proof, list(l || '|' || r ORDER BY step) AS beside FROM path GROUP BY doc_id),
+found AS (
+  SELECT p.doc_id, leaf, s.digest AS subroot, root, coalesce(proof, sha256('')) AS proof_sha256,
+         list_reduce([held] || coalesce(beside, []), lambda a, x: sha256(split_part(x, '|', 1) || a || split_part(x, '|', 2))) AS folded_root
+  FROM placed p JOIN subroots s USING (tree) CROSS JOIN top LEFT JOIN proofs USING (doc_id))
+SELECT *, folded_root = root AS verified FROM found"""
+
+
 ORACLES: dict[str, str] = {
+    "op11_merkle": _merkle_sql(),
     "op7_licence_scan": _licence_sql(),
     "op3_line_dedup": f"""
 WITH lines AS (

@@ -58,6 +58,6 @@ def test_near_copies(spark, sf_dir, odd):
 
 
 def test_registered():
-    names = [f"op{n}_" for n in range(1, 11)] + ["pipeline"]
+    names = [f"op{n}_" for n in range(1, 14)] + ["pipeline"]
     assert all(sum(k.startswith(n) for k in entry_file.queries()) == 1 for n in names)
     assert set(entry_file.oracle_sql()) <= set(entry_file.queries())
