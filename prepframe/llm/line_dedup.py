@@ -1,90 +1,188 @@
-"""Substring deduplication by lines: of all copies of a line in the corpus, the earliest ranked one stays.
-
-Lines are normalised (A-Z in lower case, white space runs as one space, trimmed) and grouped by a 128-bit digest over
-the whole corpus. Lines of fewer than `min_words` words are left alone, unless they have `MIN_CHARS` characters or, in
-scripts written without spaces, `MIN_UNSPACED` letters. Copies rank by document id (null last), then by
-the digest of the document's text, then by place. Every document comes back once, with what stays of its text and the
-offsets (code points, end exclusive, the line break after a removed line included) of what was removed.
-
-Cases: null and empty texts come back as they are. Rows that agree in id and text count as one document with one result
-for each of them. Tables without rows give no rows; columns other than id and text are carried along or left out as the
-caller says.
+"""Substring deduplication by hashed units: of all copies of a passage in the corpus, the earliest ranked one stays.
+
+A text is cut into units after each line, each sentence and each word whose digest begins with 0, a mark that depends on
+the word alone, so that copies of a passage are cut alike wherever they stand. Units are normalised (A-Z in lower case,
+white space runs as one space) and grouped by a 128-bit digest over the whole corpus. The earliest copy of a unit always
+stays. Units common by chance are no passages: from runs of consecutive repeated units, what goes are stretches of at
+least `min_words` words of which half or more stands in one document in the same order, at the place where the earliest
+copies are. Copies rank by document id (null last), then by the digest of the document's text, then by place. Every
+document comes back once, with what stays of its text and the offsets (code points, end exclusive, up to the next word)
+of what was removed.
+
+`min_words` lies below the length of the passages looked for, since the units at both ends of a passage may hold words
+of the text around it. In scripts without spaces two letters count as a word.
+
+Cases: null and empty texts, and texts of white space, come back as they are. Rows that agree in id and text count as one
+document with one result for each of them. A line that one document repeats back to back stays, its copies being no
+stretch of the first one. Very long texts are cut in one pass, their units travel as rows. Tables without rows give no
+rows; columns other than id and text are left out.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import re
+from collections.abc import Iterator
+from hashlib import md5
+
+import numpy as np
+import pyarrow as pa
+import regex
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from prepframe.llm.frames import column
+from prepframe.llm.frames import column, longs, map_columns, steps, strings
 from prepframe.scratch import stored
 
-#: Words that a line needs to count as a passage.
-MIN_WORDS = 5
-#: Characters, or letters of scripts without spaces between words, that count as a passage whatever the words.
-MIN_CHARS, MIN_UNSPACED = 64, 10
-#: Digests of repeated lines up to which their table is broadcast (16 + 24 bytes each); a join by shuffle beyond.
-BROADCAST_DIGESTS = 200_000
+#: Words of a stretch that is removed: those of a passage of over 50 words without the parts of units at its ends.
+MIN_WORDS = 40
+#: Of digests with one of 16 first digits, one is a mark.
+MARK = "0"
+SENTENCE_ENDS = ".!?。！？"
+#: Digests of repeated units up to which their table is broadcast (some 60 bytes each). Beyond, those of more than
+#: 1/HOT_SHARE of all units are (fewer than HOT_SHARE), and others are joined by shuffle.
+BROADCAST_DIGESTS, HOT_SHARE = 200_000, 1_000
+#: Words whose marks a task remembers.
+REMEMBERED = 1_000_000
 
-_SPACED = r"[^\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-
-
-def normalised(line: Column) -> Column:
-    return F.trim(F.regexp_replace(F.translate(line, UPPER, LOWER), r"[ \t\n\x0B\f\r]+", " "))
-
-
-def is_passage(unit: Column, min_words: int) -> Column:
-    """Whether a normalised line has enough words, or enough characters where words say little."""
-    words = F.length(unit) - F.length(F.translate(unit, " ", "")) + 1
-    return (words >= min_words) | (F.length(unit) >= MIN_CHARS) | (F.length(F.regexp_replace(unit, _SPACED, "")) >= MIN_UNSPACED)
-
-
-def remove_repeated_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
-    """doc_id, text (what stays), n_lines, n_removed, removed (array of start and end in the original text)."""
-    docs = df.select(column(id_col).alias("doc_id"), column(text_col).alias("text"))
-    docs = docs.withColumn("text_hash", F.xxhash64("text"))
-    lines = F.split("text", "\n", -1)
-    units = (
-        docs.select("doc_id", "text_hash", F.posexplode(lines).alias("place", "line"))
-        .select("doc_id", "text_hash", "place", normalised("line").alias("unit"))
-        .where(is_passage(F.col("unit"), min_words))
-        .select("doc_id", "text_hash", "place", F.unhex(F.md5("unit")).alias("digest"))
-    )
-    units = stored(units, "lines")
-    rank = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash", "place")
-    repeated = units.groupBy("digest").agg(F.min(rank).alias("kept"), F.count("*").alias("copies")).where("copies > 1").drop("copies")
-    repeated = stored(repeated, "repeated")
+_LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
+#: Words, cut after full stops of scripts that put no space there, and line ends.
+_TOKENS = re.compile(r"[^ \t\n\x0b\x0c\r。！？]*[。！？]|[^ \t\n\x0b\x0c\r。！？]+|\n")
+_UNSPACED = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}]")
+
+
+class Cutter:
+    """Cuts texts; remembers which words are marks."""
+
+    def __init__(self) -> None:
+        self.ends: dict[str, bool] = {}
+
+    def _ends(self, word: str) -> bool:
+        if len(self.ends) >= REMEMBERED:
+            self.ends.clear()
+        found = self.ends[word] = word[-1] in SENTENCE_ENDS or md5(word.encode()).hexdigest()[0] == MARK
+        return found
+
+    def units(self, text: str) -> list[tuple[int, int, str]]:
+        """(start, words, normalised) of each unit; a unit ends where the next one starts, the first starts at 0."""
+        low = text.encode().translate(_LOWER).decode()
+        out, own, start, known = [], [], 0, self.ends
+        unspaced = bool(low) and max(low) >= "฀"
+
+        def close() -> None:
+            unit = " ".join(own)
+            size = max(len(own), len(_UNSPACED.findall(unit)) // 2) if unspaced else len(own)
+            out.append((start if out else 0, size, unit))
+
+        for m in _TOKENS.finditer(low):
+            word = m.group()
+            if word != "\n":
+                if not own:
+                    start = m.start()
+                own.append(word)
+                end = known.get(word)
+                if not (self._ends(word) if end is None else end):
+                    continue
+            if own:
+                close()
+                own = []
+        if own:
+            close()
+        return out
+
+
+def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (doc_id, text_hash, text) to their units."""
+    cutter = Cutter()
+    for batch in steps(batches, 1 << 20):
+        rows, places, starts, ends, words, digests = [], [], [], [], [], []
+        for row, text in enumerate(batch.column(2).to_pylist()):
+            units = cutter.units(text or "")
+            rows += [row] * len(units)
+            places += range(len(units))
+            starts += [u[0] for u in units]
+            ends += [u[0] for u in units[1:]] + [len(text)] * bool(units)
+            words += [u[1] for u in units]
+            digests += [md5(u[2].encode()).digest() for u in units]
+        at = pa.array(np.array(rows, np.int64))
+        numbers = [pa.array(x, pa.int32()) for x in (places, starts, ends, words)]
+        columns = [batch.column(0).take(at), batch.column(1).take(at), *numbers, pa.array(digests, pa.binary())]
+        yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "text_hash", "place", "start", "end", "words", "digest"])
+
+
+def _with_kept(units: DataFrame, repeated: DataFrame) -> DataFrame:
+    """Units that occur again elsewhere, with the copy that stays; that copy itself is left out."""
+    same = F.col("doc_id").eqNullSafe(F.col("kept.doc_id")) & (F.col("text_hash") == F.col("kept.text_hash")) & (F.col("place") == F.col("kept.place"))
     if repeated.limit(BROADCAST_DIGESTS + 1).count() <= BROADCAST_DIGESTS:
-        repeated = F.broadcast(repeated)
-    same = (
-        F.col("doc_id").eqNullSafe(F.col("kept.doc_id"))
-        & (F.col("text_hash") == F.col("kept.text_hash"))
-        & (F.col("place") == F.col("kept.place"))
+        met = units.join(F.broadcast(repeated), "digest")
+    else:
+        total = units.count()
+        hot = F.col("copies") * HOT_SHARE > total
+        common = F.broadcast(repeated.where(hot))
+        rest = units.join(common, "digest", "left_anti").join(repeated.where(~hot), "digest")
+        met = units.join(common, "digest").unionByName(rest)
+    kept = [F.col("kept.doc_id").alias("k_id"), F.col("kept.text_hash").alias("k_hash"), (F.col("kept.place") - F.col("place")).alias("k_shift")]
+    return met.where(~same).select("doc_id", "text_hash", "place", "start", "end", "words", *kept)
+
+
+def _stretches(gone: DataFrame, min_words: int) -> DataFrame:
+    """(doc_id, text_hash, spans) of documents that lose something: spans of first place, last place, start and end."""
+    document = ["doc_id", "text_hash"]
+    along = Window.partitionBy(*document).orderBy("place")
+    runs = gone.select(
+        "*",
+        (F.col("place") - F.row_number().over(along)).alias("run"),
+        F.sum("words").over(along).alias("upto"),
     )
-    gone = units.join(repeated, "digest").where(~same)
-    # A document's own lines meet here: as many as it has, and rows that are the same document once.
-    gone = gone.groupBy("doc_id", "text_hash").agg(F.sort_array(F.collect_set("place")).alias("gone"))
-    gone = gone.select(F.col("doc_id").alias("g_id"), F.col("text_hash").alias("g_hash"), "gone")
-    found = docs.join(gone, docs["doc_id"].eqNullSafe(F.col("g_id")) & (docs["text_hash"] == F.col("g_hash")), "left")
-    cut = found.select("doc_id", F.col("text").alias("whole"), F.coalesce("gone", F.array().cast("array<int>")).alias("gone"), lines.alias("lines"))
-    return cut.select(
-        "doc_id",
-        F.when(F.size("gone") == 0, F.col("whole"))
-        .otherwise(F.array_join(F.filter("lines", lambda x, i: ~F.array_contains(F.col("gone"), i)), "\n"))
-        .alias("text"),
-        F.coalesce(F.size("lines"), F.lit(0)).cast("long").alias("n_lines"),
-        F.size("gone").cast("long").alias("n_removed"),
-        _offsets().alias("removed"),
+    found = runs.groupBy(*document, "run", "k_id", "k_hash", "k_shift").agg(
+        F.sum("words").alias("own"),
+        (F.max("upto") - F.min(F.col("upto") - F.col("words"))).alias("all"),
+        F.struct(F.min("place").alias("a"), F.max("place").alias("b"), F.min("start").alias("start"), F.max("end").alias("end")).alias("span"),
     )
-
-
-def _offsets() -> Column:
-    """Start and end of each removed line, from the lengths of the lines before it."""
-
-    def span(i: Column) -> Column:
-        before = F.aggregate(F.slice("lines", F.lit(1), i), F.lit(0), lambda n, x: n + F.length(x) + 1)
-        end = F.least(before + F.length(F.get("lines", i)) + 1, F.length("whole"))
-        return F.struct(before.alias("start"), end.alias("end"))
-
-    return F.transform("gone", span)
+    found = found.where((F.col("all") >= min_words) & (F.col("own") * 2 >= F.col("all")))
+    return found.groupBy(*document).agg(F.sort_array(F.collect_list("span")).alias("spans"))
+
+
+def _merged(spans: list[dict]) -> list[list[int]]:
+    """Spans in order, those that touch or overlap as one: first place, last place, start, end."""
+    out: list[list[int]] = []
+    for s in spans:
+        if out and s["a"] <= out[-1][1] + 1:
+            out[-1][1], out[-1][3] = max(out[-1][1], s["b"]), max(out[-1][3], s["end"])
+        else:
+            out.append([s["a"], s["b"], s["start"], s["end"]])
+    return out
+
+
+def _start():
+    def apply(texts, found):
+        left, counts, removed = [], [], []
+        for text, spans in zip(texts, found, strict=True):
+            pieces, at, own = [], 0, _merged(spans or [])
+            for _, _, a, b in own:
+                pieces.append(text[at:a])
+                at = b
+            left.append("".join([*pieces, text[at:]]) if own else text)
+            counts.append(sum(b - a + 1 for a, b, _, _ in own))
+            removed.append([{"start": a, "end": b} for _, _, a, b in own])
+        span = pa.struct([("start", pa.int64()), ("end", pa.int64())])
+        return [strings(left), longs(counts), pa.array(removed, pa.list_(span))]
+
+    return apply
+
+
+def remove_repeated_passages(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
+    """doc_id, text (what stays), n_removed (units), removed (array of start and end in the original text)."""
+    docs = df.select(column(id_col).alias("doc_id"), F.xxhash64(column(text_col)).alias("text_hash"), column(text_col).alias("text"))
+    numbers = ["place", "start", "end", "words"]
+    schema = T.StructType([docs.schema["doc_id"], docs.schema["text_hash"], *[T.StructField(n, T.IntegerType()) for n in numbers], T.StructField("digest", T.BinaryType())])
+    units = stored(docs.where("text IS NOT NULL").mapInArrow(_cut, schema), "units")
+    rank = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash", "place")
+    repeated = units.groupBy("digest").agg(F.min(rank).alias("kept"), F.count(F.lit(1)).alias("copies")).where("copies > 1")
+    gone = _with_kept(units, stored(repeated, "repeated")).dropDuplicates(["doc_id", "text_hash", "place"])
+    spans = _stretches(gone, min_words).select(F.col("doc_id").alias("s_id"), F.col("text_hash").alias("s_hash"), "spans")
+    found = docs.join(spans, docs["doc_id"].eqNullSafe(F.col("s_id")) & (docs["text_hash"] == F.col("s_hash")), "left")
+    offsets = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
+    fields = [T.StructField("text", T.StringType()), T.StructField("n_removed", T.LongType()), T.StructField("removed", offsets)]
+    return map_columns(found.select("doc_id", "text", "spans"), ["doc_id"], ["text", "spans"], fields, _start)

@@ -37,9 +37,9 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = line_dedup.remove_repeated_lines(table(spark, sf_dir, "documents"))
+    found = line_dedup.remove_repeated_passages(table(spark, sf_dir, "documents"))
     spans = F.array_join(F.transform("removed", lambda x: F.concat(x["start"].cast("string"), F.lit(":"), x["end"].cast("string"))), ",")
-    return found.select("doc_id", "text", "n_lines", "n_removed", spans.alias("removed"))
+    return found.select("doc_id", "text", "n_removed", spans.alias("removed"))
 
 
 def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -215,26 +215,45 @@ SELECT *, folded_root = root AS verified FROM found"""
 ORACLES: dict[str, str] = {
     "op11_merkle": _merkle_sql(),
     "op7_licence_scan": _licence_sql(),
-    "op3_line_dedup": f"""
-WITH lines AS (
-  SELECT doc_id, text, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS place
-  FROM documents WHERE text IS NOT NULL),
+    "op3_line_dedup": rf"""
+WITH pieces AS (
+  SELECT doc_id, text, unnest(pieces) AS piece, generate_subscripts(pieces, 1) AS k
+  FROM (SELECT doc_id, text, regexp_extract_all({_LOW.format('text')}, '(?:[^ \t\n\x0B\f\r。！？]*[。！？]|[^ \t\n\x0B\f\r。！？]+)[ \t\n\x0B\f\r]*') AS pieces FROM documents)),
+words AS (
+  SELECT *, rtrim(piece, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS word,
+         length(text) - sum(length(piece)) OVER (PARTITION BY doc_id ORDER BY k ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS spot
+  FROM pieces),
+ends AS (
+  SELECT *, contains('{line_dedup.SENTENCE_ENDS}', right(word, 1)) OR md5(word)[1] = '{line_dedup.MARK}' OR contains(piece, chr(10)) AS last FROM words),
+numbered AS (
+  SELECT *, coalesce(count(*) FILTER (WHERE last) OVER (PARTITION BY doc_id ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS place FROM ends),
+cut AS (
+  SELECT doc_id, place, length(any_value(text)) AS size, CASE WHEN place = 0 THEN 0 ELSE min(spot) END AS start, string_agg(word, ' ' ORDER BY k) AS unit,
+         count(*) AS n FROM numbered GROUP BY doc_id, place),
 units AS (
-  SELECT *, trim(regexp_replace({_LOW.format('line')}, '[ \\t\\n\\x0B\\f\\r]+', ' ', 'g'), ' ') AS unit,
-         coalesce(sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
-  FROM lines),
-marked AS (
-  SELECT *, length(unit) - length(replace(unit, ' ', '')) + 1 >= {line_dedup.MIN_WORDS}
-         AND row_number() OVER (PARTITION BY unit ORDER BY doc_id, place) > 1 AS gone
-  FROM units),
+  SELECT doc_id, place, start, coalesce(lead(start) OVER (PARTITION BY doc_id ORDER BY place), size) AS stop, unit,
+         greatest(n, length(regexp_replace(unit, '[^\p{{Han}}\p{{Hiragana}}\p{{Katakana}}\p{{Thai}}\p{{Lao}}\p{{Khmer}}\p{{Myanmar}}]', '', 'g')) // 2) AS words
+  FROM cut),
 kept AS (
-  SELECT doc_id, string_agg(line, chr(10) ORDER BY place) FILTER (WHERE NOT gone) AS text,
-         count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_removed,
-         string_agg(start::BIGINT || ':' || least(start + length(line) + 1, length(text))::BIGINT, ',' ORDER BY place) FILTER (WHERE gone) AS removed
-  FROM marked GROUP BY doc_id)
-SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(k.text, '') END AS text,
-       coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed, coalesce(removed, '') AS removed
-FROM documents d LEFT JOIN kept k USING (doc_id)""",
+  SELECT *, first_value(doc_id) OVER w AS k_id, first_value(place) OVER w AS k_place FROM units WINDOW w AS (PARTITION BY unit ORDER BY doc_id, place)),
+gone AS (
+  SELECT *, place - row_number() OVER w AS run, k_place - place AS shift, sum(words) OVER w AS upto
+  FROM kept WHERE NOT (doc_id = k_id AND place = k_place) WINDOW w AS (PARTITION BY doc_id ORDER BY place)),
+found AS (
+  SELECT doc_id, min(place) AS a, max(place) AS b FROM gone GROUP BY doc_id, run, k_id, shift
+  HAVING max(upto) - min(upto - words) >= {line_dedup.MIN_WORDS} AND 2 * sum(words) >= max(upto) - min(upto - words)),
+marked AS (
+  SELECT u.*, EXISTS (SELECT 1 FROM found f WHERE f.doc_id = u.doc_id AND place BETWEEN a AND b) AS away FROM units u),
+spans AS (
+  SELECT doc_id, min(start) AS start, max(stop) AS stop, count(*) AS n
+  FROM (SELECT *, place - row_number() OVER (PARTITION BY doc_id ORDER BY place) AS run FROM marked WHERE away) GROUP BY doc_id, run),
+removed AS (
+  SELECT doc_id, sum(n) AS n_removed, string_agg(start::BIGINT || ':' || stop::BIGINT, ',' ORDER BY start) AS removed FROM spans GROUP BY doc_id),
+stays AS (
+  SELECT doc_id, string_agg(CASE WHEN away THEN '' ELSE substring(text, start::BIGINT + 1, (stop - start)::BIGINT) END, '' ORDER BY place) AS text
+  FROM marked JOIN documents USING (doc_id) GROUP BY doc_id)
+SELECT d.doc_id, coalesce(s.text, d.text) AS text, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(removed, '') AS removed
+FROM documents d LEFT JOIN removed USING (doc_id) LEFT JOIN stays s USING (doc_id)""",
     "op9_decontaminate": f"""
 WITH docs AS (SELECT doc_id, {_WORDS} AS w FROM documents),
 items AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
