@@ -224,7 +224,7 @@ words AS (
          length(text) - sum(length(piece)) OVER (PARTITION BY doc_id ORDER BY k ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS spot
   FROM pieces),
 ends AS (
-  SELECT *, contains('{line_dedup.SENTENCE_ENDS}', right(word, 1)) OR md5(word)[1] = '{line_dedup.MARK}' OR contains(piece, chr(10)) AS last FROM words),
+  SELECT *, contains('{line_dedup.SENTENCE_ENDS}', right(word, 1)) OR md5(word)[:{len(line_dedup.MARK)}] < '{line_dedup.MARK}' OR contains(piece, chr(10)) AS last FROM words),
 numbered AS (
   SELECT *, coalesce(count(*) FILTER (WHERE last) OVER (PARTITION BY doc_id ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS place FROM ends),
 cut AS (
