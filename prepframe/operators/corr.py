@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from prepframe.functions.columns import col, present
 from prepframe.guards import chosen_numeric
+from prepframe.operators.gramian import column_survey, pair_moments
 from prepframe.operators.lookup import RANK, fit_lookups
 from prepframe.scratch import stored
 
@@ -38,15 +39,19 @@ def _alone(df: DataFrame, pairs: list[tuple[str, str]]) -> list[float | None]:
 
 
 def _correlations(df: DataFrame, pairs: list[tuple[str, str]]) -> list[float | None]:
-    """Correlation of each pair of columns over the rows that have both, from one scan after a survey.
+    """Correlation of each pair of columns over the rows that have both.
 
-    A row is a vector of its values (about the mean, 0 where missing), their squares, and whether they are present; the
+    Few pairs are one plain aggregation. Of more, the products of all columns are summed in one scan after a survey: a row is a vector of its values (about the mean, 0 where missing), their squares, and whether they are present; the
     products of all parts, summed, hold every pair's count, sums, squares and product.
     """
     names = sorted({c for p in pairs for c in p})
     width = 3 * len(names)
-    if not pairs or width > GRAM_WIDTH:
+    if len(pairs) <= PAIRS_PER_JOB:
         return _alone(df, pairs)
+    if width > GRAM_WIDTH:
+        found = {(r["a"], r["b"]): r["r"] for r in block_correlations(df, names).collect()}
+        at = {c: i for i, c in enumerate(names)}
+        return [found.get((min(at[a], at[b]), max(at[a], at[b]))) for a, b in pairs]
     row = df.agg(*[f(c).alias(f"{tag}{i}") for i, c in enumerate(names) for tag, f in (("m", F.avg), ("s", F.stddev_pop))]).first()
     parts = []
     for i, c in enumerate(names):
@@ -78,6 +83,47 @@ def _correlations(df: DataFrame, pairs: list[tuple[str, str]]) -> list[float | N
     return out
 
 
+def block_correlations(values: DataFrame, names: Sequence[str], block: int | None = None) -> DataFrame:
+    """(a, b, r) for every pair of places a <= b in `names`, from a grid of column blocks, as a table."""
+    x = values.select(F.array(*[col(c) for c in names]).alias("x"))
+    mean, scale = np.zeros(len(names)), np.ones(len(names))
+    for r in column_survey(x, "x", len(names)).collect():
+        mean[r["place"]] = r["total"] / r["n"]
+        scale[r["place"]] = (r["high"] - r["low"]) or 1.0
+    n = F.nullif(F.col("n"), F.lit(0.0))
+    va = F.col("qa") - F.col("sa") * F.col("sa") / n
+    vb = F.col("qb") - F.col("sb") * F.col("sb") / n
+    lost = (va <= F.lit(CANCELLED) * F.col("qa")) | (vb <= F.lit(CANCELLED) * F.col("qb"))
+    r = (F.col("sab") - F.col("sa") * F.col("sb") / n) / F.nullif(F.sqrt(F.abs(va * vb)), F.lit(0.0))
+    limited = F.when(F.col("a") == F.col("b"), 1.0).otherwise(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), r)))
+    moments = pair_moments(x, "x", mean, scale, block)
+    found = moments.select("a", "b", F.when((F.col("n") > 0) & ~lost, limited).alias("r"), F.coalesce((F.col("n") > 1) & lost & (F.col("qa") > 0) & (F.col("qb") > 0), F.lit(False)).alias("again"))
+    found = stored(found, "pairs")
+    again = [(r["a"], r["b"]) for r in found.where("again").select("a", "b").collect()]
+    if not again:
+        return found.drop("again")
+    alone = _alone(values, [(names[a], names[b]) for a, b in again])
+    rows = [(a, b, r) for (a, b), r in zip(again, alone, strict=True)]
+    return found.where("NOT again").drop("again").unionByName(values.sparkSession.createDataFrame(rows, "a int, b int, r double"))
+
+
+def pearson_blocks(df: DataFrame, cols: Sequence[str] | None = None, block: int | None = None) -> DataFrame:
+    """`pearson_matrix` for tables of very many columns: the number of jobs doesn't follow the columns, and the matrix is
+    a table that never stands on the driver. Only pairs that lose their digits are computed alone."""
+    names = chosen_numeric(df, cols)
+    if df.isEmpty():
+        return _table(df, names, {})
+    values = df.select(*[present(df, c).cast("double").alias(f"v{i}") for i, c in enumerate(names)])
+    found = block_correlations(values, values.columns, block)
+    both = found.union(found.where("a < b").select("b", "a", "r"))
+    every = df.sparkSession.createDataFrame(list(enumerate(names)), "place int, name string")
+    labelled = both
+    for side in ("a", "b"):
+        own = F.broadcast(every.select(F.col("place").alias(side), F.col("name").alias(f"column_{side}")))
+        labelled = labelled.join(own, side)
+    return labelled.select("column_a", "column_b", "r")
+
+
 def _table(df: DataFrame, names: list[str], found: dict[tuple[str, str], float | None]) -> DataFrame:
     def r(a: str, b: str) -> float | None:
         value = found.get((a, b), found.get((b, a)))
@@ -107,6 +153,8 @@ def _prepared(df: DataFrame, cols: Sequence[str] | None) -> tuple[list[str], Dat
 
 def pearson_matrix(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """(column_a, column_b, r) for every ordered pair of numeric columns."""
+    if 3 * len(chosen_numeric(df, cols)) > GRAM_WIDTH:
+        return pearson_blocks(df, cols)
     names, values, _, pairs = _prepared(df, cols)
     found = _correlations(values, [(f"v{i}", f"v{j}") for i, j in pairs])
     return _table(df, names, {(names[i], names[j]): r for (i, j), r in zip(pairs, found, strict=True)})

@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from prepframe.functions.columns import col, present
 from prepframe.guards import categories_of, numeric_columns, require, text_columns
+from prepframe.operators.deeptree import DeepTree, fit_deep_tree
 from prepframe.operators.encode import OneHot, fit_onehot
 from prepframe.operators.rowid import number_rows
 from prepframe.operators.scale import Scaling, fit_standard
@@ -145,8 +146,10 @@ def _ranked_split(df: DataFrame, label: str, keys: list[str], draw, share: float
     numbered = number_rows(df, [col(label), draw, *keys]).rows(name="_at")
     sizes = numbered.groupBy(col(label).alias("_label_value")).agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_from"))
     in_label = F.col("_at") - F.col("_from")
+    if sizes.limit(BROADCAST_LABELS + 1).count() <= BROADCAST_LABELS:
+        sizes = F.broadcast(sizes)
     return (
-        numbered.join(F.broadcast(sizes), col(label).eqNullSafe(F.col("_label_value")))
+        numbered.join(sizes, col(label).eqNullSafe(F.col("_label_value")))
         .withColumn(SPLIT, in_label < F.floor(F.col("_n") * share + 0.5))
         .drop("_at", "_label_value", "_n", "_from")
     )
@@ -176,11 +179,17 @@ class Labels:
         return F.array(*[F.lit(v).cast(self.dtype) for v in self.values])
 
 
+#: Classes that a target may have; a target with more is a number to be predicted, not a class.
+MAX_CLASSES = 1_000
+
+
 def fit_labels(df: DataFrame, target: str) -> Labels:
-    """The distinct values of a target in order, or those its category list has."""
+    """The distinct values of a target in order, or those its category list has; more than MAX_CLASSES are an error."""
     known = categories_of(df, target)
     if known is None:
-        known = sorted(r[0] for r in df.select(present(df, target)).distinct().dropna().collect())
+        known = sorted(r[0] for r in df.select(present(df, target)).distinct().dropna().limit(MAX_CLASSES + 1).collect())
+    if len(known) > MAX_CLASSES:
+        raise ValueError(f"target {target} has more than {MAX_CLASSES} classes")
     return Labels(target, df.schema[target].dataType, list(known))
 
 
@@ -232,7 +241,8 @@ def classify(
     """Train on a stratified part and predict every row whose target is present.
 
     The result has the raw columns, `true_label` and `{model}_pred`: codes for text classes, else the classes
-    themselves, whatever numbers they are. With `fit_on="all"` the features are prepared from all rows, test rows included.
+    themselves, whatever numbers they are. Models are logreg, dtree, id3, forest, and deep, an exact tree without a limit of
+    depth or bins. With `fit_on="all"` the features are prepared from all rows, test rows included.
     """
     if fit_on not in ("train", "all"):
         raise ValueError("fit_on must be train or all")
@@ -245,7 +255,7 @@ def classify(
     vectors = stored(prepared.assemble(split), "vectors")
     train = vectors.where(~F.col(SPLIT))
     chosen = _models(train.count(), seed, max_bins)
-    fitted = {name: chosen[name].fit(train) for name in models}
+    fitted = {m: fit_deep_tree(train, FEATURES, LABEL, len(labels.values)) if m == "deep" else chosen[m].fit(train) for m in models}
     out = _predicted(vectors.withColumn("true_label", labels.value(F.col(LABEL))), fitted, labels)
     metrics = class_metrics(out.where(SPLIT), "true_label", {m: f"{m}_pred" for m in models})
     return Classified(out.drop(FEATURES, SPLIT, LABEL, target), metrics, fitted, prepared, labels)
@@ -254,6 +264,9 @@ def classify(
 def _predicted(vectors: DataFrame, models: Mapping[str, object], labels: Labels) -> DataFrame:
     out = vectors
     for name, model in models.items():
+        if isinstance(model, DeepTree):
+            out = model.transform(out, FEATURES, "_p").withColumn(f"{name}_pred", labels.value(F.col("_p"))).drop("_p")
+            continue
         scored = model.copy().setPredictionCol("_p").setRawPredictionCol("").setProbabilityCol("").transform(out)
         out = scored.withColumn(f"{name}_pred", labels.value(F.col("_p"))).drop("_p")
     return out

@@ -290,6 +290,13 @@ def pearson_matrix(spark, sf):
     return rounded(corr.pearson_matrix(df, [*_CORR, "constant"]))
 
 
+@query("pearson_blocks", f"WITH {GAPS}, {_CONSTANT} " + _corr_sql([*_CORR, "constant"], "with_constant"))
+def pearson_blocks(spark, sf):
+    """The same matrix from a grid of column blocks, here of two columns each."""
+    df = lineitem_gaps(spark, sf).withColumn("constant", F.lit(1.0))
+    return rounded(corr.pearson_blocks(df, [*_CORR, "constant"], block=2))
+
+
 @query("spearman_matrix", _corr_sql(_CORR, "lineitem", rank=True))
 def spearman_matrix(spark, sf):
     return rounded(corr.spearman_matrix(table(spark, sf, "lineitem"), _CORR))
