@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -122,6 +124,24 @@ def scatter_points(df: DataFrame, x: str, y: str, hue: str | None = None, size:
     return points.dropna(subset=["x", "y"])
 
 
+def scatter_sample(
+    df: DataFrame, x: str, y: str, key: str | Sequence[str], limit: int = 5_000, hue: str | None = None, size: str | None = None
+) -> DataFrame:
+    """At most `limit` points, those whose keys have the smallest digests: the same ones however the rows are parted.
+
+    Each task keeps its own smallest ones and hands on no more. Keys should tell rows apart; rows of equal key are
+    ranked by their values.
+    """
+    keys = [key] if isinstance(key, str) else list(key)
+    require(df, keys)
+    chosen = {"x": x, "y": y, "hue": hue, "size": size}
+    require(df, [c for c in chosen.values() if c])
+    text = F.concat_ws("|", *[F.coalesce(col(k).cast("string"), F.lit("")) for k in keys])
+    points = df.select(F.md5(text.cast("binary")).alias("_draw"), *[present(df, c).alias(role) for role, c in chosen.items() if c])
+    points = points.dropna(subset=["x", "y"])
+    return points.orderBy(*points.columns).limit(limit).drop("_draw")
+
+
 def scatter_bins(df: DataFrame, x: str, y: str, bins: int = 50) -> DataFrame:
     """(x_bin, y_bin, x_low, y_low, n): all points counted in a grid of equal cells, empty cells left out.
 

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from prepframe.functions.columns import short_label
-from prepframe.operators import chartdata, corr, encode, profile, scale
-from prepframe.plans.registry import GAPS, lineitem_gaps, query, rounded, table
+from prepframe.operators import chartdata, corr, encode, profile, scale, sketches
+from prepframe.plans.registry import GAPS, every, lineitem_gaps, query, rounded, table
 
 _ID = ["l_orderkey", "l_partkey", "l_linenumber"]
 _ID_SQL = ", ".join(_ID)
@@ -440,6 +440,82 @@ def numeric_profile_bigint(spark, sf):
     return found.select("column", middles.alias("middles"), "min", "max", "count")
 
 
+@query(
+    "scatter_sample",
+    """SELECT o_custkey AS x, o_totalprice AS y, o_orderstatus AS hue FROM orders ORDER BY md5(o_orderkey::VARCHAR) LIMIT 1000""",
+)
+def scatter_sample(spark, sf):
+    return chartdata.scatter_sample(table(spark, sf, "orders"), "o_custkey", "o_totalprice", "o_orderkey", 1000, "o_orderstatus")
+
+
+_HEAVY, _SHARE = ["l_quantity", "l_suppkey", "l_returnflag", "l_partkey"], 0.0105
+
+
+@query(
+    "heavy_values",
+    "WITH heavy_rows AS (SELECT l_suppkey, l_partkey, l_returnflag, CASE WHEN (l_orderkey + l_linenumber) % 7 <> 0 THEN l_quantity END AS l_quantity FROM lineitem) "
+    + " UNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", {c}::VARCHAR AS value, count(*) AS n FROM heavy_rows GROUP BY {c} "
+        f"HAVING {c} IS NOT NULL AND count(*) > {_SHARE} * (SELECT count({c}) FROM heavy_rows)"
+        for c in _HEAVY
+    ),
+)
+def heavy_values(spark, sf):
+    """From states of each line status, merged."""
+    gaps = every("l_quantity", 7, "l_orderkey", "l_linenumber")
+    df = table(spark, sf, "lineitem").select("l_suppkey", "l_partkey", "l_returnflag", "l_linestatus", gaps)
+    states = sketches.frequency_states(df, _HEAVY, ["l_linestatus"])
+    return sketches.heavy_values(df, _HEAVY, _SHARE, states)
+
+
+_SKETCHED, _SHARES = ["l_quantity", "l_extendedprice", "l_tax"], [0.01, 0.25, 0.5, 0.9]
+
+
+@query(
+    "quantile_states",
+    " UNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", {s}::DOUBLE AS share, (SELECT count({c}) FROM lineitem) AS n, true AS merged_close, true AS whole_close"
+        for c in _SKETCHED
+        for s in _SHARES
+    ),
+)
+def quantile_states(spark, sf):
+    """Whether the exact ranks of the values told by states, one of each month merged and one of all rows, are as asked for."""
+    df = table(spark, sf, "lineitem").select(*_SKETCHED, F.date_trunc("month", "l_shipdate").alias("month"))
+    merged = sketches.merge_quantile_states(sketches.quantile_states(df, _SKETCHED, ["month"]))
+    whole = sketches.quantile_states(df, _SKETCHED)
+    told = sketches.state_quantiles(merged, _SHARES).join(
+        sketches.state_quantiles(whole, _SHARES).select("column", "share", F.col("value").alias("other"), F.col("n").alias("same_n")), ["column", "share"]
+    )
+    told = told.where("n = same_n").select("column", "share", "n", "value", "other")
+    long = df.unpivot([], _SKETCHED, "column", "v").where("v IS NOT NULL")
+    met = long.join(F.broadcast(told), "column").groupBy("column", "share", "n").agg(
+        *[F.count_if(F.col("v") < F.col(c)).alias(f"{c}_below") for c in ("value", "other")],
+        *[F.count_if(F.col("v") <= F.col(c)).alias(f"{c}_upto") for c in ("value", "other")],
+    )
+
+    def close(c: str):
+        wanted = F.col("share") * F.col("n")
+        room = F.lit(sketches.RANK_ERROR) * F.col("n") + 1
+        return (F.col(f"{c}_below") <= wanted + room) & (F.col(f"{c}_upto") >= wanted - room)
+
+    return met.select("column", "share", "n", close("value").alias("merged_close"), close("other").alias("whole_close"))
+
+
+@query(
+    "distinct_states",
+    " UNION ALL ".join(f"SELECT '{c}' AS \"column\", true AS close FROM (SELECT count(DISTINCT {c}) FROM lineitem)" for c in ("l_orderkey", "l_partkey", "l_quantity")),
+)
+def distinct_states(spark, sf):
+    """Whether merged states tell the number of distinct values within five in a hundred."""
+    cols = ["l_orderkey", "l_partkey", "l_quantity"]
+    df = table(spark, sf, "lineitem")
+    states = sketches.merge_distinct_states(sketches.distinct_states(df, cols, ["l_linestatus"]))
+    exact = df.agg(*[F.count_distinct(c).alias(c) for c in cols]).unpivot([], cols, "column", "exact")
+    told = sketches.distinct_counts(states).join(exact, "column")
+    return told.select("column", (F.abs(F.col("distinct") - F.col("exact")) <= 0.05 * F.col("exact")).alias("close"))
+
+
 @query(
     "scatter_bins",
     """WITH p AS (SELECT l_quantity AS x, l_extendedprice AS y FROM lineitem), e AS (SELECT min(x) AS a, max(x) AS b, min(y) AS c, max(y) AS d FROM p)

@@ -8,7 +8,7 @@ from prepframe.functions.columns import DATE_FORMATS, na_to_null, parse_date, pa
 from prepframe.operators import infer
 from prepframe.plans.registry import GAPS, lineitem_gaps, query, table
 from prepframe.scratch import scratch_path
-from prepframe.sources import csv
+from prepframe.sources import csv, encodings
 
 # ---- files ----
 
@@ -69,6 +69,23 @@ def csv_late_encoding(spark, sf):
     return csv.read_csv(spark, _written(df.orderBy("c_custkey").coalesce(1), "late", encoding="ISO-8859-1"))
 
 
+# Words that the encodings write with different bytes.
+_WORDS = {"UTF-8": "źródło naïve", "windows-1250": "zażółć gęślą jaźń", "ISO-8859-2": "ženíšek příští łąka", "ISO-8859-1": "où être garçon señor"}
+_WORD_OF = "CASE c_custkey % 4 " + " ".join(f"WHEN {i} THEN '{w}'" for i, w in enumerate(_WORDS.values())) + " END"
+
+
+@query("csv_encodings", f"SELECT c_custkey, c_name || ' ' || {_WORD_OF} AS c_name, c_acctbal FROM customer")
+def csv_encodings(spark, sf):
+    """Files of four encodings in one folder; each is told by its bytes."""
+    df = table(spark, sf, "customer").select("c_custkey", F.concat("c_name", F.lit(" "), F.expr(_WORD_OF)).alias("c_name"), "c_acctbal")
+    path = _written(df.where("c_custkey % 4 = 0"), "encodings")
+    for i, encoding in enumerate(_WORDS):
+        if i:
+            own = df.where(F.col("c_custkey") % 4 == i).withColumn("c_name", encodings.encoded(F.col("c_name"), encoding)).coalesce(1)
+            own.write.mode("append").options(header=True, escape='"', encoding="ISO-8859-1").csv(path)
+    return csv.read_csv(spark, path)
+
+
 @query("csv_folder_order", "SELECT s_suppkey, s_name, CASE WHEN s_suppkey % 2 = 0 THEN s_acctbal END AS s_acctbal FROM supplier")
 def csv_folder_order(spark, sf):
     """Files of one folder with their columns in another order, separated otherwise, and one column short."""

@@ -13,11 +13,11 @@ from prepframe.functions.columns import col, na_to_null
 from prepframe.guards import require
 from prepframe.operators.infer import apply_kinds, infer_kinds, kinds_table
 from prepframe.scratch import stored
+from prepframe.sources import encodings as single_byte
 
 # Candidate separators; when two occur equally often the earlier one wins.
 SEPARATORS = [",", ";", "\t", "|"]
 SNIFF_LINES = 5
-FALLBACK_ENCODING = "ISO-8859-1"
 ROW_ORDER = ["_file", "_block", "_line"]
 _CORRUPT = "_corrupt_record"
 
@@ -32,11 +32,11 @@ def _occurrences(line: Column, sep: str) -> Column:
     return F.length(line) - F.length(F.replace(line, F.lit(sep), F.lit("")))
 
 
-def dialects(spark: SparkSession, path: str, fallback_encoding: str = FALLBACK_ENCODING) -> DataFrame:
+def dialects(spark: SparkSession, path: str, fallback_encoding: str | None = None) -> DataFrame:
     """(file, separator, encoding, header) for every file under `path`, in one pass over the raw lines.
 
-    The separator is guessed from a file's first five lines. A file is UTF-8 when all of its lines are valid. The
-    header is the first line as it stands; files without any line are left out.
+    The separator is guessed from a file's first five lines. A file is UTF-8 when all of its lines are valid; else it is
+    in the fallback encoding, or in the single-byte one that makes its byte pairs likeliest. The header is the first line as it stands; files without any line are left out.
     """
     lines = spark.read.text(path).select(
         F.col("_metadata.file_path").alias("file"),
@@ -44,7 +44,11 @@ def dialects(spark: SparkSession, path: str, fallback_encoding: str = FALLBACK_E
         F.monotonically_increasing_id().alias("line"),
         "value",
     )
-    encodings = lines.groupBy("file").agg(F.bool_and(F.expr("is_valid_utf8(value)")).alias("utf8"))
+    scores = single_byte.line_scores(F.col("value")) if fallback_encoding is None else []
+    encodings = lines.groupBy("file").agg(
+        F.bool_and(F.expr("is_valid_utf8(value)")).alias("utf8"), *[F.sum(s).alias(f"e{i}") for i, s in enumerate(scores)]
+    )
+    fallback = single_byte.best([F.col(f"e{i}") for i in range(len(scores))]) if scores else F.lit(fallback_encoding)
     place = F.row_number().over(Window.partitionBy("file").orderBy("line"))
     head = lines.where("block = 0").withColumn("place", place).where(F.col("place") <= SNIFF_LINES)
     totals = [F.coalesce(F.sum(_occurrences(F.col("value"), s)), F.lit(0)).alias(f"s{i}") for i, s in enumerate(SEPARATORS)]
@@ -53,12 +57,12 @@ def dialects(spark: SparkSession, path: str, fallback_encoding: str = FALLBACK_E
     return encodings.join(counted, "file", "left").select(
         "file",
         F.coalesce(separator, F.lit(",")).alias("separator"),
-        F.when(F.col("utf8"), "UTF-8").otherwise(fallback_encoding).alias("encoding"),
+        F.when(F.col("utf8"), "UTF-8").otherwise(fallback).alias("encoding"),
         "header",
     )
 
 
-def sniff(spark: SparkSession, path: str, fallback_encoding: str = FALLBACK_ENCODING) -> tuple[str, str]:
+def sniff(spark: SparkSession, path: str, fallback_encoding: str | None = None) -> tuple[str, str]:
     """Separator and encoding of the first file, by all of its lines."""
     first = dialects(spark, path, fallback_encoding).orderBy("file").first()
     if first is None:
@@ -111,7 +115,7 @@ def read_raw(
 
     `row_order` adds the columns ROW_ORDER, by which the lines can be put back in file order.
     """
-    options = {"header": True, "sep": separator, "encoding": encoding, "escape": '"', "multiLine": multiline}
+    options = {"header": True, "sep": separator, "encoding": single_byte.read_as(encoding), "escape": '"', "multiLine": multiline}
     # lines must be judged alike whatever columns a query asks for, so the parser sees all of them
     options["columnPruning"] = False
     path = path if isinstance(path, str) else list(path)
@@ -125,8 +129,8 @@ def read_raw(
     # the test for whole lines names a data column, since Spark refuses scans of the raw line alone
     whole = F.length(F.coalesce(col(header[0]), F.lit(""))) >= 0
     kept = raw.where(F.when(F.col(_CORRUPT).isNull(), whole).otherwise(fields <= len(header)))
-    names = _clean_header(header)
-    columns = [na_to_null(col(old)).alias(new) for old, new in zip(header, names)]
+    names = _clean_header([single_byte.decoded_name(h, encoding) for h in header])
+    columns = [na_to_null(single_byte.decoded(col(old), encoding)).alias(new) for old, new in zip(header, names)]
     if row_order:
         columns += [
             F.col("_metadata.file_path").alias("_file"),
