@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 from prepframe.scratch import stored
 
 #: Different rows of a leaf up to which one task finishes it.
-LEAF_ROWS = 50_000
+LEAF_ROWS = 200_000
 #: Nodes of a tree up to which it is broadcast whole (28 bytes each); beyond, rows go to their leaf's own tree by shuffle.
 BROADCAST_NODES = 500_000
 #: Tasks that the rows of one leaf are dealt to then.
