@@ -4,7 +4,7 @@ A text's k-grams of code points are hashed with a rolling polynomial; of each wi
 smallest is chosen, of equal ones the rightmost. Any passage of at least w + k - 1 code points that two texts share
 gives both a common hash, and the positions say where. The fingerprint string lists the chosen hashes in order of
 position, each as 10 hex digits, `@` and the distance in hex from the one before, joined by spaces; likeness is the share of hashes in common
-(Jaccard) of two texts.
+(Jaccard) of two texts, both winnowed with the smaller gram and window of the two.
 
 Cases: white space and case count as they stand. Texts of few grams have smaller windows (what a larger window chooses, a
 smaller one does, too, so the guarantee holds for the larger of two texts' windows), and texts below `SHORT` code points
@@ -38,14 +38,19 @@ STRETCH = 1 << 20
 _BASE = np.array([0x9E3779B97F4A7C15], np.uint64)  # an array wraps around without a warning
 
 
+def measures(length: int, gram: int = GRAM, window: int = WINDOW) -> tuple[int, int]:
+    """The gram and window of a text of so many code points, no larger than those given."""
+    gram = min(gram, length, GRAM if length >= SHORT else SHORT_GRAM)
+    return gram, min(window, max(LEAST, 1 << (max(1, (length - gram + 1) // SHARE).bit_length() - 1)))
+
+
 def winnow(text: str | None, gram: int = GRAM, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
     """The chosen hashes (40 bits) and their positions, in order."""
     if not text:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
     codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64) + np.uint64(1)
-    gram = min(gram, len(codes), GRAM if len(codes) >= SHORT else SHORT_GRAM)
+    gram, window = measures(len(codes), gram, window)
     hashes = _rolling(codes, gram)
-    window = min(window, max(LEAST, 1 << (max(1, len(hashes) // SHARE).bit_length() - 1)))
     if len(hashes) <= window:
         spot = len(hashes) - 1 - int(hashes[::-1].argmin())
         return hashes[[spot]], np.array([spot])
@@ -102,6 +107,15 @@ def likeness(a: np.ndarray, b: np.ndarray) -> float:
     return both / (len(a) + len(b) - both)
 
 
+def nearness(a: str, own: tuple, b: str, other: tuple) -> float:
+    """The likeness of two texts, given their fingerprints. Texts whose measures differ are compared at the smaller ones."""
+    if not a or not b:
+        return likeness(own[0], other[0])
+    mine, its = measures(len(a)), measures(len(b))
+    gram, window = min(mine[0], its[0]), min(mine[1], its[1])
+    return likeness(*[found[0] if m == (gram, window) else winnow(t, gram, window)[0] for t, found, m in ((a, own, mine), (b, other, its))])
+
+
 def fingerprint(df: DataFrame, text_col: str = "text", keep: list[str] | None = None, gram: int = GRAM, window: int = WINDOW) -> DataFrame:
     """Kept columns (all, if not said) with `fingerprint`."""
 
@@ -202,8 +216,8 @@ def _finished(row: tuple, following: str, next_print: tuple) -> tuple:
         hashlib.sha256(other.encode()).hexdigest(),
         shown(*own),
         shown(*print_),
-        likeness(own[0], print_[0]),
-        likeness(own[0], next_print[0]),
+        nearness(text, own, other, print_),
+        nearness(text, own, following, next_print),
     )
 
 

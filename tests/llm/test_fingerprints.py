@@ -54,6 +54,14 @@ def test_shared_passage_shares_a_hash(plain):
         assert np.intersect1d(winnow(a)[0], winnow(b[:700] + passage + b[700:])[0]).size
 
 
+def alike(a, b):
+    """Shared hashes as a part of all, both texts at the smaller gram and window."""
+    sizes = [fingerprints.measures(len(x)) for x in (a, b) if x] or [(1, 1)]
+    gram, window = (min(x) for x in zip(*sizes, strict=True))
+    x, y = set(slow(a, gram, window)[0]), set(slow(b, gram, window)[0])
+    return len(x & y) / len(x | y) if x | y else 1.0
+
+
 def brute(rows, longest):
     """Rows by falling id with what the query should say, where both texts are short."""
     rows = sorted(rows, key=lambda r: -r[0])
@@ -63,8 +71,7 @@ def brute(rows, longest):
             continue
         n = len(text) // 3
         other = text[: len(text) - n] + after[:n]
-        a, b, c = (set(slow(x)[0]) for x in (text, other, after))
-        yield i, len(text), hashlib.sha256(other.encode()).hexdigest(), *(len(a & x) / len(a | x) if a | x else 1.0 for x in (b, c))
+        yield i, len(text), hashlib.sha256(other.encode()).hexdigest(), alike(text, other), alike(text, after)
 
 
 @pytest.mark.parametrize("parts", ["8", "1", "37"])
@@ -100,6 +107,15 @@ def test_cases(odd, nothing, spark):
     assert fingerprint(odd).columns == [*odd.columns, "fingerprint"] and fingerprint(odd).count() == odd.count()
 
 
+@pytest.mark.parametrize("left", [70, 63, 60])
+def test_one_gram_for_two_texts(spark, left):
+    """A text of 90 code points keeps its likeness to its edited text on either side of the short texts' limit."""
+    text = "".join(chr(97 + k * k * 7 % 26) + chr(97 + k * 5 % 23) for k in range(45))
+    rows = [(2, text), (1, "Z" * (left - 60))]
+    found = {r["doc_id"]: r for r in compare_with_next(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert len(text) == 90 and found[2]["near_edited"] > 0.3
+
+
 def test_likeness():
     a, none = np.array([1, 2, 3, 3], np.uint64), np.zeros(0, np.uint64)
     assert likeness(a, a) == 1 and likeness(none, none) == 1 and likeness(a, none) == 0
