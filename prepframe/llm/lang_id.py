@@ -29,6 +29,8 @@ BUCKETS = 1 << 17
 ORDERS = 2
 #: Training texts taken of each language (a bounded sample, by a hash of the text).
 SAMPLE_PER_LANGUAGE = 2000
+#: Parts that hashes of texts are dealt to when texts are drawn.
+PARTS = 1 << 40
 #: What a change of language costs, in units of log likelihood.
 SWITCH = 12.0
 SMOOTHING = 0.1
@@ -169,17 +171,21 @@ class LanguageModel:
 def fit_language_model(
     df: DataFrame, text_col: str = "text", lang_col: str = "lang", per_language: int = SAMPLE_PER_LANGUAGE
 ) -> LanguageModel:
-    """Count n-grams of about `per_language` texts of each language, chosen by a hash of the text (all, if fewer).
+    """Count n-grams of about `per_language` different texts of each language, chosen by a hash of the text (all, if fewer).
 
-    Only counts reach the driver: at most one for each language and bucket.
+    Copies of a text count once, however many there are; languages are as likely beforehand as they have rows. Only
+    counts reach the driver: at most one for each language and bucket.
     """
     rows = df.select(column(text_col).alias("text"), column(lang_col).alias("lang")).where("text IS NOT NULL AND lang IS NOT NULL")
-    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    rows = rows.withColumn("own", F.xxhash64("text"))
+    different = rows.groupBy("lang", "own").agg(F.count("*").alias("n")).groupBy("lang").agg(F.sum("n").alias("n"), F.count("*").alias("texts")).collect()
+    sizes = {r["lang"]: r["n"] for r in different}
     names = sorted(sizes)
     if not names:
         return LanguageModel([], np.zeros((0, 0)), np.zeros((SCRIPTS, 0), bool), np.zeros(0))
-    part = F.create_map(*[F.lit(x) for k, n in sizes.items() for x in (k, min(1_000_000, per_language * 1_000_000 // n))])
-    sample = rows.where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < part[F.col("lang")])
+    part = F.create_map(*[F.lit(x) for r in different for x in (r["lang"], min(PARTS, max(1, per_language * PARTS // r["texts"])))])
+    drawn = rows.where(F.pmod("own", F.lit(PARTS)) < part[F.col("lang")])
+    sample = drawn.groupBy("lang", "own").agg(F.min("text").alias("text")).select("text", "lang")
 
     def count(batches):
         found: dict[str, np.ndarray] = {}

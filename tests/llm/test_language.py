@@ -65,6 +65,16 @@ def test_cases(odd, nothing):
     assert {r["lang_pred"] for r in lang_id.label_languages(odd, empty).collect()} == {"und"}
 
 
+def test_copies_of_a_text_leave_the_others_in_the_sample(spark):
+    rows = [("Schöne Grüße aus der Stadt", "de")] * 5000 + [(f"Das Wetter ist heute {k} Grad wärmer geworden", "de") for k in range(10)] + [(f"The weather is {k} degrees warmer today", "en") for k in range(20)]
+    df = spark.createDataFrame(rows, "text string, lang string").repartition(4)
+    m = lang_id.fit_language_model(df, per_language=5)
+    assert m.languages == ["de", "en"] and m.allowed[1].all() and m.prior[0] > m.prior[1]
+    assert m.label("Das Wetter ist wärmer geworden")[0] == "de" and m.label("The weather is warmer")[0] == "en"
+    few, many = lang_id.fit_language_model(df.distinct()), lang_id.fit_language_model(df)
+    assert np.allclose(few.grams, many.grams)  # copies count once
+
+
 def test_unknown_script_goes_by_shares():
     m = model()
     m.allowed[3] = False
