@@ -1,8 +1,8 @@
 """A quality classifier by Bradley-Terry ranking: scores are learned from preference pairs, then cut at a quantile.
 
 Each pair is a good and a bad labelled text; the logistic loss on the difference of their features gives one weight for
-each feature. The cut is the score quantile that leaves below it the share of bad texts among all labelled ones, each
-class weighted by its size; scores are mapped to 0..1 so that the cut lies at `CUT`.
+each feature. The cut is the score quantile that leaves below it the share of bad texts among all labelled ones, over
+the scores of all of them; scores are mapped to 0..1 so that the cut lies at `CUT`.
 
 Cases: null and empty texts have the features of a text without words and get a score like any other. Without labels of
 both classes every text scores 1. Labelled ids that are not among the documents, null labels and null ids are left out;
@@ -13,15 +13,16 @@ from __future__ import annotations
 
 import math
 from collections import Counter
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from prepframe.llm.frames import column, doubles, map_columns
-import pyarrow as pa
+from prepframe.scratch import stored
 
 #: Labelled texts taken of each class to learn from (a bounded sample, by a hash of the id).
 SAMPLE_PER_CLASS = 4000
@@ -29,6 +30,10 @@ SAMPLE_PER_CLASS = 4000
 PAIRS = 60_000
 RIDGE = 1e-3
 CUT = 0.3
+#: Cells of a grid that scores are counted on.
+CELLS = 1 << 14
+#: Labelled ids up to which only their texts are scored for the cut (8 bytes each, broadcast).
+BROADCAST_LABELS = 1_000_000
 
 _KIND = np.zeros(256, np.uint8)  # 0 other, 1 a-z and non-ASCII, 2 A-Z, 3 digit, 4 white space, 5 sentence marks, 6 quotes and dashes
 _KIND[0x61:0x7B] = 1
@@ -97,9 +102,12 @@ class Ranking:
     def score(self, text: str | None) -> float:
         if not self.slope:
             return 1.0
-        z = np.clip((features(text) - self.mean) / self.scale, -8, 8) @ self.weights
+        z = self.place(text)
         return 1 / (1 + math.exp(-max(-500.0, min(500.0, self.slope * (z - self.cut) + math.log(CUT / (1 - CUT))))))
 
+    def place(self, text: str | None) -> float:
+        return float(np.clip((features(text) - self.mean) / self.scale, -8, 8) @ self.weights)
+
 
 def fit_pairs(good: np.ndarray, bad: np.ndarray, pairs: int = PAIRS) -> np.ndarray:
     """Weights by Newton's method on the logistic loss of differences, good minus bad."""
@@ -117,26 +125,53 @@ def fit_pairs(good: np.ndarray, bad: np.ndarray, pairs: int = PAIRS) -> np.ndarr
     return w
 
 
-def _quantile(values: np.ndarray, weights: np.ndarray, share: float) -> float:
-    order = np.argsort(values)
-    reached = np.cumsum(weights[order]) / weights.sum()
-    at = min(int(np.searchsorted(reached, share)), len(values) - 1)
-    after = min(at + 1, len(values) - 1)
-    return float(values[order[at]] + values[order[after]]) / 2
+def _cut(scores: DataFrame, reach: float) -> float:
+    """The value of z below which as much weight lies as label 0 has, over all rows of (z, label, n).
+
+    Weights are counted on a grid over [-reach, reach], then on one inside the cell that holds the value, so two
+    groupings of at most `CELLS` rows reach the driver whatever the number of scores; the cut lies half way between the
+    values on its two sides.
+    """
+    low, width = -reach, 2 * reach
+    below = 0
+    sums = scores.agg(F.sum("n"), F.sum(F.when(F.col("label") == 0, F.col("n")))).first()
+    share = sums[1] or 0
+    for _ in range(2):
+        cell = F.least(F.lit(CELLS - 1), F.floor((F.col("z") - low) / width * CELLS)).cast("int")
+        inside = scores.where((F.col("z") >= low) & (F.col("z") < low + width)).groupBy(cell.alias("cell")).agg(F.sum("n").alias("n"))
+        last = 0
+        for k, n in sorted((r["cell"], r["n"]) for r in inside.collect()):
+            last = k
+            if below + n >= share:
+                break
+            below += n
+        low, width = low + last * width / CELLS, width / CELLS
+    top = low + width
+    side = scores.agg(F.max(F.when(F.col("z") < top, F.col("z"))).alias("a"), F.min(F.when(F.col("z") >= top, F.col("z"))).alias("b")).first()
+    a = top if side["a"] is None else side["a"]
+    return (a + (a if side["b"] is None else side["b"])) / 2
 
 
 def fit_ranking(
     df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", per_class: int = SAMPLE_PER_CLASS
 ) -> Ranking:
-    """Learn from about `per_class` labelled texts of each class (all, if fewer); their features reach the driver."""
+    """Learn from about `per_class` labelled ids of each class (all, if fewer); their features reach the driver.
+
+    The weights come from that sample, the cut from the scores of all labelled rows. An id with several equal labels is
+    one of the sample and counts as often as it is labelled in the cut.
+    """
     marked = labels.select(column(id_col).alias("id"), column(label_col).cast("int").alias("label")).where("id IS NOT NULL AND label IN (0, 1)")
-    sizes = {r["label"]: r["n"] for r in marked.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    marked = stored(marked.groupBy("id", "label").agg(F.count("*").alias("n")), "marked")
+    sizes, ids = {}, {}
+    for r in marked.groupBy("label").agg(F.sum("n").alias("n"), F.count("*").alias("ids")).collect():
+        sizes[r["label"]], ids[r["label"]] = r["n"], r["ids"]
     nothing = Ranking(np.zeros(FEATURES), np.ones(FEATURES), np.zeros(FEATURES), 0.0, 0.0)
     if len(sizes) < 2:
         return nothing
-    part = F.when(F.col("label") == 1, per_class * 1_000_000 // sizes[1]).otherwise(per_class * 1_000_000 // sizes[0])
-    sample = marked.where(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < part)  # about 2 x per_class rows
-    texts = df.select(column(id_col).alias("id"), column(text_col).alias("text")).join(F.broadcast(sample), "id").select("label", "text")
+    part = F.when(F.col("label") == 1, per_class * 1_000_000 // ids[1]).otherwise(per_class * 1_000_000 // ids[0])
+    sample = marked.where(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < part)  # about 2 x per_class rows, one for each id and label
+    source = df.select(column(id_col).alias("id"), column(text_col).alias("text"))
+    texts = source.join(F.broadcast(sample), "id").select("label", "text")
 
     def measure(batches):
         for batch in batches:
@@ -157,8 +192,20 @@ def fit_ranking(
     z = np.clip((x - mean) / scale, -8, 8)
     w = fit_pairs(z[y == 1], z[y == 0])
     s = z @ w
-    cut = _quantile(s, weight, sizes[0] / (sizes[0] + sizes[1]))
-    return Ranking(mean, scale, w, cut, 1.0 / max(1e-6, float(np.sqrt(np.average((s - s.mean()) ** 2))) / 4))
+    slope = 1.0 / max(1e-6, float(np.sqrt(np.average((s - s.mean()) ** 2))) / 4)
+    ranking = Ranking(mean, scale, w, 0.0, slope)
+    scored = source
+    if marked.limit(BROADCAST_LABELS + 1).count() <= BROADCAST_LABELS:  # else texts without label are scored, too
+        scored = source.join(F.broadcast(marked.select("id").distinct()), "id", "left_semi")
+
+    def place(batches):
+        for batch in batches:
+            own = [ranking.place(t) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), doubles(own)], names=["id", "z"])
+
+    kind = source.schema["id"].dataType.simpleString()
+    places = scored.where("id IS NOT NULL").mapInArrow(place, f"id {kind}, z double").join(marked, "id").select("z", "label", "n")
+    return replace(ranking, cut=_cut(stored(places, "places"), 8 * float(np.abs(w).sum()) + 1e-9))
 
 
 def score_quality(df: DataFrame, ranking: Ranking, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:

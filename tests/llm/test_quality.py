@@ -28,6 +28,20 @@ def test_held_out(spark, sf_dir):
     assert all((r["predicted"] == 1) == (r["score"] >= CUT) and 0 <= r["score"] <= 1 for r in found.collect())
 
 
+def test_cut_is_the_quantile_of_all_labelled_rows(spark, docs, monkeypatch):
+    """However small the sample that the weights come from, and on both sides of the broadcast's bound."""
+    marks = docs.select("doc_id", (F.length("text") % 3 > 0).cast("int").alias("quality"))
+    marks = marks.union(marks.where("doc_id < 40"))  # repeated labels weigh twice
+    for bound in (quality.BROADCAST_LABELS, 3):
+        monkeypatch.setattr(quality, "BROADCAST_LABELS", bound)
+        ranking = fit_ranking(docs, marks, per_class=15)
+        rows = docs.join(marks, "doc_id").select("text", "quality").collect()
+        z = sorted(ranking.place(r["text"]) for r in rows)
+        share = sum(r["quality"] == 0 for r in rows)
+        above = [v for v in z if v > z[share - 1]]
+        assert abs(ranking.cut - (z[share - 1] + above[0]) / 2) < 1e-6 * (z[-1] - z[0] + 1)
+
+
 def test_features():
     for t in (None, "", " ", "a", "A!! B!!", "x" * 100_000, "é|é\n" * 50, "\U0001f642"):
         own = features(t)
