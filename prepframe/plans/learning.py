@@ -12,6 +12,7 @@ from prepframe.operators.scale import fit_minmax, fit_standard
 from prepframe.plans.registry import lineitem_gaps, query, rounded, table
 from prepframe.scratch import scratch_path
 from prepframe.streaming.apply import drop_duplicates_stream, transform_stream
+from prepframe.streaming.keyed import keep_duplicates_stream
 
 _SEGMENTS = ["BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
 
@@ -312,6 +313,55 @@ def stream_keep_first(spark, sf):
     return kept.groupBy("event_type").agg((F.count(F.lit(1)) == 1).alias("present"))
 
 
+_EVENT = ["event_id", "ts", "user_id", "event_type", "value"]
+
+
+def _events_in_batches(spark, sf, prepare):
+    """Events arriving file by file, a micro-batch each, and in the end a row that moves the watermark past them all."""
+    out, state, folder = scratch_path(spark, "stream"), scratch_path(spark, "stream-state"), scratch_path(spark, "arriving")
+    stored = table(spark, sf, "events").select(*_EVENT).withColumn("ts", F.col("ts").cast("timestamp"))
+    stored.repartitionByRange(3, "ts").write.parquet(folder)
+    marker = [F.lit(None).cast(f.dataType).alias(f.name) for f in stored.schema if f.name != "ts"]
+    stored.agg((F.max("ts") + F.expr("INTERVAL '36500 days'")).alias("ts")).select(*marker, "ts").select(*_EVENT).write.mode("append").parquet(folder)
+    arriving = spark.readStream.schema(stored.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    before = {k: spark.conf.get(k, None) for k in _STATE_STORE}
+    for k, v in _STATE_STORE.items():
+        spark.conf.set(k, v)
+    try:
+        kept = prepare(arriving)
+        run = kept.writeStream.format("parquet").option("checkpointLocation", state).trigger(availableNow=True).start(out)
+        run.awaitTermination()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    return spark.read.schema(kept.schema).parquet(out).withColumn("ts", F.unix_micros("ts"))
+
+
+#: State with timers needs the store on disk.
+_STATE_STORE = {"spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"}
+
+
+@query(
+    "stream_keep_last",
+    """SELECT event_id, epoch_us(ts) AS ts, user_id, event_type, value FROM events
+    QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC) = 1""",
+)
+def stream_keep_last(spark, sf):
+    """Each user's last event of a type, from several micro-batches."""
+    return _events_in_batches(spark, sf, lambda s: keep_duplicates_stream(s, ["user_id", "event_type"], "ts", "3650 days"))
+
+
+@query(
+    "stream_keep_none",
+    """SELECT event_id, epoch_us(ts) AS ts, user_id, event_type, value FROM events
+    QUALIFY count(*) OVER (PARTITION BY user_id, floor(value)) = 1""",
+)
+def stream_keep_none(spark, sf):
+    """Events whose user and whole part of the value occur once, from several micro-batches."""
+    keys = lambda s: s.withColumn("whole", F.floor("value"))
+    return _events_in_batches(spark, sf, lambda s: keep_duplicates_stream(keys(s), ["user_id", "whole"], "ts", "3650 days", "none")).drop("whole")
+
+
 @query(
     "prepared_profile",
     """WITH g AS (SELECT CASE WHEN (l_orderkey + l_linenumber) % 7 <> 0 THEN l_quantity END AS q, l_extendedprice AS p,
