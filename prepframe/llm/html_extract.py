@@ -7,6 +7,7 @@ the host's template. Its tokens are of two sorts: elements, between which the sl
 no content. The element of the template that holds the article gives the slots that are extracted: the article or main
 element or else the deepest container, once on each page, that holds most of the text. What menus, headers, footers,
 sidebars, notices, adverts, forms and comments hold is left out by the names, classes, ids and roles on a slot's path.
+A wrapper that holds most of the page is no aside for a name like `has-sidebar`, nor for being a form.
 
 Occurrence vectors are compared by two sums of hashes of (page, times), so that a host's pages are pre-aggregated where
 they are read and no host's pages meet in one task. The template of a host is a few rows, whatever its number of pages.
@@ -147,7 +148,7 @@ def main_text(page: Page, main: int | None = None, constants: frozenset[int] = f
     chosen = [b for b in page.blocks if not (b.path and b.path[-1].aside)]
     if main is not None and (inside := [b for b in chosen if any(_hash(e.key) == main for e in b.path)]):
         chosen = inside
-    elif any(e.main for e in page.elements):
+    elif any(e.main and not e.aside for e in page.elements):
         chosen = [b for b in chosen if b.path and b.path[-1].main]
     if constants:
         chosen = [b for b in chosen if not b.path or _hash(f"{b.path[-1].key}\0{b.text}") not in constants]

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import html
+import random
 import re
 
 import pytest
@@ -28,6 +29,14 @@ def text(page):
         ("<ul><li>a<li>b</ul><table><tr><td>c<td>d<tr><td>e</table>", "a\nb\nc\nd\ne"),
         ("<article><p title='a>b' class=\"x\">t<b>u</article><p>v", "tu"),
         ("<div role=main><p>m</p><div class=cookie-notice>k</div></div><p>z", "m"),
+        ("<div class='content has-sidebar'><article><h1>T</h1><p>one two</p></article><div class=sidebar><p>s</p></div></div>", "T\none two"),
+        ("<div id=page class='layout-sidebar-right'><p>one</p><p>two</p></div>", "one\ntwo"),
+        ("<form><nav>n</nav><article><p>one two three</p></article><div class=ad-box>a</div></form>", "one two three"),
+        ("<form><label>name</label><input></form>", ""),
+        ("<div class=post-comments><p>a long comment that is most of the page</p></div><article><p>x</p></article>", "x"),
+        ("<div class='related-posts'><article><p>teaser</p></article></div><p>x</p>", "x"),
+        ("<div class=top-banner><article><p>short</p></article></div><div class=sidebar><p>as long as it can be</p></div>", "short"),
+        ("<div class=with-nav><div class=cookie-bar><p>k</p></div><article><p>one</p><div class=share-links>s</div><p>two two two</p></article></div>", "one\ntwo two two"),
         ("plain text", "plain text"),
         ("<p>unclosed <", "unclosed <"),
         ("<!-- never closed <p>x</p>", ""),
@@ -84,6 +93,39 @@ def test_template_gives_the_container_and_constants(spark, monkeypatch, bound):
     assert found[205] == ("same story " * 9).strip()  # copies of one article are no constants
 
 
+def test_marked_wrappers_on_a_host(spark):
+    wrap = '<body><div class="content has-sidebar"><div class=sidebar><p>Menu of all</p></div><article><p>Story {0} {1}</p></article></div></body>'
+    rows = [(i, f"http://a.example/{i}", wrap.format(i, "word " * (20 + i))) for i in range(SUPPORT + 4)]
+    found = {r["page_id"]: r["text"] for r in extract_main_text(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert found == {i: f"Story {i} {'word ' * (20 + i)}".strip() for i in range(SUPPORT + 4)}
+
+
+def test_classes_by_brute_force(spark):
+    """Constant texts are those whose occurrence vector equals that of an element further out, page by page."""
+    draw = random.Random(4)
+    pages = []
+    for i in range(SUPPORT * 3):
+        parts = [f"<p>Always here.</p>" * (1 + i % 3), "<p>Now and then.</p>" if i % 2 else "", f"<p>Only {i} {'w ' * draw.randrange(5, 40)}</p>"]
+        rows = "<section><i>Row</i></section>" * (1 + i % 4)
+        pages.append((i, "http://a.example/x", f"<body><div class=m>{''.join(parts)}{rows}</div></body>"))
+    tokens = html_extract.template_tokens(spark.createDataFrame(pages, SCHEMA)).collect()
+    vectors, depth, is_text = {}, {}, {}
+    for i, url, page in pages:
+        for token, (_, d, text_, _, times, _) in html_extract._tokens(url, page)[2].items():
+            vectors.setdefault(token, {})[i] = times
+            depth[token], is_text[token] = d, text_
+    same = {}
+    for t, v in vectors.items():
+        same.setdefault(tuple(sorted(v.items())), set()).add(t)
+    sums = {}
+    for r in tokens:
+        sums.setdefault((r["pages"], r["times"], r["sum_a"], r["sum_b"]), set()).add(r["token"])
+    assert sorted(map(sorted, sums.values())) == sorted(map(sorted, same.values()))
+    want = {t for v, own in same.items() if len(v) >= SUPPORT for t in own if is_text[t] and any(not is_text[o] and depth[o] < depth[t] for o in own)}
+    df = html_extract.templates(html_extract.template_tokens(spark.createDataFrame(pages, SCHEMA)))
+    assert {r["token"] for r in df.where("NOT main").collect()} == want and want
+
+
 def test_cases(spark):
     rows = [(1, None, "<article><p>x</article>"), (2, "http://h/1", None), (3, "http://h/2", ""), (None, "http://h/3", "<p>y"), (1, None, "<article><p>x</article>")]
     df = spark.createDataFrame([(*r, 1, 2) for r in rows], SCHEMA + ", text int, host int")
