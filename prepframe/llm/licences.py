@@ -1,6 +1,8 @@
 """License scans: phrases, and an exact set-similarity join of text blocks with license templates.
 
-A block is a line. A block meets a template if it holds at least `THRESHOLD` of the template's distinct words. Words of
+A block is a line, or in a paragraph of several lines (without a line that has no word) any run of words as long as the
+template's, give or take `THRESHOLD`; so a notice is found however its lines are broken and whatever comment signs stand
+before them. A block meets a template if it holds at least `THRESHOLD` of the template's distinct words. Words of
 templates are ordered by how often they occur in the whole corpus, rarest first. Of a template with t words, o of which
 must be met, only the first t - o + 1 can be the first common one (prefix filter); a block needs o of the templates'
 words (length filter); where the first common word stands bounds what can still follow (positional filter). Blocks that
@@ -53,16 +55,22 @@ class Template:
     label: str
     words: tuple[bytes, ...]  # distinct, the rarest in the corpus first
     needed: int
+    window: int  # words of a block in a paragraph
 
 
 def templates_of(texts: tuple[tuple[str, str], ...], counts: dict[bytes, int], threshold: float = THRESHOLD) -> list[Template]:
     out = []
     for text, label in texts:
         words = sorted(set(words_of(text)), key=lambda w: (counts.get(w, 0), w))
-        out.append(Template(label, tuple(words), max(1, math.ceil(threshold * len(words) - 1e-9))))
+        out.append(Template(label, tuple(words), max(1, math.ceil(threshold * len(words) - 1e-9)), window_of(text, threshold)))
     return out
 
 
+def window_of(text: str, threshold: float = THRESHOLD) -> int:
+    """Words that a template may spread over."""
+    return math.floor(len(words_of(text)) / threshold + 1e-9)
+
+
 def corpus_counts(df: DataFrame, text_col: str, vocabulary: set[bytes]) -> dict[bytes, int]:
     """How often each of the words occurs in all texts."""
 
@@ -115,6 +123,37 @@ class Join:
         return found
 
 
+def best_window(words: list[bytes], template: Template) -> tuple[int, int]:
+    """The most distinct words of the template in any of its windows, and where the first such window's first one is."""
+    sought = set(template.words)
+    spots = [k for k, w in enumerate(words) if w in sought]
+    held: Counter[bytes] = Counter()
+    most, at, first = 0, 0, 0
+    for k in spots:
+        held[words[k]] += 1
+        # Words too far back go, and those at the start that come again.
+        while spots[first] <= k - template.window or held[words[spots[first]]] > 1:
+            left = words[spots[first]]
+            held[left] -= 1
+            if not held[left]:
+                del held[left]
+            first += 1
+        if len(held) > most:
+            most, at = len(held), spots[first]
+    return most, at
+
+
+def paragraphs(lines: list[list[bytes]]) -> list[tuple[int, int]]:
+    """First line and end of each run of two or more lines with words."""
+    out, start = [], 0
+    for k in range(len(lines) + 1):
+        if k == len(lines) or not lines[k]:
+            if k - start > 1:
+                out.append((start, k))
+            start = k + 1
+    return out
+
+
 def places_of(words: list[bytes], phrases: tuple[tuple[str, str], ...] = PHRASES) -> list[tuple[int, str]]:
     """First word and label of each place where a phrase stands."""
     line = b" " + b" ".join(words) + b" "
@@ -175,7 +214,23 @@ def _scan(text: str | None, join: Join) -> tuple[int, list[tuple[int, str]], lis
     words = words_of(text)
     matches = []
     if join.may_meet(words):
-        for number, line in enumerate(text.split("\n")):
-            for k, part in sorted(join.meets(words_of(line)).items()):
+        lines = [words_of(line) for line in text.split("\n")]
+        met: list[dict[int, float]] = []
+        for number, line in enumerate(lines):
+            met.append(join.meets(line) if line else {})
+            for k, part in sorted(met[-1].items()):
                 matches.append({"line": number, "label": join.templates[k].label, "containment": part})
+        for start, end in paragraphs(lines):
+            whole = [w for line in lines[start:end] for w in line]
+            if not join.may_meet(whole):
+                continue
+            for k in sorted(join.meets(whole)):  # what the paragraph doesn't hold, none of its windows does
+                t = join.templates[k]
+                most, at = best_window(whole, t)
+                if most >= t.needed and most / len(t.words) > max(found.get(k, 0.0) for found in met[start:end]):
+                    number = start
+                    while at >= len(lines[number]):
+                        at -= len(lines[number])
+                        number += 1
+                    matches.append({"line": number, "label": t.label, "containment": most / len(t.words)})
     return len(words), places_of(words), matches

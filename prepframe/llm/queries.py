@@ -124,10 +124,12 @@ def _words_sql(text: str) -> str:
 
 _WORDS = _words_sql("coalesce(text, chr(32))")
 
+#: Between paragraphs: line ends with a wordless line, or several, between them.
+_BREAK = r"\n[^0-9A-Za-z\x{80}-\x{10FFFF}]*\n"
 
 
 def _licence_sql() -> str:
-    """Phrases by place, and every line against every template."""
+    """Phrases by place, every line against every template, and every window of a paragraph that holds a template's words."""
 
     def places(phrase: str) -> str:
         own = phrase.split()
@@ -137,11 +139,11 @@ def _licence_sql() -> str:
     rows = []
     for number, (text, label) in enumerate(licences.TEMPLATES):
         own = sorted({x.decode() for x in words_of(text)})
-        rows.append(f"({number}, '{label}', [{', '.join(repr(x) for x in own)}], {math.ceil(licences.THRESHOLD * len(own) - 1e-9)})")
+        rows.append(f"({number}, '{label}', [{', '.join(repr(x) for x in own)}], {math.ceil(licences.THRESHOLD * len(own) - 1e-9)}, {licences.window_of(text)})")
     each = [(places(p), label) for p, label in licences.PHRASES]
     found = ", ".join(f"CASE WHEN len({x}) > 0 THEN '{label}' END" for x, label in each)
     return f"""
-WITH templates(t, label, own, needed) AS (VALUES {", ".join(rows)}),
+WITH templates(t, label, own, needed, span) AS (VALUES {", ".join(rows)}),
 docs AS (SELECT doc_id, text, {_WORDS} AS w FROM documents),
 base AS (
   SELECT doc_id, len(w) AS n_words, {" || ".join(x for x, _ in each)} AS spots,
@@ -150,7 +152,18 @@ lines AS (SELECT DISTINCT doc_id, unnest(string_split(text, chr(10))) AS line FR
 met AS (
   SELECT doc_id, label, len(list_intersect(list_distinct(lw), own)) AS held, len(own) AS size, needed
   FROM (SELECT doc_id, {_words_sql("line")} AS lw FROM lines) l, templates),
-more AS (SELECT doc_id, list(DISTINCT label) AS labels, max(held / size) AS score FROM met WHERE held >= needed GROUP BY doc_id)
+paragraphs AS (
+  SELECT DISTINCT doc_id, unnest(regexp_split_to_array(text, '{_BREAK}')) AS paragraph FROM docs WHERE contains(text, chr(10))),
+wide AS (
+  SELECT doc_id, label, own, needed, span, pw
+  FROM (SELECT doc_id, {_words_sql("paragraph")} AS pw FROM paragraphs WHERE contains(trim(paragraph, chr(10)), chr(10))) p, templates
+  WHERE len(list_intersect(list_distinct(pw), own)) >= needed),
+spread AS (
+  SELECT doc_id, label, list_max(list_transform(range(1, greatest(len(pw) - span, 0) + 2), lambda i: len(list_intersect(list_distinct(list_slice(pw, i, i + span - 1)), own)))) AS held,
+         len(own) AS size, needed FROM wide),
+more AS (
+  SELECT doc_id, list(DISTINCT label) AS labels, max(held / size) AS score
+  FROM (SELECT * FROM met UNION ALL SELECT * FROM spread) WHERE held >= needed GROUP BY doc_id)
 SELECT doc_id, n_words, len(spots) AS n_base, list_min(spots) - 1 AS first_word, list_max(spots) - 1 AS last_word,
        array_to_string(list_sort(b.labels), ',') AS base_labels,
        array_to_string(list_sort(list_distinct(b.labels || coalesce(m.labels, []))), ',') AS labels,

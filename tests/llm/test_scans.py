@@ -2,8 +2,11 @@ from __future__ import annotations
 
 import hashlib
 import re
+from itertools import groupby
 
 import pytest
+from hypothesis import given
+from hypothesis.strategies import integers, lists, sampled_from
 
 from prepframe.llm import decontaminate as dec
 from prepframe.llm import licences, secret_scan
@@ -95,6 +98,42 @@ def test_join_is_exact(plain):
         assert met
 
 
+def blocks(text, template):
+    """Lines, and all windows of the template's length of paragraphs of several lines."""
+    span = licences.window_of(template)
+    lines = [words_of(x) for x in (text or "").split("\n")]
+    yield from lines
+    for wordless, own in groupby(lines, key=lambda x: not x):
+        own = list(own)
+        if not wordless and len(own) > 1:
+            whole = [w for x in own for w in x]
+            for i in range(max(1, len(whole) - span + 1)):
+                yield whole[i : i + span]
+
+
+def test_wrapped_notices(spark):
+    mit = licences.TEMPLATES[2][0]
+    words = mit.split()
+    three = "\n".join(" ".join(words[i : i + 7]) for i in range(0, len(words), 7))
+    rows = [
+        (1, mit), (2, three), (3, "# start of a file\n" + "\n".join("# " + x for x in three.split("\n")) + "\n# and more words here"),
+        (4, three.replace("\n", "\n\n")),  # blank lines part paragraphs
+        (5, "\n".join(f"{w} and so on with many other words that stand between" for w in words)),  # too far apart
+        (6, "x y z\nReleased under\r\nthe MIT License\n" + three), (7, "\n" * 5), (8, "a\n" * 30_000),
+    ]
+    found = {r["doc_id"]: r for r in scan_licences(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {i: r["labels"] for i, r in found.items()} == {1: "mit", 2: "mit", 3: "mit", 4: "", 5: "", 6: "mit", 7: "", 8: ""}
+    assert found[2]["score"] == found[3]["score"] == 1.0 and [m["line"] for m in found[3]["matches"]] == [1]
+    assert [m["line"] for m in found[6]["matches"]] == [1, 3]
+
+
+@given(lists(sampled_from([b"a", b"b", b"c", b"d", b"x"]), max_size=30), integers(1, 12))
+def test_best_window(words, span):
+    t = licences.Template("t", (b"a", b"b", b"c"), 2, span)
+    every = [len({b"a", b"b", b"c"} & set(words[i : i + span])) for i in range(len(words))] or [0]
+    assert licences.best_window(words, t)[0] == max(every)
+
+
 def test_licence_query(spark, sf_dir, plain):
     rows = {r["doc_id"]: r for r in QUERIES["op7_licence_scan"](spark, sf_dir).collect()}
     assert len(rows) == len(plain)
@@ -105,7 +144,7 @@ def test_licence_query(spark, sf_dir, plain):
         assert (r["n_words"], r["n_base"]) == (len(words), len(base))
         assert (r["first_word"], r["last_word"]) == (min((j for j, _ in base), default=None), max((j for j, _ in base), default=None))
         assert r["base_labels"] == ",".join(sorted({x for _, x in base}))
-        more = {label for t, label in licences.TEMPLATES for line in (text or "").split("\n") if len((own := set(words_of(t))) & set(words_of(line))) >= THRESHOLD * len(own) - 1e-9}
+        more = {label for t, label in licences.TEMPLATES for block in blocks(text, t) if len((own := set(words_of(t))) & set(block)) >= THRESHOLD * len(own) - 1e-9}
         assert r["labels"] == ",".join(sorted({x for _, x in base} | more)) and 0 <= r["score"] <= 1
 
 
