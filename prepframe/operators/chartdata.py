@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from prepframe.functions.columns import col, present
-from prepframe.guards import require, require_numeric
+from prepframe.guards import as_list, require, require_numeric
 
 # What stands for "no column", and the label of the remaining categories.
 NO_COLUMN = ("", "brak", None)
@@ -116,6 +117,65 @@ def line_series(df: DataFrame, x: str, y: str, hue: str | None = None) -> DataFr
     )
 
 
+def _limits(most: int = 11) -> list[str]:
+    """Where a uniform number of 8 hex digits passes from a Poisson count (of mean 1) to the next."""
+    out, share, below = [], math.exp(-1), 0.0
+    for k in range(most):
+        below += share
+        out.append(f"{int(below * 2**32):08x}")
+        share /= k + 1
+    return out
+
+
+#: A draw's count is the number of limits it reaches.
+POISSON_LIMITS = _limits()
+
+
+def line_band(
+    df: DataFrame, x: str, y: str, keys: str | Sequence[str], hue: str | None = None, replicates: int = 200, level: float = 0.95
+) -> DataFrame:
+    """(x, [hue,] mean_y, n, low, high) sorted by x, with a bootstrap band of the mean.
+
+    In every replicate a row counts as often as a Poisson number drawn from the MD5 of its keys and the replicate says,
+    so the band is the same however the rows are partitioned. All replicates come from one grouping, summed before the
+    shuffle: a group costs as many sums as there are replicates, whatever its rows. Four replicates share a digest. Rows
+    of equal keys are drawn together, so the keys should name a row.
+    """
+    require_numeric(df, y)
+    if replicates < 4 or replicates % 4:
+        raise ValueError("replicates must be a multiple of 4")
+    if not 0 < level < 1:
+        raise ValueError("level must lie between 0 and 1")
+    named = require(df, as_list(keys))
+    if not named:
+        raise ValueError("name the columns that tell rows apart")
+    groups = require(df, [x, *([hue] if hue else [])])
+    own = [f"_g{i}" for i in range(len(groups))]
+    v = present(df, y).cast("double")
+    key = F.concat_ws(":", *[F.coalesce(col(k).cast("string"), F.lit("")) for k in named])
+    rows = df.where(col(x).isNotNull() & v.isNotNull()).select(*[col(g).alias(a) for g, a in zip(groups, own, strict=True)], v.alias("_v"), key.alias("_key"))
+    # Round 0 stands for the rows as they are, the others for four replicates each.
+    drawn = rows.withColumn("_round", F.explode(F.sequence(F.lit(0), F.lit(replicates // 4))))
+    drawn = drawn.withColumn("_hex", F.when(F.col("_round") > 0, F.md5(F.concat_ws(":", "_key", F.col("_round").cast("string")))))
+    sums = []
+    for j in range(4):
+        digits = F.substring("_hex", 8 * j + 1, 8)
+        times = F.when(F.col("_round") == 0, F.lit(1)).otherwise(sum(((digits >= t).cast("int") for t in POISSON_LIMITS), F.lit(0)))
+        drawn = drawn.withColumn(f"_w{j}", times)
+        sums.append(F.struct(F.sum(F.col(f"_w{j}") * F.col("_v")).alias("s"), F.sum(f"_w{j}").alias("n")))
+    each = drawn.groupBy(*own, "_round").agg(F.array(*sums).alias("_all")).select(*own, "_round", F.posexplode("_all").alias("_j", "_m"))
+    mean = F.try_divide(F.col("_m.s"), F.col("_m.n"))
+    plain = (F.col("_round") == 0) & (F.col("_j") == 0)
+    of = F.when(F.col("_round") > 0, mean)  # of a replicate without any row of the group there is no mean
+    tail = (1 - level) / 2
+    points = each.groupBy(*own).agg(
+        F.max(F.when(plain, mean)).alias("_mean"), F.max(F.when(plain, F.col("_m.n"))).alias("_n"), F.percentile(of, [tail, 1 - tail]).alias("_band")
+    )
+    return points.orderBy(*own).select(
+        *[F.col(a).alias(g) for g, a in zip(groups, own, strict=True)], F.col("_mean").alias("mean_y"), F.col("_n").alias("n"), F.col("_band")[0].alias("low"), F.col("_band")[1].alias("high")
+    )
+
+
 def scatter_points(df: DataFrame, x: str, y: str, hue: str | None = None, size: str | None = None) -> DataFrame:
     """One row per point: x, y and, if asked for, hue and size. Points without x or y are not drawn."""
     chosen = {"x": x, "y": y, "hue": hue, "size": size}

@@ -550,3 +550,21 @@ def trend_line(spark, sf):
 )
 def short_labels(spark, sf):
     return table(spark, sf, "customer").select("c_custkey", short_label(F.col("c_name")).alias("label"))
+
+
+def _band_sql(replicates: int) -> str:
+    """The band from the same digests: a row counts as often as its draw reaches limits."""
+    draw = "substr(md5(concat_ws(':', event_id, r // 4 + 1)), (8 * (r % 4) + 1)::BIGINT, 8)"
+    times = " + ".join(f"(h >= '{t}')::INT" for t in chartdata.POISSON_LIMITS)
+    return f"""WITH drawn AS (SELECT event_type, value, r, {draw} AS h FROM events, range({replicates}) AS t(r)),
+    weighed AS (SELECT event_type, value, r, {times} AS w FROM drawn),
+    means AS (SELECT event_type, r, sum(w * value) / nullif(sum(w), 0) AS m FROM weighed GROUP BY ALL),
+    band AS (SELECT event_type, quantile_cont(m, 0.025) AS low, quantile_cont(m, 0.975) AS high FROM means GROUP BY 1)
+    SELECT event_type, round(avg(value), 6) AS mean_y, count(*) AS n, round(any_value(low), 6) AS low, round(any_value(high), 6) AS high
+    FROM events JOIN band USING (event_type) GROUP BY 1"""
+
+
+@query("line_band", _band_sql(100))
+def line_band(spark, sf):
+    """Mean value of each event type with a bootstrap band."""
+    return rounded(chartdata.line_band(table(spark, sf, "events"), "event_type", "value", "event_id", replicates=100))

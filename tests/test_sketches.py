@@ -91,3 +91,25 @@ def test_characters():
     assert encodings.characters("ISO-8859-1")[0x69] == "é" and encodings.characters("windows-1250")[0x39] == "ą"
     assert all(len(encodings._scores(e)) == encodings.KINDS * 128 for e in encodings.CANDIDATES)
     assert encodings.decoded_name("za¿ó³æ", "windows-1250") == "zażółć" and encodings.decoded_name("é", "UTF-8") == "é"
+
+
+def test_bootstrap_band(spark):
+    draw = random.Random(7)
+    rows = [(i, "ab"[i % 2], draw.gauss(10 * (i % 2), 3)) for i in range(1200)] + [(5000, "one", 4.0), (5001, None, 1.0), (5002, "a", None)]
+    df = spark.createDataFrame(rows, "id long, k string, v double")
+    closed = {r["k"]: r for r in chartdata.line_series(df, "k", "v").collect()}
+    found = {r["k"]: r for r in chartdata.line_band(df, "k", "v", "id", replicates=4000).collect()}
+    assert set(found) == set(closed) == {"a", "b", "one"}
+    for k in "ab":
+        want, got = closed[k], found[k]
+        assert got["n"] == want["n"] and got["mean_y"] == pytest.approx(want["mean_y"])
+        assert got["high"] - got["low"] == pytest.approx(want["high"] - want["low"], rel=0.03)
+    assert (found["one"]["low"], found["one"]["high"], found["one"]["n"]) == (4.0, 4.0, 1)
+    some = chartdata.line_band(df, "k", "v", "id", replicates=40).collect()
+    again = chartdata.line_band(df.repartition(5).orderBy(F.desc("v")), "k", "v", "id", replicates=40).collect()
+    for a, b in zip(some, again, strict=True):
+        assert a["k"] == b["k"] and (a["low"], a["high"]) == pytest.approx((b["low"], b["high"]), rel=1e-12)
+    assert chartdata.line_band(df.limit(0), "k", "v", "id").count() == 0
+    for bad in ({"replicates": 6}, {"level": 1}, {"keys": []}):
+        with pytest.raises(ValueError):
+            chartdata.line_band(df, "k", "v", **{"keys": "id", **bad})
