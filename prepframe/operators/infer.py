@@ -10,7 +10,7 @@ import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -73,18 +73,18 @@ class Kind:
     categories: tuple | None = None
 
 
-def _texts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    texts = df.select(*[col(c).cast("string").alias(c) for c in cols])
-    return texts.unpivot([], [col(c) for c in cols], "column", "value")
+def _texts(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    texts = df.select(*[col(b) for b in by], *[col(c).cast("string").alias(c) for c in cols])
+    return texts.unpivot([col(b) for b in by], [col(c) for c in cols], "column", "value")
 
 
 def _share(hits: str, of: str = "n") -> Column:
     return F.try_divide(F.col(hits), F.col(of))
 
 
-def detect(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    """One row per column with the counts every decision rests on, over all rows."""
-    names = require(df, cols) if cols else df.columns
+def detect(df: DataFrame, cols: Sequence[str] | None = None, by: Sequence[str] = ()) -> DataFrame:
+    """One row per column (and group, if `by` is said) with the counts every decision rests on, over all rows."""
+    names = require(df, cols) if cols else [c for c in df.columns if c not in by]
     text, dotted = F.col("text"), F.replace(F.col("text"), F.lit(","), F.lit("."))
     dot, comma = F.contains(text, F.lit(".")), F.contains(text, F.lit(","))
     # cheap tests stand before the dear ones: a text that does not start like a number is neither number nor date
@@ -93,11 +93,11 @@ def detect(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     may = F.col("allowed")
     formats = [F.count_if((may.bitwiseAND(F.lit(1 << i)) != 0) & fits_date(text, f)).alias(f"d{i}") for i, f in enumerate(DATE_FORMATS)]
     return (
-        _texts(df, names)
-        .select("column", strip(F.col("value")).alias("text"))
+        _texts(df, names, by)
+        .select(*[col(b) for b in by], "column", strip(F.col("value")).alias("text"))
         .withColumn("shape", shape)
         .withColumn("allowed", allowed)
-        .groupBy("column")
+        .groupBy(*[col(b) for b in by], "column")
         .agg(
             F.count(F.lit(1)).alias("n_rows"),
             F.count(text).alias("n"),
@@ -149,6 +149,20 @@ def detect_categorical(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return per_column.select("column", "n_rows", "distinct_values", few.alias("is_categorical"))
 
 
+def few_values(df: DataFrame, cols: Sequence[str], by: Sequence[str]) -> DataFrame:
+    """(by …, column, value): the distinct present values, MAX_CATEGORY_VALUES of a column and group at most.
+
+    A group that shows so many has too many values for a category, whichever they are.
+    """
+    distinct = _texts(df, require(df, cols), by).where("value IS NOT NULL").distinct()
+    return first_values(distinct, by)
+
+
+def first_values(distinct: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    place = F.row_number().over(Window.partitionBy(*[col(b) for b in by], "column").orderBy("value"))
+    return distinct.withColumn("_place", place).where(F.col("_place") <= MAX_CATEGORY_VALUES).drop("_place")
+
+
 def _categories(df: DataFrame, cols: Sequence[str]) -> dict[str, tuple]:
     """The sorted values of columns known to hold few of them."""
     if not cols:
@@ -167,6 +181,23 @@ def _typed_kind(dtype: T.DataType) -> Kind | None:
     return None if isinstance(dtype, T.StringType) else Kind("other")
 
 
+def kind_of(r: Row, listed_date: bool = False, date_format: str | None = None) -> Kind:
+    """What a row of decisions says of its column; categories are told apart from text by their values, elsewhere."""
+    if listed_date:
+        return Kind("date", date_format=date_format or r["date_format"])
+    if r["n"] == 0:
+        return Kind("empty")
+    if r["boolean"] == r["n"]:
+        return Kind("boolean")
+    if r["is_numeric"]:
+        read = r["readable"] + (r["readable_comma"] if r["decimal_mark"] == "," else 0)
+        return Kind("numeric", decimal_mark=r["decimal_mark"], whole=r["whole"] == r["n"], parse_loss=r["n"] - read)
+    if r["is_date"]:
+        fmt = r["date_format"]
+        return Kind("date", date_format=fmt, parse_loss=r["n"] - (r["date_hits"] if fmt else r["any_date"]))
+    return Kind("text")
+
+
 def infer_kinds(
     df: DataFrame,
     date_columns: Sequence[str] = (),
@@ -185,24 +216,9 @@ def infer_kinds(
     if texts:
         for r in decisions(detect(df, texts), min_share, date_min_share).collect():
             c = r["column"]
-            if c in date_columns:
-                kinds[c] = Kind("date", date_format=date_format or r["date_format"])
-            elif r["n"] == 0:
-                kinds[c] = Kind("empty")
-            elif r["boolean"] == r["n"]:
-                kinds[c] = Kind("boolean")
-            elif r["is_numeric"]:
-                read = r["readable"] + (r["readable_comma"] if r["decimal_mark"] == "," else 0)
-                whole = r["whole"] == r["n"]
-                kinds[c] = Kind("numeric", decimal_mark=r["decimal_mark"], whole=whole, parse_loss=r["n"] - read)
-            elif r["is_date"]:
-                fmt = r["date_format"]
-                lost = r["n"] - (r["date_hits"] if fmt else r["any_date"])
-                kinds[c] = Kind("date", date_format=fmt, parse_loss=lost)
-            else:
-                kinds[c] = Kind("text")
-                if r["distinct_about"] < 2 * MAX_CATEGORY_VALUES:
-                    maybe_categorical.append(c)
+            kinds[c] = kind_of(r, c in date_columns, date_format)
+            if kinds[c].kind == "text" and r["distinct_about"] < 2 * MAX_CATEGORY_VALUES:
+                maybe_categorical.append(c)
     if maybe_categorical:
         few = [r["column"] for r in detect_categorical(df, maybe_categorical).collect() if r["is_categorical"]]
         for c, values in _categories(df, few).items():

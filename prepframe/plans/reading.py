@@ -8,7 +8,7 @@ from prepframe.functions.columns import DATE_FORMATS, na_to_null, parse_date, pa
 from prepframe.operators import infer
 from prepframe.plans.registry import GAPS, lineitem_gaps, query, table
 from prepframe.scratch import scratch_path
-from prepframe.sources import csv, encodings
+from prepframe.sources import arrivals, csv, encodings
 
 # ---- files ----
 
@@ -332,6 +332,26 @@ def infer_and_apply(spark, sf):
     return typed.withColumn("day", F.date_format("day", "yyyy-MM-dd"))
 
 
+@query(
+    "infer_arrivals",
+    _per_column(
+        f"count(*) AS n_rows, count({{c}}) AS n, count(*) FILTER (regexp_matches(replace({{c}}, ',', '.'), {_PLAIN})) AS plain, "
+        f"{_BEST_FORMAT} AS date_format, {_BEST} AS date_hits, "
+        "CASE WHEN count(DISTINCT {c}) < 100 THEN array_to_string(list_sort(list(DISTINCT {c})), ',') END AS few_values"
+    ),
+)
+def infer_arrivals(spark, sf):
+    """Two arrivals of files; the second reads its own files only, and the merged counts are those of one pass."""
+    df, store = _messy_orders(spark, sf), scratch_path(spark, "states")
+    early = F.col("id").cast("long") % 3 == 0
+    path = _written(df.where(early), "arrivals", sep=";")
+    arrivals.arrive(spark, path, store)
+    df.where(~early).write.mode("append").options(header=True, escape='"', sep=";").csv(path)
+    arrivals.arrive(spark, path, store)
+    found = infer.decisions(arrivals.merge_states(arrivals.states(spark, path, store)))
+    return found.select("column", "n_rows", "n", "plain", "date_format", "date_hits", F.array_join("values", ",").alias("few_values"))
+
+
 @query(
     "narrow_integers",
     "SELECT n_nationkey::TINYINT AS n_nationkey, n_name, n_regionkey::TINYINT AS n_regionkey FROM nation",

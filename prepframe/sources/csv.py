@@ -32,13 +32,13 @@ def _occurrences(line: Column, sep: str) -> Column:
     return F.length(line) - F.length(F.replace(line, F.lit(sep), F.lit("")))
 
 
-def dialects(spark: SparkSession, path: str, fallback_encoding: str | None = None) -> DataFrame:
+def dialects(spark: SparkSession, path: str | Sequence[str], fallback_encoding: str | None = None) -> DataFrame:
     """(file, separator, encoding, header) for every file under `path`, in one pass over the raw lines.
 
     The separator is guessed from a file's first five lines. A file is UTF-8 when all of its lines are valid; else it is
     in the fallback encoding, or in the single-byte one that makes its byte pairs likeliest. The header is the first line as it stands; files without any line are left out.
     """
-    lines = spark.read.text(path).select(
+    lines = spark.read.text(path if isinstance(path, str) else list(path)).select(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("line"),
@@ -71,11 +71,17 @@ def sniff(spark: SparkSession, path: str, fallback_encoding: str | None = None)
 
 
 def read_texts(
-    spark: SparkSession, path: str, separator: str | None = None, encoding: str | None = None, multiline: bool = False
+    spark: SparkSession,
+    path: str | Sequence[str],
+    separator: str | None = None,
+    encoding: str | None = None,
+    multiline: bool = False,
+    row_order: bool = False,
 ) -> DataFrame:
     """All columns as text, each file in its own dialect, files matched by the names in their headers.
 
-    Columns stand in the order of the first file that has them; what a file lacks is missing in its rows.
+    Columns stand in the order of the first file that has them; what a file lacks is missing in its rows. `row_order`
+    adds the columns ROW_ORDER.
     """
     said = dialects(spark, path).withColumns({"digest": F.md5(F.col("header").cast("binary"))})
     alike = said.groupBy("separator", "encoding", "digest").agg(F.min("file").alias("first"), F.collect_list("file").alias("files"))
@@ -85,7 +91,7 @@ def read_texts(
     out = None
     for g in groups:
         files = [unquote(f) for f in sorted(g["files"])]
-        own = read_raw(spark, files, separator or g["separator"], encoding or g["encoding"], multiline)
+        own = read_raw(spark, files, separator or g["separator"], encoding or g["encoding"], multiline, row_order)
         out = own if out is None else out.unionByName(own, allowMissingColumns=True)
     return out
 
