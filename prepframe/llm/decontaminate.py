@@ -1,9 +1,10 @@
 """Benchmark decontamination: a hash set of normalised n-grams against every window of every document.
 
-Benchmark items give windows of 13 words (an item of fewer words, but not none, is one window). Words of windows get
-numbers, windows get hashes of their numbers; both tables are broadcast in blocks of bounded size, and the documents
-pass through one block after another. Where a document's window has a known hash its words are compared, and the words
-inside occurrences are hit. A document is contaminated if at least one word in twenty is hit.
+Benchmark items give windows of 13 words (an item of fewer words, but not none, is one window). Words of items get
+numbers, windows get hashes of their numbers; a block of items is a few flat arrays, some 20 bytes a word, beside the
+table of its words. Blocks are broadcast, at most `BLOCK_BYTES` of text each, and the documents pass through one block after
+another. Where a document's window has a known hash its words are compared, and the words inside occurrences are hit.
+A document is contaminated if at least one word in twenty is hit.
 
 Cases: null and empty texts have no words, no hits and no items. Repeated items count once by id; items of null id are
 left out, those without words have no window. Equal rows of documents give equal results. Ids of items compare as
@@ -12,7 +13,6 @@ strings. An empty benchmark hits nothing.
 
 from __future__ import annotations
 
-from collections import defaultdict
 from itertools import chain
 
 import numpy as np
@@ -26,68 +26,117 @@ from prepframe.llm.words import words_of
 
 WINDOW = 13
 #: Bytes of benchmark text of one broadcast block.
-BLOCK_BYTES = 1 << 19
+BLOCK_BYTES = 32 << 20
 #: A document is contaminated if hits times this are at least its words.
 SHARE = 20
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
+class Table:
+    """The different windows of one length: sorted hashes, a place in the block's words, and the items of each."""
+
+    def __init__(self, sequence: np.ndarray, starts: np.ndarray, items: np.ndarray, size: int) -> None:
+        self.size = size
+        hashes = _hashes(sequence, starts, size)
+        order = np.lexsort((items, hashes))
+        hashes, starts, items = hashes[order], starts[order], items[order]
+        # Neighbours of equal words are one window. Should windows of one hash alternate, each of their stretches is an
+        # entry of its own, and all entries of a hash are compared.
+        again = np.zeros(len(hashes), bool)
+        again[1:] = (hashes[1:] == hashes[:-1]) & _equal(sequence, starts[1:], sequence, starts[:-1], size)
+        first = np.flatnonzero(~again)
+        self.hashes, self.starts = hashes[first], starts[first].astype(np.uint32)
+        entry = np.cumsum(~again) - 1
+        kept = ~again
+        kept[1:] |= items[1:] != items[:-1]
+        self.items = items[kept]
+        self.bounds = np.searchsorted(entry[kept], np.arange(len(first) + 1)).astype(np.uint32)
+        self._sieve: np.ndarray | None = None
+
+    def __getstate__(self) -> dict:
+        return {**self.__dict__, "_sieve": None}  # made again by each worker that needs it
+
+    def sieve(self) -> np.ndarray:
+        """Which low bits occur among the hashes: a power of two, some eight bits or more a hash up to 2^26."""
+        if self._sieve is None:
+            self._sieve = np.zeros(1 << min(26, max(16, (8 * len(self.hashes)).bit_length())), bool)
+            self._sieve[self.hashes & np.uint64(len(self._sieve) - 1)] = True
+        return self._sieve
+
+    def find(self, sequence: np.ndarray, own: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Those of the places `at` whose windows are known, and the entries found (each once)."""
+        sieve = self.sieve()
+        hashes = _hashes(own, at, self.size)
+        may = sieve[hashes & np.uint64(len(sieve) - 1)]
+        at, hashes = at[may], hashes[may]
+        low, high = np.searchsorted(self.hashes, hashes, "left"), np.searchsorted(self.hashes, hashes, "right")
+        hit, entries = np.zeros(len(at), bool), []
+        for k in range(int((high - low).max(initial=0))):
+            some = np.flatnonzero(low + k < high)
+            some = some[_equal(own, at[some], sequence, self.starts[low[some] + k].astype(np.int64), self.size)]
+            hit[some] = True
+            entries.append(low[some] + k)
+        return at[hit], np.unique(np.concatenate(entries)) if entries else np.zeros(0, np.int64)
+
+    def items_of(self, entries: np.ndarray) -> np.ndarray:
+        return np.concatenate([self.items[self.bounds[e] : self.bounds[e + 1]] for e in entries.tolist()])
+
+
 class Windows:
-    """All windows of a block of items, by length and hash."""
+    """All windows of a block of items, by length and hash. Repeated items count once by id."""
 
     def __init__(self, items: list[tuple[str, str | None]], size: int) -> None:
         self.numbers: dict[bytes, int] = {}
-        self.items: defaultdict[tuple[int, ...], set[str]] = defaultdict(set)
+        self.names = sorted({item for item, _ in items})
+        number_of = {item: k for k, item in enumerate(self.names)}
+        parts, starts, owners, done = [], {}, {}, 0
         for item, text in items:
             own = [self.numbers.setdefault(w, len(self.numbers) + 1) for w in words_of(text)]
-            for i in range(max(1, len(own) - size + 1) if own else 0):
-                self.items[tuple(own[i : i + size])].add(item)
-        by: defaultdict[int, list[tuple[int, ...]]] = defaultdict(list)
-        for window in self.items:
-            by[len(window)].append(window)
-        self.hashes = {n: np.unique(_hashes(np.array(rows, np.int64))) for n, rows in by.items()}
-        self.sieves = {n: _sieve(h) for n, h in self.hashes.items()}
+            if own:
+                n = min(len(own), size)
+                parts.append(np.array(own, np.uint32))
+                starts.setdefault(n, []).append(np.arange(done, done + len(own) - n + 1))
+                owners.setdefault(n, []).append(np.full(len(own) - n + 1, number_of[item], np.uint32))
+                done += len(own)
+        self.sequence = np.concatenate([np.zeros(0, np.uint32), *parts])
+        self.tables = [Table(self.sequence, np.concatenate(at), np.concatenate(owners[n]), n) for n, at in starts.items()]
 
     def find(self, words: list[bytes]) -> tuple[list[tuple[int, int]], set[str]]:
         """Places of occurrences (first word, length) and the items they are of."""
         number = self.numbers.get
-        own = np.array([number(w, 0) for w in words], np.int64)
-        known = own > 0
+        own = np.array([number(w, 0) for w in words], np.uint32)
+        run = np.cumsum(np.concatenate([[0], own > 0]))
         places, items = [], set()
-        for n, hashes in self.hashes.items():
+        for table in self.tables:
+            n = table.size
             if len(own) < n:
                 continue
-            run = np.cumsum(np.concatenate([[0], known]))
             at = np.flatnonzero(run[n:] - run[:-n] == n)
             if not len(at):
                 continue
-            found = _hashes(own[at[:, None] + np.arange(n)])
-            hit = self.sieves[n][found & _LOW]
-            at = at[hit][np.isin(found[hit], hashes)]
-            for i in at.tolist():
-                if (of := self.items.get(tuple(own[i : i + n].tolist()))) is not None:
-                    places.append((i, n))
-                    items |= of
+            at, entries = table.find(self.sequence, own, at)
+            if len(at):
+                places += [(i, n) for i in at.tolist()]
+                items |= {self.names[k] for k in np.unique(table.items_of(entries)).tolist()}
         return places, items
 
 
-_LOW = np.uint64((1 << 20) - 1)
-
-
-def _hashes(windows: np.ndarray) -> np.ndarray:
-    """The hash of each row of numbers."""
-    total = np.zeros(len(windows), np.uint64)
-    for k in range(windows.shape[1]):
-        total = total * _BASE + windows[:, k].astype(np.uint64)
-    return total ^ (total >> np.uint64(31))
+def _equal(a: np.ndarray, at: np.ndarray, b: np.ndarray, bt: np.ndarray, size: int) -> np.ndarray:
+    """Whether the words from each place of one sequence are those from a place of the other."""
+    same = np.ones(len(at), bool)
+    for k in range(size):
+        same &= a[at + k] == b[bt + k]
+    return same
 
 
-def _sieve(hashes: np.ndarray) -> np.ndarray:
-    """Which low bits occur among the hashes."""
-    seen = np.zeros(int(_LOW) + 1, bool)
-    seen[hashes & _LOW] = True
-    return seen
+def _hashes(sequence: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
+    """The hash of the `size` numbers from each place."""
+    total = np.zeros(len(at), np.uint64)
+    for k in range(size):
+        total = total * _BASE + sequence[at + k].astype(np.uint64)
+    total ^= total >> np.uint64(31)
+    return total * _BASE ^ (total >> np.uint64(27))
 
 
 FOUND = [

@@ -1,9 +1,10 @@
 """Secret scans: patterns verified on the texts that a trigram index leaves over.
 
 From each pattern a Boolean query of trigrams is derived that every match must satisfy. The texts of a task are indexed
-batch by batch: a trigram's posting is the set of texts of the batch that hold it. Postings are intersected and united
-as the query says, and only the texts left are searched with the pattern. A pattern without mandatory trigrams (such as
-long hex numbers) searches every text. The index holds no more than a batch and needs no shuffle.
+batch by batch, in one pass over their bytes: every trigram that some query names has a posting, the sorted numbers of
+the texts that hold it. Postings are intersected and united as the query says, and only the texts left are searched with
+the pattern. A pattern without mandatory trigrams (such as long hex numbers) searches every text. The index holds no
+more than a batch and needs no shuffle.
 
 Cases: null and empty texts have no spans. Spans are code points, end exclusive, leftmost and not overlapping within a
 kind; kinds may overlap each other. Very long texts are searched whole. Equal rows give equal results.
@@ -15,6 +16,7 @@ import hashlib
 import re
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 from itertools import product
 from re import _constants as sre
 from re import _parser
@@ -29,6 +31,8 @@ from prepframe.llm.frames import column, longs, map_columns, strings
 
 #: Strings followed at once while a query is derived.
 MOST_STRINGS = 64
+#: Bytes of a batch that are looked up at once.
+STRETCH = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -79,21 +83,27 @@ def _any_of(parts: list[Query]) -> Query:
 
 
 def _of_strings(texts: set[str]) -> Query:
+    texts = {t.encode().decode("latin-1") for t in texts}  # a character for each byte
     return _any_of([_all_of([t[i : i + 3] for i in range(len(t) - 2)]) for t in sorted(texts)])
 
 
+def _low(code: int) -> str:
+    """A-Z in lower case, as the texts are indexed."""
+    return chr(code).lower() if code < 128 else chr(code)
+
+
 def _strings_of(node) -> set[str] | None:
     """All strings a part of a pattern can match, if they are few; in lower case."""
     kind, value = node
     if kind is sre.LITERAL:
-        return {chr(value).lower()}
+        return {_low(value)}
     if kind is sre.IN:
         found: set[str] = set()
         for what, own in value:
             if what is sre.LITERAL:
-                found.add(chr(own).lower())
+                found.add(_low(own))
             elif what is sre.RANGE and own[1] - own[0] < 8:
-                found |= {chr(c).lower() for c in range(own[0], own[1] + 1)}
+                found |= {_low(c) for c in range(own[0], own[1] + 1)}
             else:
                 return None
         return found if len(found) <= 8 else None
@@ -146,35 +156,52 @@ def trigram_query(pattern: str) -> Query:
     return _required(_parser.parse(pattern, re.ASCII))
 
 
+def _named(query: Query) -> set[str]:
+    """The trigrams of a query."""
+    if query is None:
+        return set()
+    return {query} if isinstance(query, str) else set().union(*[_named(part) for part in query[1:]])
+
+
+class Trigrams:
+    """The trigrams that queries name, numbered from 1, and the number of every possible trigram (0: not named)."""
+
+    def __init__(self, queries: list[Query]) -> None:
+        self.names = sorted(set().union(*[_named(q) for q in queries]))
+        self.number = np.zeros(1 << 24, np.uint16 if len(self.names) < 1 << 16 else np.uint32)
+        for k, gram in enumerate(self.names):
+            self.number[int.from_bytes(gram.encode("latin-1"), "big")] = k + 1
+
+
 class BatchIndex:
-    """Postings over the texts of a batch, made when a query first asks for a trigram."""
-
-    def __init__(self, texts: list[bytes]) -> None:
-        self.texts = texts
-        self.postings: dict[str, np.ndarray] = {}
-
-    def posting(self, trigram: str, among: np.ndarray) -> np.ndarray:
-        """Which of the texts numbered `among` hold the trigram."""
-        if (known := self.postings.get(trigram)) is not None:
-            return among[known[among]]
-        gram = trigram.encode()
-        hit = np.fromiter((gram in self.texts[i] for i in among), bool, len(among))
-        if len(among) == len(self.texts):
-            self.postings[trigram] = hit
-        return among[hit]
-
-    def candidates(self, query: Query, among: np.ndarray | None = None) -> np.ndarray:
-        """The numbers of the texts that satisfy the query."""
-        among = np.arange(len(self.texts)) if among is None else among
-        if query is None or not len(among):
-            return among
+    """Postings of a batch: for each named trigram the sorted numbers of the texts that hold it."""
+
+    def __init__(self, texts: list[bytes], grams: Trigrams) -> None:
+        self.count = n = len(texts)
+        ends = np.cumsum([len(t) for t in texts], dtype=np.int64)
+        data = np.frombuffer(b"".join(texts), np.uint8)
+        pairs = [np.zeros(0, np.int64)]
+        for first in range(0, len(data) - 2, STRETCH):
+            part = data[first : first + STRETCH + 2].astype(np.uint32)
+            number = grams.number[part[:-2] << 16 | part[1:-1] << 8 | part[2:]]
+            at = np.flatnonzero(number)
+            text = np.searchsorted(ends, first + at, "right")
+            inside = first + at + 3 <= ends[text]  # not across the end of a text
+            pairs.append(np.unique(number[at[inside]].astype(np.int64) * n + text[inside]))
+        found = np.unique(np.concatenate(pairs))
+        cuts = np.searchsorted(found, np.arange(1, len(grams.names) + 2) * n)
+        self.postings = {g: found[cuts[k] : cuts[k + 1]] - (k + 1) * n for k, g in enumerate(grams.names)}
+
+    def candidates(self, query: Query) -> np.ndarray:
+        """The sorted numbers of the texts that satisfy the query."""
+        if query is None:
+            return np.arange(self.count)
         if isinstance(query, str):
-            return self.posting(query, among)
+            return self.postings[query]
+        parts = [self.candidates(part) for part in query[1:]]
         if query[0] == "and":
-            for part in query[1:]:
-                among = self.candidates(part, among)
-            return among
-        return np.unique(np.concatenate([self.candidates(part, among) for part in query[1:]]))
+            return reduce(lambda a, b: np.intersect1d(a, b, assume_unique=True), sorted(parts, key=len))
+        return np.unique(np.concatenate(parts))
 
 
 class Scanner:
@@ -182,13 +209,14 @@ class Scanner:
 
     def __init__(self, rules: tuple[Rule, ...] = RULES) -> None:
         self.rules = [(r, r.compiled(), trigram_query(r.pattern)) for r in rules]
+        self.grams = Trigrams([query for _, _, query in self.rules])
         # A run counts only from its least length on, so shorter ones need not be matched one by one.
         self.runs = {r.kind: re.compile(f"{r.pattern[:-1]}{{{r.least},}}") for r in rules if re.fullmatch(r"\[[^\]]+\]\+", r.pattern) and r.least}
 
     def spans(self, texts: list[str | None]) -> list[list[tuple[int, int, int]]]:
         """For each text (start, number of the rule, end), in this order."""
         found: list[list[tuple[int, int, int]]] = [[] for _ in texts]
-        index = BatchIndex([(t or "").encode().lower() for t in texts])
+        index = BatchIndex([(t or "").encode().lower() for t in texts], self.grams)
         for number, (rule, pattern, query) in enumerate(self.rules):
             pattern = self.runs.get(rule.kind, pattern)
             for i in index.candidates(query).tolist():

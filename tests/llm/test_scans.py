@@ -4,15 +4,17 @@ import hashlib
 import re
 from itertools import groupby
 
+import numpy as np
 import pytest
 from hypothesis import given
 from hypothesis.strategies import integers, lists, sampled_from
+from pyspark.sql import functions as F
 
 from prepframe.llm import decontaminate as dec
 from prepframe.llm import licences, secret_scan
 from prepframe.llm.licences import THRESHOLD, Join, places_of, scan_licences, templates_of
 from prepframe.llm.queries import ORACLES, QUERIES
-from prepframe.llm.secret_scan import BASE, RULES, BatchIndex, Rule, Scanner, find_secrets, mask_secrets, summarise_secrets, trigram_query
+from prepframe.llm.secret_scan import BASE, RULES, BatchIndex, Rule, Scanner, Trigrams, find_secrets, mask_secrets, summarise_secrets, trigram_query
 from prepframe.llm.words import words_of
 from check import compare, connect
 from tests.llm.data import LINE
@@ -75,6 +77,35 @@ def test_windows_cases(odd, nothing, spark):
     assert left.columns == odd.columns and sorted(r["doc_id"] or 0 for r in left.collect()) == [0, 3, 4, 5, 6, 7, 8, 9]
 
 
+@given(lists(lists(sampled_from("abc"), max_size=20), max_size=6), lists(sampled_from("abcd"), max_size=40), sampled_from([0, 1, 3]))
+def test_packed_windows(items, words, bits):
+    """Like a dictionary of windows, with hashes that say nothing, too."""
+    was = dec._hashes
+    try:
+        dec._hashes = lambda s, at, n: was(s, at, n) & np.uint64((1 << bits) - 1) if bits < 3 else was(s, at, n)
+        named = [(str(k // 2), " ".join(own)) for k, own in enumerate(items)]
+        places, found = dec.Windows(named, 4).find([w.encode() for w in words])
+    finally:
+        dec._hashes = was
+    want, of = set(), set()
+    for item, text in named:
+        own = text.split()
+        n = min(4, len(own))
+        for i in range(len(own) - n + 1 if own else 0):
+            at = {(j, n) for j in range(len(words) - n + 1) if words[j : j + n] == own[i : i + n]}
+            want |= at
+            of |= {item} if at else set()
+    assert sorted(places) == sorted(want) and found == of
+
+
+def test_stages_of_a_large_benchmark(spark, odd):
+    """50 MB of benchmark are two passes of the documents at most."""
+    word = F.concat(F.lit("w"), (F.col("id") % 1000).cast("string"))
+    bench = spark.range(0, 5000, 1, 4).select(F.col("id").alias("item_id"), F.repeat(F.concat(word, F.lit(" ")), 10_000 // 4 + 1).substr(1, 10_000).alias("text"))
+    plan = dec.find_windows(odd, bench)._jdf.queryExecution().optimizedPlan().toString()
+    assert 1 <= plan.count("MapInArrow") <= 2
+
+
 # Licenses
 
 
@@ -204,15 +235,42 @@ def test_queries_are_necessary():
     assert trigram_query("a(bc|bd)e?f") is not None and trigram_query("(?:ab){2}") == ("and", "aba", "bab")
     for rule in (*RULES, Rule("x", "a(bc|bd)e?f"), Rule("y", "(foo|ba[rz])-?qu+x"), Rule("z", "x*(abc){2,3}[0-9]k")):
         texts = [t or "" for t in TRICKY] + ["abcef", "abdf", "foo-quux", "bazqux", "xxabcabc7k", "abcabcabc0k"]
-        index = BatchIndex([t.encode().lower() for t in texts])
-        left = set(index.candidates(trigram_query(rule.pattern)).tolist())
+        query = trigram_query(rule.pattern)
+        left = set(BatchIndex([t.encode().lower() for t in texts], Trigrams([query])).candidates(query).tolist())
         assert {i for i, t in enumerate(texts) if rule.compiled().search(t)} <= left
 
 
-def test_index_keeps_postings():
-    index = BatchIndex([b"abc", b"xabcd", b"bcd", b""])
-    assert index.candidates(("and", "abc", "bcd")).tolist() == [1] and index.candidates(("or", "abc", "bcd")).tolist() == [0, 1, 2]
-    assert set(index.postings) == {"abc", "bcd"} and index.candidates(("and", "bcd", "abc")).tolist() == [1]
+def test_index_postings(monkeypatch):
+    named = ("or", ("and", "abc", "bcd"), "cdx", "\xc3\xa9a")
+    for stretch in (1 << 20, 2, 5):
+        monkeypatch.setattr(secret_scan, "STRETCH", stretch)
+        texts = [b"abc", b"xabcd", b"bcd", b"", b"x", b"ab", "cd\xe9abcd".encode(), b"abcabc"]
+        index = BatchIndex(texts, Trigrams([named, None]))
+        assert {g: p.tolist() for g, p in index.postings.items()} == {g: [i for i, t in enumerate(texts) if g.encode("latin-1") in t] for g in ("abc", "bcd", "cdx", "\xc3\xa9a")}
+        assert index.candidates(("and", "abc", "bcd")).tolist() == [1, 6] and index.candidates(("or", "abc", "bcd")).tolist() == [0, 1, 2, 6, 7]
+        assert index.candidates(None).tolist() == list(range(8))
+    assert BatchIndex([], Trigrams([named])).candidates(named).tolist() == []
+
+
+def test_index_is_one_pass(plain):
+    """Each batch is looked up once, however many rules there are, and texts without a trigram are not searched."""
+    scanner = Scanner()
+    lookups = []
+
+    class Counted(np.ndarray):
+        def __getitem__(self, at):
+            lookups.append(np.size(at))
+            return np.asarray(self)[at]
+
+    scanner.grams.number = scanner.grams.number.view(Counted)
+    texts = [t or "" for _, t in plain]
+    scanner.spans(texts)
+    assert sum(lookups) == sum(len(t.encode()) for t in texts) - 2
+
+
+def test_letters_beyond_ascii():
+    rule = Rule("x", "\xc9t\xe9=[a-z]+")
+    assert Scanner((rule,)).spans(["a \xc9t\xe9=abc", "\xe9t\xe9=abc"]) == [[(2, 0, 9)], []]
 
 
 def test_secret_cases(odd, nothing, spark):
