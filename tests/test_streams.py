@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta
 
+import numpy as np
+import pandas as pd
 import pytest
 
 from prepframe.plans.learning import _STATE_STORE
+from prepframe.streaming import keyed
 from prepframe.streaming.keyed import keep_duplicates_stream
 
 SCHEMA = "ts timestamp, k string, b int, x double"
@@ -61,3 +64,73 @@ def test_arguments(spark, tmp_path):
     for df, keys, keep in ((rows, "k", "last"), (stream, "k", "first"), (stream, [], "last"), (stream, "nope", "last")):
         with pytest.raises(ValueError):
             keep_duplicates_stream(df, keys, "ts", "1 hour", keep)
+
+
+class Store:
+    """A bucket's state, timers and calls, without Spark."""
+
+    def __init__(self):
+        self.state, self.timers, self.updates = None, set(), 0
+
+    def getValueState(self, name, schema):  # noqa: N802
+        return self
+
+    def exists(self):
+        return self.state is not None
+
+    def get(self):
+        return self.state
+
+    def update(self, value):
+        self.state, self.updates = value, self.updates + 1
+
+    def clear(self):
+        self.state = None
+
+    def registerTimer(self, at):  # noqa: N802
+        self.timers.add(at)
+
+    def deleteTimer(self, at):  # noqa: N802
+        self.timers.remove(at)
+
+    def getCurrentWatermarkInMs(self):  # noqa: N802
+        return self.watermark
+
+    def getExpiryTimeInMs(self):  # noqa: N802
+        return min(self.timers)
+
+
+@pytest.mark.parametrize("keep", ["last", "none"])
+def test_many_keys_are_one_call_to_the_store(keep):
+    """Against the rule taken key by key, over batches in which keys are closed, go on and start anew."""
+    rng, delay = np.random.default_rng(1), 40
+    store = Store()
+    verdicts = keyed._Verdicts(keep, delay)
+    verdicts.init(store)
+    held, got, want, newest = {}, [], [], 0
+
+    def close(key):
+        rows = held.pop(key)
+        want.extend([max(rows)[1]] if keep == "last" or len(rows) == 1 else [])
+
+    for batch in range(12):
+        store.watermark, store.updates = max(0, newest - delay), 0
+        rows = [(f"k{rng.integers(600)}", int(t), f"{batch}-{i}") for i, t in enumerate(rng.integers(store.watermark + 1, store.watermark + 90, 300))]
+        newest = max(newest, *[t for _, t, _ in rows])
+        frame = pd.DataFrame([(0, k, None, t * 1000, row) for k, t, row in rows])
+        for out in verdicts.handleInputRows((0,), iter([frame[:100], frame[100:]]), store):
+            got += out.iloc[:, 0].tolist()
+        assert store.updates == 1 and len(store.timers) == 1
+        for key in {k for k, _, _ in rows} & {k for k, r in held.items() if max(r)[0] + delay <= store.watermark}:
+            close(key)
+        for k, t, row in rows:
+            held.setdefault(k, []).append((t, row))
+        if min(store.timers) < store.watermark:
+            fired = min(store.timers)
+            for out in verdicts.handleExpiredTimer((0,), store, store):
+                got += out.iloc[:, 0].tolist()
+            store.timers.discard(fired)
+        for key in [k for k, r in held.items() if max(r)[0] + delay < store.watermark]:
+            close(key)
+        assert sorted(got) == sorted(want)
+    assert len(want) > 300
