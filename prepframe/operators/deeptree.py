@@ -1,7 +1,8 @@
 """Decision trees of any depth with exact thresholds.
 
-Leaves with many rows are split by Spark: one grouping counts the classes of every distinct value of every feature in
-every such leaf, running counts give each threshold's worth, and the best one splits the leaf. Running counts are taken
+Leaves with many rows are split by Spark. One pass counts the classes of every such leaf in ranges of each feature's
+values, which gives the worth of the thresholds between ranges and a bound for those inside; a common value is a range of
+its own. Only of ranges whose bound reaches the best worth all distinct values are counted: running counts are taken
 part by part of a range-partitioned table, and parts are shifted by what stands before them, so that a feature with very
 many values is no single task's. Equal rows count as one with a weight. Leaves of at most LEAF_ROWS different rows are
 grouped, a leaf to a task at a time, and finished there whatever their depth.
@@ -14,6 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import product
 
 import numpy as np
 import pandas as pd
@@ -31,6 +33,12 @@ LEAF_ROWS = 200_000
 BROADCAST_NODES = 500_000
 #: Tasks that the rows of one leaf are dealt to then.
 SALTS = 8
+#: Ranges that a feature's values are first counted in, and those of all features together.
+RANGES, ALL_RANGES = 1_024, 262_144
+#: Values of rows that a task counts at a time.
+COUNTED = 2_000_000
+#: Classes up to which the bound of a range takes every way to part its classes; a wider bound beyond.
+CORNERS = 4
 
 _SUBTREE = "leaf long, feature array<int>, threshold array<double>, left array<int>, right array<int>, label array<int>"
 _PARTS = ["feature", "threshold", "left", "right", "label"]
@@ -80,16 +88,15 @@ def _half_way(low: np.ndarray, high: np.ndarray) -> np.ndarray:
 
 def _worth(left: np.ndarray, total: np.ndarray, gini: bool) -> np.ndarray:
     """What a split leaves of purity, larger is better; counts of classes along the last axis."""
-    right = total - left
+    return _purity(left, gini) + _purity(total - left, gini)
 
-    def side(counts: np.ndarray) -> np.ndarray:
-        n = counts.sum(axis=-1)
-        if gini:
-            return (counts.astype(np.float64) ** 2).sum(axis=-1) / np.maximum(n, 1)
-        logs = counts * np.log(np.maximum(counts, 1))
-        return logs.sum(axis=-1) - n * np.log(np.maximum(n, 1))
 
-    return side(left) + side(right)
+def _purity(counts: np.ndarray, gini: bool) -> np.ndarray:
+    n = counts.sum(axis=-1)
+    if gini:
+        return (counts.astype(np.float64) ** 2).sum(axis=-1) / np.maximum(n, 1)
+    logs = counts * np.log(np.maximum(counts, 1))
+    return logs.sum(axis=-1) - n * np.log(np.maximum(n, 1))
 
 
 def grow(x: np.ndarray, y: np.ndarray, weight: np.ndarray, classes: int, gini: bool) -> list[list]:
@@ -150,28 +157,143 @@ def _worth_column(counts: list[Column], gini: bool) -> Column:
     return sum((log(c) for c in counts[1:]), log(counts[0])) - log(n)
 
 
-def _best_splits(rows: DataFrame, classes: int, gini: bool) -> list:
-    """For each leaf of (leaf, x, y, weight): feature, threshold, and on the left of its best split the class counts and,
-    last, the number of different rows."""
-    ks = range(classes + 1)
-    long = rows.select("leaf", "y", "weight", F.posexplode("x").alias("f", "v"))
+def _edges(rows: DataFrame) -> list[np.ndarray]:
+    """Of each feature, the last values of ranges of about as many rows; any values do, these bound best."""
+    width = rows.select(F.size("x")).first()[0]
+    ranges = max(2, min(RANGES, ALL_RANGES // max(width, 1)))
+    shares = [i / ranges for i in range(1, ranges)]
+    found = rows.select(F.posexplode("x").alias("f", "v")).groupBy("f").agg(F.percentile_approx("v", shares, 4 * ranges).alias("edges"))
+    return [np.unique(r["edges"]) for r in found.orderBy("f").collect()]
+
+
+def _cells(rows: DataFrame, nodes: Nodes, only: list[int], edges: list[np.ndarray], classes: int) -> DataFrame:
+    """(leaf, f, cell, low, high, c0, c1, …) of the ranges that some leaves' rows fall into: their least and greatest value,
+    the classes' counts and, last, the number of different rows."""
+    shared = rows.sparkSession.sparkContext.broadcast((nodes, np.array(sorted(only), np.int64), edges))
+    names = ["leaf", "f", "cell", "low", "high", *[f"c{k}" for k in range(classes + 1)]]
+
+    def counted(x: np.ndarray, leaf: np.ndarray, y: np.ndarray, weight: np.ndarray) -> Iterator[pa.RecordBatch]:
+        _, wanted, edges = shared.value
+        for f, own in enumerate(edges):
+            cell = np.searchsorted(wanted, leaf) * (len(own) + 1) + np.searchsorted(own, x[:, f])
+            order = np.argsort(cell, kind="stable")
+            cell, v, kinds, weights = cell[order], x[order, f], y[order], weight[order]
+            starts = np.concatenate([[0], np.flatnonzero(cell[1:] > cell[:-1]) + 1])
+            place, inside = np.divmod(cell[starts], len(own) + 1)
+            sums = [np.add.reduceat(np.where(kinds == k, weights, 0.0), starts) for k in range(classes)]
+            rows_in = np.diff(np.append(starts, len(cell))).astype(np.float64)
+            columns = [wanted[place], np.full(len(starts), f, np.int32), inside.astype(np.int32), np.minimum.reduceat(v, starts), np.maximum.reduceat(v, starts), *sums, rows_in]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tree, wanted, _ = shared.value
+        held, size = [], 0
+        for batch in batches:
+            x = _matrix(batch.column(0))
+            leaf = tree.leaves(x)
+            chosen = np.isin(leaf, wanted)
+            if chosen.any():
+                held.append((x[chosen], leaf[chosen], batch.column(1).to_numpy()[chosen], batch.column(2).to_numpy()[chosen]))
+                size += held[-1][0].size
+            if size >= COUNTED:
+                yield from counted(*[np.concatenate(c) for c in zip(*held, strict=True)])
+                held, size = [], 0
+        if held:
+            yield from counted(*[np.concatenate(c) for c in zip(*held, strict=True)])
+
+    kinds = "leaf long, f int, cell int, low double, high double, " + ", ".join(f"c{k} double" for k in range(classes + 1))
+    parts = rows.select("x", "y", "weight").mapInArrow(run, kinds)
+    return parts.groupBy("leaf", "f", "cell").agg(F.min("low").alias("low"), F.max("high").alias("high"), *[F.sum(n).alias(n) for n in names[5:]])
+
+
+def _bound(before: np.ndarray, upto: np.ndarray, total: np.ndarray, gini: bool) -> np.ndarray:
+    """No split inside a range is worth more: rows on the left are `before` and some of those up to `upto`.
+
+    The worth is convex in the classes' counts, so the best is at a corner. And of two sides apart neither is worth
+    less than both together, a range's own rows at most their number (entropy: 0).
+    """
+    inside = upto - before
+    wide = _purity(before, gini) + _purity(total - upto, gini) + (inside.sum(axis=-1) if gini else 0.0)
+    if before.shape[1] > CORNERS:
+        return wide
+    corners = [_worth(before + inside * np.array(c), total, gini) for c in product((0, 1), repeat=before.shape[1])]
+    return np.minimum(wide, np.max(corners, axis=0))
+
+
+_FOUND = "leaf long, f int, cell int, worth double, v double, next double, left array<double>, total array<double>, open long"
+
+
+def _between(classes: int, gini: bool):
+    """Of one leaf's ranges: its best split between two of them (cell -1), and the ranges that may hold a better one."""
+
+    def search(key: tuple, own: pd.DataFrame) -> pd.DataFrame:
+        best, out, bounds = [key[0], -1, -1, -np.inf, 0.0, 0.0, [], [], 0], [], []
+        names = [f"c{k}" for k in range(classes + 1)]
+        for f, cells in own.sort_values(["f", "cell"]).groupby("f"):
+            counts, low, high = cells[names].to_numpy(), cells["low"].to_numpy(), cells["high"].to_numpy()
+            upto = np.cumsum(counts, axis=0)
+            before, total = upto - counts, upto[-1]
+            if len(cells) > 1:
+                worth = _worth(upto[:-1, :classes], total[:classes], gini)
+                k = int(np.argmax(worth))
+                if worth[k] > best[3]:
+                    best[1:8] = [f, -1, worth[k], high[k], low[k + 1], upto[k].tolist(), total.tolist()]
+            bound = _bound(before[:, :classes], upto[:, :classes], total[:classes], gini)
+            bounds += [(bound[k], f, c, before[k], total) for k, c in enumerate(cells["cell"]) if low[k] < high[k]]
+        reach = best[3] - 1e-9 * abs(best[3]) if best[3] > -np.inf else -np.inf
+        for bound, f, cell, left, total in bounds:
+            if bound >= reach:
+                out.append([key[0], f, cell, None, None, None, left.tolist(), total.tolist(), 0])
+        best[-1] = len(out)
+        return pd.DataFrame([best, *out], columns=["leaf", "f", "cell", "worth", "v", "next", "left", "total", "open"])
+
+    return search
+
+
+def _best_splits(rows: DataFrame, nodes: Nodes, only: list[int], edges: list[np.ndarray], classes: int, gini: bool) -> list[tuple]:
+    """For some leaves: leaf, worth, -feature, -value, the value that follows, and on the left of its best split the class
+    counts and, last, the number of different rows."""
+    cells = _cells(rows, nodes, only, edges, classes)
+    found = stored(cells.groupBy("leaf").applyInPandas(_between(classes, gini), _FOUND), "ranges")
+    between = found.where("cell = -1").collect()
+    best = {r["leaf"]: (r["worth"], -r["f"], -r["v"], r["next"], r["left"]) for r in between if r["f"] >= 0}
+    open_in = [r["leaf"] for r in between if r["open"]]
+    if open_in:
+        for r in _inside(_route(rows, nodes, open_in), found.where("cell >= 0"), edges, classes, gini):
+            one = (r["worth"], r["f"], r["v"], r["next"], r["left"])
+            best[r["leaf"]] = max(best.get(r["leaf"], one), one, key=lambda b: b[:3])
+    return sorted((leaf, *b) for leaf, b in best.items())
+
+
+def _inside(rows: DataFrame, ranges: DataFrame, edges: list[np.ndarray], classes: int, gini: bool) -> list:
+    """The best split of each leaf of (leaf, x, y, weight) among the thresholds inside some ranges of its values."""
+    shared = rows.sparkSession.sparkContext.broadcast(edges)
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = _matrix(batch.column(1)) + 0.0  # one zero, as in a grouping
+            for f, own in enumerate(shared.value):
+                columns = [np.full(len(x), f, np.int32), np.searchsorted(own, x[:, f]).astype(np.int32), x[:, f]]
+                yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(c) for c in columns], *batch.columns[2:]], names=["leaf", "f", "cell", "v", "y", "weight"])
+
+    ks, cell = range(classes + 1), ["leaf", "f", "cell"]
+    long = rows.mapInArrow(split, "leaf long, f int, cell int, v double, y int, weight long").join(ranges.select(*cell), cell, "left_semi")
     sums = [F.sum(F.when(F.col("y") == k, F.col("weight")).otherwise(0)) for k in range(classes)] + [F.count(F.lit(1))]
-    counts = long.groupBy("leaf", "f", "v").agg(*[c.cast("double").alias(f"c{k}") for k, c in enumerate(sums)])
-    order = ["leaf", "f", "v"]
-    parts = counts.repartitionByRange(*order).sortWithinPartitions(*order)
+    counts = long.groupBy(*cell, "v").agg(*[c.cast("double").alias(f"c{k}") for k, c in enumerate(sums)])
+    parts = counts.repartitionByRange(*cell, "v").sortWithinPartitions(*cell, "v")
     parts = stored(parts.withColumn("part", F.spark_partition_id()), "values")
-    along = Window.partitionBy("leaf", "f").orderBy("part")
-    before, whole = along.rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy("leaf", "f")
-    pieces = parts.groupBy("leaf", "f", "part").agg(F.min("v").alias("first"), *[F.sum(f"c{k}").alias(f"s{k}") for k in ks])
+    along = Window.partitionBy(*cell).orderBy("part")
+    before = along.rowsBetween(Window.unboundedPreceding, -1)
+    pieces = parts.groupBy(*cell, "part").agg(F.min("v").alias("first"), *[F.sum(f"c{k}").alias(f"s{k}") for k in ks])
     shifts = pieces.select(
-        "leaf", "f", "part", F.lead("first").over(along).alias("after"),
+        *cell, "part", F.lead("first").over(along).alias("after"),
         *[F.coalesce(F.sum(f"s{k}").over(before), F.lit(0.0)).alias(f"b{k}") for k in ks],
-        *[F.sum(f"s{k}").over(whole).alias(f"t{k}") for k in ks],
     )
-    within = Window.partitionBy("leaf", "f", "part").orderBy("v")
-    at = parts.join(shifts, ["leaf", "f", "part"]).select(
-        "leaf", "f", "v", F.coalesce(F.lead("v").over(within), F.col("after")).alias("next"),
-        *[(F.col(f"b{k}") + F.sum(f"c{k}").over(within)).alias(f"l{k}") for k in ks], *[f"t{k}" for k in ks],
+    known = ranges.select(*cell, *[F.col("left")[k].alias(f"a{k}") for k in ks], *[F.col("total")[k].alias(f"t{k}") for k in ks])
+    within = Window.partitionBy(*cell, "part").orderBy("v")
+    at = parts.join(shifts.join(known, cell), [*cell, "part"]).select(
+        *cell, "v", F.coalesce(F.lead("v").over(within), F.col("after")).alias("next"),
+        *[(F.col(f"a{k}") + F.col(f"b{k}") + F.sum(f"c{k}").over(within)).alias(f"l{k}") for k in ks], *[f"t{k}" for k in ks],
     ).where("next IS NOT NULL")
     left = [F.col(f"l{k}") for k in ks]
     right = [F.col(f"t{k}") - left[k] for k in range(classes)]
@@ -261,7 +383,7 @@ def fit_deep_tree(df: DataFrame, features: str, label: str, classes: int, impuri
     if not counts.any():
         raise ValueError("no rows to learn from")
     nodes: list[list] = [[-1, 0.0, 0, 0, int(counts[:-1].argmax())]]
-    open_leaves, small = {0: counts}, []
+    open_leaves, small, edges = {0: counts}, [], None
     while open_leaves:
         large = {}
         for leaf, own in open_leaves.items():
@@ -273,11 +395,12 @@ def fit_deep_tree(df: DataFrame, features: str, label: str, classes: int, impuri
         open_leaves = {}
         if not large:
             break
-        for r in sorted(_best_splits(_route(rows, Nodes.of(nodes), list(large)), classes, gini)):
-            left, cut = np.array(r["left"]), float(_half_way(np.float64(-r["v"]), np.float64(r["next"])))
+        edges = _edges(rows) if edges is None else edges
+        for leaf, _, f, v, after, counted in _best_splits(rows, Nodes.of(nodes), list(large), edges, classes, gini):
+            left, cut = np.array(counted), float(_half_way(np.float64(-v), np.float64(after)))
             at = len(nodes)
-            nodes[r["leaf"]][:4] = [-r["f"], cut, at, at + 1]
-            for k, own in enumerate((left, large[r["leaf"]] - left)):
+            nodes[leaf][:4] = [-f, cut, at, at + 1]
+            for k, own in enumerate((left, large[leaf] - left)):
                 nodes.append([-1, 0.0, at + k, at + k, int(own[:-1].argmax())])
                 open_leaves[at + k] = own
     shared = Nodes.of(nodes)

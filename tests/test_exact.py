@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from prepframe.operators import corr, deeptree, gramian, id3, learn
 from prepframe.operators import silhouette as silhouettes
 from prepframe.operators.deeptree import fit_deep_tree, grow
+from prepframe.scratch import stored
 from prepframe.operators.id3 import fit_id3
 
 
@@ -45,6 +46,32 @@ def test_deep_tree_is_the_same_whoever_splits(spark, monkeypatch, impurity, leaf
     assert all(r["p"] == r["y"] == predict(plain, (r["x0"], r["x1"])) for r in found)
 
 
+@pytest.mark.parametrize("impurity", ["gini", "entropy"])
+def test_values_inside_ranges_are_counted_where_a_bound_asks_for_it(spark, monkeypatch, impurity):
+    monkeypatch.setattr(deeptree, "LEAF_ROWS", 60)
+    monkeypatch.setattr(deeptree, "RANGES", 4)
+    written = []
+    monkeypatch.setattr(deeptree, "stored", lambda df, label: (written.append(label), stored(df, label))[1])
+    draw = random.Random(7)
+    rows = [((draw.uniform(0, 1), draw.uniform(0, 1)), 0) for _ in range(400)]
+    rows = [(x, int(0.3 < x[0] < 0.55) + int(x[1] > 0.8)) for x, _ in rows]
+    found = fit_deep_tree(vectors(spark, rows).repartition(5), "v", "y", 3, impurity)
+    plain = grow(np.array([x for x, _ in rows]), np.array([y for _, y in rows]), np.ones(len(rows), int), 3, impurity == "gini")
+    tree, at = found.whole, np.random.default_rng(3).uniform(0, 1, (2000, 2))
+    assert tree.label[tree.leaves(at)].tolist() == [predict(plain, x) for x in at]
+    assert found.n_nodes == len(plain) and "values" in written
+
+
+def test_a_feature_of_noise_is_not_counted_value_by_value(spark, monkeypatch):
+    monkeypatch.setattr(deeptree, "LEAF_ROWS", 600)
+    written = []
+    monkeypatch.setattr(deeptree, "stored", lambda df, label: (written.append(label), stored(df, label))[1])
+    draw = random.Random(5)
+    rows = [((i % 8, draw.uniform(0, 1)), i % 2) for i in range(4_000)]
+    assert fit_deep_tree(vectors(spark, rows), "v", "y", 2).whole.depth() >= 7
+    assert "values" not in written
+
+
 def test_deep_tree_cases(spark):
     steps = [((i,), i % 2) for i in range(120)]
     model = fit_deep_tree(vectors(spark, steps), "v", "y", 2)
