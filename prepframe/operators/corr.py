@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 from itertools import combinations_with_replacement
 
 import numpy as np
@@ -15,10 +16,12 @@ from pyspark.sql import functions as F
 from prepframe.functions.columns import col, present
 from prepframe.guards import chosen_numeric
 from prepframe.operators.gramian import column_survey, pair_moments
-from prepframe.operators.lookup import RANK, fit_lookups
+from prepframe.operators.lookup import HOT_SHARE, RANK, Lookups, fit_lookups
 from prepframe.scratch import stored
 
 PAIRS_PER_JOB = 150
+#: Columns up to which ranks are joined one column after the other.
+COLUMN_BY_COLUMN = 8
 #: Length of a row's vector up to which all products are summed at once (the sums are its square, on the driver).
 GRAM_WIDTH = 3_000
 #: Of a sum of squares, the part that must be left after the mean is taken off; with less, a pair is computed alone.
@@ -160,12 +163,43 @@ def pearson_matrix(df: DataFrame, cols: Sequence[str] | None = None) -> DataFram
     return _table(df, names, {(names[i], names[j]): r for (i, j), r in zip(pairs, found, strict=True)})
 
 
+def _ranks_by_column(values: DataFrame, ranked: dict[str, Column], counted: DataFrame) -> DataFrame:
+    lookups, out = fit_lookups(counted, list(ranked), order_by="key"), values
+    of: dict[str, list[str]] = {}
+    for n in ranked:
+        of.setdefault(n.split("_")[0], []).append(n)
+    for own, names in of.items():
+        each = [lookups.tables[n].select("key", "n", F.lit(n).alias("of"), F.col(RANK).alias("rank")) for n in names]
+        ranks = [F.max(F.when(F.col("of") == n, F.col("rank"))).alias(f"rank_{n}") for n in names]
+        table = stored(reduce(DataFrame.union, each).groupBy("key").agg(F.max("n").alias("n"), *ranks), "lookup")
+        hot = {}
+        if any(n in lookups.hot for n in names):
+            rows = table.agg(F.sum("n")).first()[0]
+            hot = {own: table.where(F.col("n") * HOT_SHARE > rows)}
+        out = Lookups({own: table}, {}, hot).attach(out, own, col(own), {f"rank_{n}": f"rank_{n}" for n in names})
+    return out.select(*[F.when(key.isNotNull(), col(f"rank_{n}")).alias(n) for n, key in ranked.items()])
+
+
+def _ranks_in_long_form(values: DataFrame, ranked: dict[str, Column], counted: DataFrame) -> DataFrame:
+    # written with their numbers, which would not be the same if a task were run again
+    numbered = stored(values.select(F.monotonically_increasing_id().alias("_row"), "*"), "ranked")
+    wide = numbered.select("_row", *[e.alias(n) for n, e in ranked.items()])
+    long = wide.unpivot(["_row"], list(ranked), "column", "key").where("key IS NOT NULL")
+    both = F.struct("column", "key")
+    lookups = fit_lookups(counted.select(F.lit("all").alias("column"), both.alias("key"), "n"), ["all"], order_by="key")
+    # a rank counts the rows of all columns that come before; those of one column lie together
+    joined = lookups.attach(long, "all", both, {RANK: "_rank"})
+    side_by_side = joined.groupBy("_row").agg(*[F.max(F.when(F.col("column") == n, F.col("_rank"))).alias(n) for n in ranked])
+    return side_by_side.drop("_row")
+
+
 def spearman_matrix(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """As `pearson_matrix`, on average ranks taken anew over each pair's complete rows.
 
     A column is ranked once for all partners that have no missing values, and once more for each one that has. Ranks
-    come from value counts, so equal values are one row however often they occur. All ranks are joined at once in long
-    form and put side by side by one grouping, however many columns there are.
+    come from value counts, so equal values are one row however often they occur. Of up to COLUMN_BY_COLUMN columns, all
+    ranks of one are joined at once: by broadcast where it has few values, else by a shuffle. Of more columns, all ranks
+    are joined in long form and put side by side by one grouping, however many columns there are.
     """
     names, values, gaps, pairs = _prepared(df, cols)
     ranked: dict[str, Column] = {}
@@ -181,17 +215,11 @@ def spearman_matrix(df: DataFrame, cols: Sequence[str] | None = None) -> DataFra
     sides = [(ranked_column(i, j), ranked_column(j, i)) for i, j in pairs]
     if not sides:
         return _table(df, names, {})
-    # written with their numbers, which would not be the same if a task were run again
-    numbered = stored(values.select(F.monotonically_increasing_id().alias("_row"), "*"), "ranked")
-    wide = numbered.select("_row", *[e.alias(n) for n, e in ranked.items()])
-    long = wide.unpivot(["_row"], list(ranked), "column", "key").where("key IS NOT NULL")
-    counted = long.groupBy("column", "key").agg(F.count(F.lit(1)).alias("n"))
-    both = F.struct("column", "key")
-    lookups = fit_lookups(counted.select(F.lit("all").alias("column"), both.alias("key"), "n"), ["all"], order_by="key")
-    # a rank counts the rows of all columns that come before; those of one column lie together
-    joined = lookups.attach(long, "all", both, {RANK: "_rank"})
-    side_by_side = joined.groupBy("_row").agg(*[F.max(F.when(F.col("column") == n, F.col("_rank"))).alias(n) for n in ranked])
-    found = _correlations(stored(side_by_side.drop("_row"), "ranks"), sides)
+    wide = values.select(*[e.alias(n) for n, e in ranked.items()])
+    counted = stored(wide.unpivot([], list(ranked), "column", "key").where("key IS NOT NULL").groupBy("column", "key").agg(F.count(F.lit(1)).alias("n")), "counts")
+    by_column = len({n.split("_")[0] for n in ranked}) <= COLUMN_BY_COLUMN
+    side_by_side = (_ranks_by_column if by_column else _ranks_in_long_form)(values, ranked, counted)
+    found = _correlations(stored(side_by_side, "ranks"), sides)
     return _table(df, names, {(names[i], names[j]): r for (i, j), r in zip(pairs, found, strict=True)})
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from prepframe.operators import corr, encode, lookup, replace
 from prepframe.operators.quantile import exact_medians
 from prepframe.operators.rowid import number_rows, with_row_id
+from prepframe.scratch import stored
 from tests.test_golden import matrix
 
 
@@ -319,3 +320,18 @@ def test_a_range_reads_only_its_parts(spark):
     near = numbered.rows(130, 240)
     assert [r["id"] for r in near.orderBy("id").collect()] == list(range(130, 241))
     assert "PushedFilters: [" in near._jdf.queryExecution().executedPlan().toString()
+
+
+def test_ranks_of_few_columns_travel_with_their_rows(spark, monkeypatch):
+    """Rows keep their columns side by side, with the same result as in long form, for columns of few and of many values."""
+    monkeypatch.setattr(lookup, "BROADCAST_ROWS", 20)
+    cells = [F.when((F.col("id") + i) % 5 > 0, (F.col("id") * 7919 + i) % m).cast("double").alias(f"x{i}") for i, m in enumerate((7, 211, 2))]
+    df = spark.range(900).select(*cells, (F.col("id") % 400).cast("double").alias("x3"))
+    written = []
+    monkeypatch.setattr(corr, "stored", lambda df, label: (written.append(label), stored(df, label))[1])
+    found = matrix(corr.spearman_matrix(df))
+    assert "ranked" not in written
+    monkeypatch.setattr(corr, "COLUMN_BY_COLUMN", 0)
+    long = matrix(corr.spearman_matrix(df))
+    assert "ranked" in written and found.keys() == long.keys()
+    assert all(found[k] == pytest.approx(long[k], abs=1e-9) for k in found)
