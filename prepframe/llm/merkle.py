@@ -259,7 +259,8 @@ def manifest(
     higher = climb(upper.drop("carried"), max(1, many))
     root = [r["digest"] for r in higher[-1].collect()]  # one row, or none without rows
     root = bytes(root[0]) if root else b""
-    start = df.sparkSession.createDataFrame([(0, len(higher), root, [])], "tree long, round int, root binary, proof array<binary>")
+    top = [(0, len(higher), root, [])] if root else []
+    start = df.sparkSession.createDataFrame(top, "tree long, round int, root binary, proof array<binary>")
     schema = "tree long, rows long, root binary, proof array<binary>"
     handed = _with_heads(upper, hand_down(higher, start)).mapInArrow(_hand_to_trees, schema)
     heads = hand_down(tops, stored(handed.withColumn("round", _rounds(F.col("rows"))), "roots"))

@@ -116,3 +116,11 @@ def test_cases(odd, nothing):
     one = manifest(odd.where("doc_id = 9"), names).first()
     assert one["leaf"] == one["subroot"] == one["root"] and one["proof_sha256"] == hashlib.sha256(b"").hexdigest()
     assert manifest(nothing, names).count() == 0
+
+
+def test_no_rows(spark):
+    """A table without rows has no tree, and so no block to hand a root to."""
+    df = spark.createDataFrame([], "doc_id long, source string, text string")
+    for other in (None, merkle.leaf_digest([F.col("doc_id"), F.lower("text")])):
+        found = manifest(df, FIELDS, other=other, proofs=True)
+        assert found.columns[0] == "doc_id" and found.columns[-1] == "proof" and found.collect() == []
